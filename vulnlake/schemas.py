@@ -3,6 +3,8 @@ they must match the published record formats (NVD, OSV, EPSS, KEV) and the store
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 ENVELOPE_FIELDS = """
@@ -43,38 +45,26 @@ KEV_PAYLOAD = """struct<cveID:string,vendorProject:string,product:string,
     catalog_version:string,catalog_date_released:string>"""
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(" ".join(text.split()))
-
-
-def envelope(payload: str) -> StructType:
-    return _ddl(f"{ENVELOPE_FIELDS}, payload {payload}")
+PAYLOADS = {"nvd": NVD_PAYLOAD, "epss": EPSS_PAYLOAD, "kev": KEV_PAYLOAD}
 
-
-BRONZE = {
-    "nvd": envelope(NVD_PAYLOAD),
-    "epss": envelope(EPSS_PAYLOAD),
-    "kev": envelope(KEV_PAYLOAD),
-}
-
-OSV = _ddl("""
+OSV = """
     id string, summary string, details string, published string, modified string,
     withdrawn string, severity array<struct<type:string,score:string>>,
     references array<struct<type:string,url:string>>,
     affected array<struct<database_specific:struct<cpes:array<string>>>>,
     database_specific struct<cna_assigner:string,cwe_ids:array<string>,
         unresolved_ranges:array<struct<cpes:array<string>>>>
-""")
+"""
 
-KEV_CATALOG = _ddl("""
+KEV_CATALOG = """
     catalogVersion string, dateReleased string,
     vulnerabilities array<struct<cveID:string,vendorProject:string,product:string,
         vulnerabilityName:string,dateAdded:string,dueDate:string,requiredAction:string,
         knownRansomwareCampaignUse:string,shortDescription:string,notes:string,
         cwes:array<string>>>
-""")
+"""
 
-SILVER_NVD = _ddl("""
+SILVER_NVD = """
     event_id string not null, cve_id string not null, published_at timestamp,
     last_modified_at timestamp, vuln_status string, source_identifier string,
     description_en string, cvss_version string, cvss_vector string, cvss_base_score double,
@@ -84,32 +74,32 @@ SILVER_NVD = _ddl("""
     exploitability_score double, impact_score double, cwe_ids array<string>,
     reference_urls array<string>, reference_count int, cpe_match_count int,
     fetched_at timestamp, ingestion_run_id string, payload_sha256 string
-""")
+"""
 
-SILVER_EPSS = _ddl("""
+SILVER_EPSS = """
     event_id string not null, cve_id string not null, observation_date date,
     epss_score double, epss_percentile double, epss_model_version string,
     fetched_at timestamp, ingestion_run_id string, payload_sha256 string
-""")
+"""
 
-SILVER_KEV = _ddl("""
+SILVER_KEV = """
     event_id string not null, cve_id string not null, vendor_project string, product string,
     vulnerability_name string, date_added date, due_date date, required_action string,
     known_ransomware_campaign_use string, short_description string, notes string,
     cwes array<string>, catalog_version string, catalog_date_released timestamp,
     fetched_at timestamp, ingestion_run_id string, payload_sha256 string
-""")
+"""
 
-# Silver table per source, as directory name and schema.
+# Silver table per source, as directory name and columns.
 SILVER = {
     "nvd": ("nvd_vulnerabilities", SILVER_NVD),
     "epss": ("epss_daily", SILVER_EPSS),
     "kev": ("kev_catalog", SILVER_KEV),
 }
 
-MANIFEST = _ddl("""
+MANIFEST = """
     path string, source string, record_count bigint, sha256 string, created_at string
-""")
+"""
 
 CVSS_CATEGORICAL = [
     "attack_vector",
@@ -130,3 +120,18 @@ CVSS_NUMERIC = [
     "reference_count",
     "cpe_match_count",
 ]
+
+
+@cache
+def struct(ddl: str) -> StructType:
+    """Column list as a schema (needs an active session)."""
+    return StructType.fromDDL(" ".join(ddl.split()))
+
+
+def bronze(source: str) -> StructType:
+    """Envelope of one source."""
+    return struct(f"{ENVELOPE_FIELDS}, payload {PAYLOADS[source]}")
+
+
+def silver(source: str) -> StructType:
+    return struct(SILVER[source][1])

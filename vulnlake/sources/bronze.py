@@ -57,7 +57,7 @@ def read_bronze(
     if stream and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        reader.schema(schemas.BRONZE[source])
+        reader.schema(schemas.bronze(source))
         .option("pathGlobFilter", DATA_GLOB)
         .json(source_path(root, source))
     )
@@ -130,4 +130,4 @@ def write_manifest(spark: SparkSession, root: str, source: str, manifest_path: s
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    return spark.read.schema(schemas.MANIFEST).parquet(manifest_path)
+    return spark.read.schema(schemas.struct(schemas.MANIFEST)).parquet(manifest_path)

@@ -13,7 +13,7 @@ def read_catalog(
     spark: SparkSession, path: str, *, glob: str = "*.json", one_per_file: bool = True
 ) -> DataFrame:
     return (
-        spark.read.schema(schemas.KEV_CATALOG)
+        spark.read.schema(schemas.struct(schemas.KEV_CATALOG))
         .option("multiLine", one_per_file)
         .option("pathGlobFilter", glob)
         .json(path)

@@ -31,7 +31,7 @@ def read_osv(
     An unreadable document becomes a row with a null id. `max_records` is the caller's own limit.
     """
     docs = (
-        spark.read.schema(schemas.OSV)
+        spark.read.schema(schemas.struct(schemas.OSV))
         .option("multiLine", one_per_file)
         .option("pathGlobFilter", glob)
         .json(path)

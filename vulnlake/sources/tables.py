@@ -24,8 +24,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def read_silver(spark: SparkSession, silver_root: str, source: str) -> DataFrame:
-    table, schema = schemas.SILVER[source]
-    return read_or_empty(spark, f"{silver_root}/{table}", schema)
+    return read_or_empty(spark, f"{silver_root}/{schemas.SILVER[source][0]}", schemas.silver(source))
 
 
 def write_observations(observations: DataFrame, gold_root: str) -> None:
