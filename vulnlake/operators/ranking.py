@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vulnlake.functions.risk import blended_score
+from vulnlake.functions.risk import blended_score, percentile_of
 
 DIGITS = 9
 BUCKETS = 4096
@@ -246,23 +246,28 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
         F.lit(0).cast("bigint").alias("pos"), F.count("*").alias("n")
     )
     totals = running_totals(counts)
-    upto = F.col("total_n") - F.col("cnt") + F.col("n")
-    before = F.col("total_n") - F.col("cnt")
-    position = F.sequence(F.lit(0), F.lit(n - 1))
-
-    def answered(i: Column) -> Column:
-        # ceil(i / (n-1) * total) in whole numbers; the first quantile is the smallest element.
-        rank = F.greatest(F.floor((i * F.col("total_n") + (n - 2)) / F.lit(n - 1)), F.lit(1).cast("bigint"))
-        return (rank > before) & (rank <= upto)
-
-    return totals.select(
-        F.explode(F.filter(position, answered)).alias("position"), F.col("threshold").alias("cut")
+    ranks = totals.select(
+        "threshold", "total_n", (F.col("total_n") - F.col("cnt")).alias("_before"),
+        (F.col("total_n") - F.col("cnt") + F.col("n")).alias("_upto"),
+    )
+    # Quantile i has rank ceil(i * total / (n-1)), the first one rank 1; whole numbers throughout.
+    first = F.when(F.col("_before") == 0, F.lit(0).cast("bigint")).otherwise(
+        F.expr(f"(_before * {n - 1}) div total_n") + 1
+    )
+    last = F.expr(f"(_upto * {n - 1}) div total_n")
+    return ranks.filter(first <= last).select(
+        F.explode(F.sequence(first, last)).cast("int").alias("position"), F.col("threshold").alias("cut")
     )
 
 
-def cuts_array(cuts: DataFrame) -> Column:
-    """The cut points as one array value (at most n entries) for `percentile_of`."""
-    return cuts.agg(F.array_sort(F.collect_list("cut"))).scalar()
+def add_percentile(df: DataFrame, score: str, cuts: DataFrame, name: str = "percentile") -> DataFrame:
+    """Place a score among the cut points, which enter as one small array (at most n entries)."""
+    array = cuts.agg(F.array_sort(F.collect_list("cut"))).scalar()
+    return (
+        df.withColumn("_cuts", array)
+        .withColumn(name, percentile_of(F.col(score), F.col("_cuts")))
+        .drop("_cuts")
+    )
 
 
 def weight_grid(step: float = 0.05) -> list[tuple[float, float, float]]:

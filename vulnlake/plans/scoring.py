@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vulnlake.functions import cvss
-from vulnlake.functions.risk import blended_score, percentile_of, priority
+from vulnlake.functions.risk import blended_score, priority
 from vulnlake.operators.learning import PREDICTED_EPSS, PREDICTED_KEV
-from vulnlake.operators.ranking import cuts_array
+from vulnlake.operators.ranking import add_percentile
 from vulnlake.plans.training import ADJUSTED, score_rows
 from vulnlake.schemas import CVSS_CATEGORICAL, CVSS_NUMERIC
 
@@ -47,5 +47,5 @@ def score_vectors(
     ).withColumn("cvss_only_priority", F.col("cvss_base_score"))
     if cuts is None:
         return scored
-    ranked = scored.withColumn("adjusted_risk_percentile", percentile_of(F.col(ADJUSTED), cuts_array(cuts)))
+    ranked = add_percentile(scored, ADJUSTED, cuts, "adjusted_risk_percentile")
     return ranked.withColumn("priority_0_10", priority(F.col("adjusted_risk_percentile")))
