@@ -21,7 +21,7 @@ from driver_queries.inputs import (
     text,
     vectors,
 )
-from vulnlake.functions.risk import blended_score, clamp_unit, priority
+from vulnlake.functions.risk import blended_score, clamp_unit
 from vulnlake.operators import learning, ranking, splits
 from vulnlake.plans import scoring, training
 from vulnlake.session import cut_lineage, new_dir
@@ -201,14 +201,13 @@ def percentile_cuts_exact(spark, sf):
     f"""with {CUTS}, a as (select list(cut order by cut) as c from cuts),
     p as (select l_orderkey, l_linenumber, l_partkey, l_extendedprice,
         round(100.0::double * len(list_filter(c, lambda x: x <= l_extendedprice)) / len(c), 2) as percentile from lineitem, a)
-    select *, round(percentile / 10.0::double, 2) as priority from p""",
+    select * from p""",
 )
 def percentile_scores(spark, sf):
     lines = table(spark, sf, "lineitem")
     cuts = ranking.exact_percentile_cuts(lines, "l_extendedprice")
     rows = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    rows = ranking.add_percentile(rows, "l_extendedprice", cuts)
-    return rows.withColumn("priority", priority(F.col("percentile")))
+    return ranking.add_percentile(rows, "l_extendedprice", cuts)
 
 
 # ---- splits ----------------------------------------------------------------------------------------

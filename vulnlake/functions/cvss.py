@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vulnlake.functions.nested import let, strip
+from vulnlake.functions.risk import round_binary
 
 # ---- fixed values: words for the metric values -----------------------------------------------
 WORDS_V3 = {
@@ -221,9 +222,8 @@ def _score_v2(text: Column) -> Column:
         base = F.round((0.6 * s["impact"] + 0.4 * s["expl"] - 1.5) * factor + 1e-9, 1)
         return F.struct(
             base.cast("double").alias("base_score"),
-            # The only tie, 3.15, lies just below the decimal as a double and rounds down.
-            F.round(s["expl"] - 1e-9, 1).alias("exploitability_score"),
-            F.round(s["impact"], 1).alias("impact_score"),
+            round_binary(s["expl"], 1).alias("exploitability_score"),
+            round_binary(s["impact"], 1).alias("impact_score"),
         )
 
     return let(raw, final)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vulnlake.functions.nested import let
+
 
 def within_horizon(days_until: Column, horizon: int) -> Column:
     """1 inside the horizon, 0 outside or never, null when the outcome is not in the future."""
@@ -27,14 +29,37 @@ def blended_score(cvss: Column, exploit: Column, outcome: Column, w1, w2, w3) ->
     return F.lit(10.0) * (w1 * term + w2 * exploit + w3 * outcome)
 
 
+def round_binary(value: Column, digits: int) -> Column:
+    """Round by the exact value of the double, ties to even.
+
+    `F.round` works on the printed decimal, so 3.15 (a little less as a double) would go up. The
+    product with 10^digits is split into its rounded value and the exact rest (Veltkamp splitting),
+    and the rest decides where the rounded product lies exactly between two whole numbers.
+    """
+    scale = float(10**digits)
+
+    def split(x: Column) -> Column:
+        high = x * 134217729.0 - (x * 134217729.0 - x)
+        product = x * scale
+        rest = (high * scale - product) + (x - high) * scale
+        return F.struct(F.floor(product).alias("down"), (product - F.floor(product)).alias("part"), rest.alias("rest"))
+
+    def decide(s: Column) -> Column:
+        half = s["part"] == 0.5
+        up = (s["part"] > 0.5) | (half & ((s["rest"] > 0) | ((s["rest"] == 0) & (s["down"] % 2 != 0))))
+        return (s["down"] + up.cast("int")) / F.lit(scale)
+
+    return let(let(value, split), decide)
+
+
 def percentile_of(score: Column, cuts: Column) -> Column:
     """Share of cut points at or below the score, in percent; 0 without cut points."""
     at_or_below = F.array_size(F.filter(cuts, lambda c: c <= score))
     return F.when(
-        F.array_size(cuts) > 0, F.round(F.lit(100.0) * at_or_below / F.array_size(cuts), 2)
+        F.array_size(cuts) > 0, round_binary(F.lit(100.0) * at_or_below / F.array_size(cuts), 2)
     ).otherwise(F.lit(0.0))
 
 
 def priority(percentile: Column) -> Column:
     """Percentile on a 0-10 scale."""
-    return F.round(percentile / F.lit(10.0), 2)
+    return round_binary(percentile / F.lit(10.0), 2)

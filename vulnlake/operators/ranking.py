@@ -256,7 +256,7 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
     )
     last = F.expr(f"(_upto * {n - 1}) div total_n")
     return ranks.filter(first <= last).select(
-        F.explode(F.sequence(first, last)).cast("int").alias("position"), F.col("threshold").alias("cut")
+        F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("position"), F.col("threshold").alias("cut")
     )
 
 
