@@ -8,6 +8,7 @@ table and stays null unless the input supplies one.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,44 +79,63 @@ V4_URGENCY = "U:(?:X|Clear|Green|Amber|Red)"
 def vector_version(vector: Column) -> Column:
     """Declared version; a vector without prefix that starts with AV: is 2.0; else null."""
     text = strip(vector)
-    declared = F.regexp_extract(text, r"^(?i:CVSS):([^/]*)", 1)
-    return F.when(text.rlike(r"^(?i:CVSS):"), declared).when(text.startswith("AV:"), F.lit("2.0"))
+    head = F.substring_index(text, "/", 1)
+    return F.when(F.upper(F.substring(head, 1, 5)) == "CVSS:", head.substr(F.lit(6), F.length(head))).when(
+        text.startswith("AV:"), F.lit("2.0")
+    )
+
+
+def parse(vector: Column) -> Column:
+    """Struct of text, version and the map of metrics, split once for all later steps.
+
+    A repeated metric keeps its last value under the session default spark.sql.mapKeyDedupPolicy =
+    LAST_WIN, which `vulnlake.session` sets.
+    """
+
+    def split(text: Column) -> Column:
+        return F.struct(
+            text.alias("text"),
+            vector_version(text).alias("version"),
+            F.str_to_map(text, F.lit("/"), F.lit(":")).alias("metrics"),
+        )
+
+    return F.when(vector.isNotNull(), let(strip(vector), split))
 
 
-def metric(vector: Column, name: str) -> Column:
-    """Value of one metric, null when absent; the last one counts when it is repeated."""
-    value = F.regexp_extract(vector, rf"^(?:.*/)?{name}:([^/]*)", 1)
-    return F.when(vector.rlike(rf"(?:^|/){name}:"), value)
+def metric(parsed: Column, name: str) -> Column:
+    """Value of one metric, null when absent."""
+    return F.try_element_at(parsed["metrics"], F.lit(name))
 
 
 def _lookup(key: Column, table: dict) -> Column:
-    """Value of `key` in a small fixed table, null when it is not there."""
-    (first, value), *rest = table.items()
-    start = F.when(key == first, F.lit(value))
-    return reduce(lambda chain, kv: chain.when(key == kv[0], F.lit(kv[1])), rest, start)
+    """Value of `key` in a small fixed table (a folded map literal), null when it is not there."""
+    pairs = chain.from_iterable((F.lit(k), F.lit(v)) for k, v in table.items())
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
 def _word(value: Column, words: dict) -> Column:
-    upper = F.upper(value)
-    return F.coalesce(_lookup(upper, words), upper)
+    return F.coalesce(_lookup(F.upper(value), words), F.upper(value))
 
 
-def decode_vector(vector: Column) -> Column:
-    """Struct of the categorical columns; unknown values pass through in upper case."""
-    names = list(WORDS_V3) + ["attack_requirements"]
+def decode(parsed: Column) -> Column:
+    """Struct of the categorical columns of a parsed vector."""
+    none = F.lit(None).cast("string")
+
+    def words(table: dict, name: str) -> Column:
+        return _word(metric(parsed, table[name][0]), table[name][1]) if name in table else none
+
+    is_v4 = F.coalesce(parsed["version"].startswith("4"), F.lit(False))
+    return F.struct(
+        *(
+            F.when(is_v4, words(WORDS_V4, name)).otherwise(words(WORDS_V3, name)).alias(name)
+            for name in [*WORDS_V3, "attack_requirements"]
+        )
+    )
 
-    def decode(text: Column) -> Column:
-        is_v4 = vector_version(text).startswith("4")
-        columns = []
-        for name in names:
-            v3 = _word(metric(text, WORDS_V3[name][0]), WORDS_V3[name][1]) if name in WORDS_V3 else None
-            v4 = _word(metric(text, WORDS_V4[name][0]), WORDS_V4[name][1]) if name in WORDS_V4 else None
-            null = F.lit(None).cast("string")
-            value = F.when(is_v4, v4 if v4 is not None else null).otherwise(v3 if v3 is not None else null)
-            columns.append(value.alias(name))
-        return F.struct(*columns)
 
-    return let(strip(vector), decode)
+def decode_vector(vector: Column) -> Column:
+    """Struct of the categorical columns; unknown values pass through in upper case."""
+    return let(parse(vector), decode)
 
 
 def _tokens(base: dict, optional: dict, extra: list[str] = ()) -> str:
@@ -123,24 +143,24 @@ def _tokens(base: dict, optional: dict, extra: list[str] = ()) -> str:
     return "(?:" + "|".join([*parts, *extra]) + ")"
 
 
-def _well_formed(text: Column, prefix: str, base: dict, token: str) -> Column:
+def _well_formed(parsed: Column, prefix: str, base: dict, token: str) -> Column:
     """Only known metric tokens, each metric once, every mandatory metric present."""
-    shape = text.rlike(f"^{prefix}{token}(?:/{token})*$")
-    names = F.transform(F.split(F.regexp_replace(text, f"^{prefix}", ""), "/"), lambda t: F.split(t, ":")[0])
-    complete = F.array_size(F.array_intersect(names, F.array(*map(F.lit, base)))) == len(base)
-    return shape & complete & (F.array_size(F.array_distinct(names)) == F.array_size(names))
+    shape = parsed["text"].rlike(f"^{prefix}{token}(?:/{token})*$")
+    tokens = F.length(parsed["text"]) - F.length(F.replace(parsed["text"], F.lit("/"))) + 1
+    present = reduce(Column.__and__, (metric(parsed, name).isNotNull() for name in base))
+    return shape & (F.size(parsed["metrics"]) == tokens) & present
 
 
-def scorable(vector: Column) -> Column:
+def scorable(parsed: Column) -> Column:
     """True for a well-formed vector of a known version."""
-    text = strip(vector)
+    text = parsed["text"]
     v3 = _tokens(V3_BASE, V3_OPTIONAL)
     v4 = _tokens(V4_BASE, V4_OPTIONAL, [V4_URGENCY])
     v2 = _tokens(V2_BASE, {}, V2_OPTIONAL_TOKENS)
     good = (
-        F.when(text.rlike(r"^CVSS:3\.[01]/"), _well_formed(text, r"CVSS:3\.[01]/", V3_BASE, v3))
-        .when(text.startswith("CVSS:4.0/"), _well_formed(text, r"CVSS:4\.0/", V4_BASE, v4))
-        .when(text.startswith("AV:"), _well_formed(text, "", V2_BASE, v2))
+        F.when(text.startswith("CVSS:3."), _well_formed(parsed, r"CVSS:3\.[01]/", V3_BASE, v3))
+        .when(text.startswith("CVSS:4.0/"), _well_formed(parsed, r"CVSS:4\.0/", V4_BASE, v4))
+        .when(text.startswith("AV:"), _well_formed(parsed, "", V2_BASE, v2))
     )
     return F.coalesce(good, F.lit(False))
 
@@ -169,20 +189,20 @@ def _round_up(value: Column, version: Column) -> Column:
     return F.when(version == "3.1", v31).otherwise(F.ceil(value * 10 - 1e-9) / F.lit(10.0))
 
 
-def _score_v3(text: Column, version: Column) -> Column:
-    changed = metric(text, "S") == "C"
+def _score_v3(parsed: Column) -> Column:
+    changed = metric(parsed, "S") == "C"
     weights = F.struct(
         changed.alias("changed"),
         (
             F.lit(8.22)
-            * _lookup(metric(text, "AV"), V3_AV)
-            * _lookup(metric(text, "AC"), V3_AC)
-            * F.when(changed, _lookup(metric(text, "PR"), V3_PR_CHANGED)).otherwise(
-                _lookup(metric(text, "PR"), V3_PR_UNCHANGED)
+            * _lookup(metric(parsed, "AV"), V3_AV)
+            * _lookup(metric(parsed, "AC"), V3_AC)
+            * F.when(changed, _lookup(metric(parsed, "PR"), V3_PR_CHANGED)).otherwise(
+                _lookup(metric(parsed, "PR"), V3_PR_UNCHANGED)
             )
-            * _lookup(metric(text, "UI"), V3_UI)
+            * _lookup(metric(parsed, "UI"), V3_UI)
         ).alias("exploitability"),
-        _product_left(*(_lookup(metric(text, m), V3_CIA) for m in ("C", "I", "A"))).alias("iss"),
+        _product_left(*(_lookup(metric(parsed, m), V3_CIA) for m in ("C", "I", "A"))).alias("iss"),
     )
 
     def impact(w: Column) -> Column:
@@ -195,7 +215,7 @@ def _score_v3(text: Column, version: Column) -> Column:
     def final(s: Column) -> Column:
         total = F.when(s["changed"], 1.08 * (s["impact"] + s["expl"])).otherwise(s["impact"] + s["expl"])
         base = F.when(s["impact"] <= 0, F.lit(0.0)).otherwise(
-            _round_up(F.least(total, F.lit(10.0)), version)
+            _round_up(F.least(total, F.lit(10.0)), parsed["version"])
         )
         return F.struct(
             base.cast("double").alias("base_score"),
@@ -206,15 +226,15 @@ def _score_v3(text: Column, version: Column) -> Column:
     return let(let(weights, impact), final)
 
 
-def _score_v2(text: Column) -> Column:
+def _score_v2(parsed: Column) -> Column:
     raw = F.struct(
         (
             F.lit(20.0)
-            * _lookup(metric(text, "AV"), V2_AV)
-            * _lookup(metric(text, "AC"), V2_AC)
-            * _lookup(metric(text, "Au"), V2_AU)
+            * _lookup(metric(parsed, "AV"), V2_AV)
+            * _lookup(metric(parsed, "AC"), V2_AC)
+            * _lookup(metric(parsed, "Au"), V2_AU)
         ).alias("expl"),
-        (F.lit(10.41) * _product_left(*(_lookup(metric(text, m), V2_CIA) for m in ("C", "I", "A")))).alias("impact"),
+        (F.lit(10.41) * _product_left(*(_lookup(metric(parsed, m), V2_CIA) for m in ("C", "I", "A")))).alias("impact"),
     )
 
     def final(s: Column) -> Column:
@@ -229,30 +249,31 @@ def _score_v2(text: Column) -> Column:
     return let(raw, final)
 
 
-def score_vector(vector: Column) -> Column:
-    """Struct version, base_score, base_severity, exploitability_score, impact_score.
-
-    Null for a vector that is not well formed; v4.0 keeps its version with null scores.
-    """
+def score(parsed: Column) -> Column:
+    """Scores of a parsed vector; null when it is not well formed."""
+    none = F.struct(
+        *(F.lit(None).cast("double").alias(n) for n in ("base_score", "exploitability_score", "impact_score"))
+    )
+    version = parsed["version"]
+    scored = (
+        F.when(version == "2.0", _score_v2(parsed)).when(version.startswith("3"), _score_v3(parsed)).otherwise(none)
+    )
 
-    def score(text: Column) -> Column:
-        version = vector_version(text)
-        none = F.struct(
-            *(F.lit(None).cast("double").alias(n) for n in ("base_score", "exploitability_score", "impact_score"))
-        )
-        scored = (
-            F.when(version == "2.0", _score_v2(text)).when(version.startswith("3"), _score_v3(text, version)).otherwise(none)
+    def shape(s: Column) -> Column:
+        return F.struct(
+            version.alias("version"),
+            s["base_score"].alias("base_score"),
+            severity_band(s["base_score"]).alias("base_severity"),
+            s["exploitability_score"].alias("exploitability_score"),
+            s["impact_score"].alias("impact_score"),
         )
 
-        def shape(s: Column) -> Column:
-            return F.struct(
-                version.alias("version"),
-                s["base_score"].alias("base_score"),
-                severity_band(s["base_score"]).alias("base_severity"),
-                s["exploitability_score"].alias("exploitability_score"),
-                s["impact_score"].alias("impact_score"),
-            )
+    return F.when(scorable(parsed), let(scored, shape))
+
 
-        return F.when(scorable(text), let(scored, shape))
+def score_vector(vector: Column) -> Column:
+    """Struct version, base_score, base_severity, exploitability_score, impact_score.
 
-    return let(strip(vector), score)
+    Null for a vector that is not well formed; v4.0 keeps its version with null scores.
+    """
+    return let(parse(vector), score)

@@ -13,9 +13,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# All white-space characters of Unicode (fixed values).
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
     """Remove any leading and trailing white space, line breaks included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
+def strip_left(text: Column) -> Column:
+    return F.ltrim(text, F.lit(WHITE_SPACE))
 
 
 def best_of(items: Column, preferred: Callable[[Column], Column]) -> Column:

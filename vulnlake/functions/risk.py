@@ -52,12 +52,21 @@ def round_binary(value: Column, digits: int) -> Column:
     return let(let(value, split), decide)
 
 
+def count_at_or_below(score: Column, cuts: Column) -> Column:
+    """How many values of a sorted array (up to 8191) are <= score, by binary search."""
+    steps = F.array(*(F.lit(1 << i) for i in range(12, -1, -1)))
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: found + F.when(F.get(cuts, found + step - 1) <= score, step).otherwise(F.lit(0)),
+    )
+
+
 def percentile_of(score: Column, cuts: Column) -> Column:
-    """Share of cut points at or below the score, in percent; 0 without cut points."""
-    at_or_below = F.array_size(F.filter(cuts, lambda c: c <= score))
-    return F.when(
-        F.array_size(cuts) > 0, round_binary(F.lit(100.0) * at_or_below / F.array_size(cuts), 2)
-    ).otherwise(F.lit(0.0))
+    """Share of the sorted cut points at or below the score, in percent; 0 without cut points."""
+    size = F.array_size(cuts)
+    share = F.lit(100.0) * count_at_or_below(score, cuts) / F.nullif(size, F.lit(0))
+    return F.when(size > 0, round_binary(share, 2)).otherwise(F.lit(0.0))
 
 
 def priority(percentile: Column) -> Column:

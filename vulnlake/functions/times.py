@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vulnlake.functions.nested import let, strip
+
 # Accepted ISO-8601 spellings (fixed values).
 TIMESTAMP_PATTERNS = [
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -29,11 +31,15 @@ def parse_ts(text: Column) -> Column:
 
 def parse_rfc3339(text: Column) -> Column:
     """RFC-3339 text with up to nine fraction digits; text without a zone is UTC."""
-    clean = F.regexp_replace(F.trim(text), r"(\.\d{6})\d+", "$1")
-    zoned = F.when(
-        clean.rlike(_HAS_TIME) & ~clean.rlike(_HAS_ZONE), F.concat(clean, F.lit("Z"))
-    ).otherwise(clean)
-    return F.when(clean.rlike(_RFC3339), zoned.try_cast("timestamp"))
+
+    def parse(clean: Column) -> Column:
+        # Only text longer than microseconds with an offset or Z can carry more than six digits.
+        short = F.when(F.length(clean) > 26, F.regexp_replace(clean, r"(\.\d{6})\d+", "$1")).otherwise(clean)
+        zoneless = ~clean.endswith("Z") & clean.rlike(_HAS_TIME) & ~clean.rlike(_HAS_ZONE)
+        zoned = F.when(zoneless, F.concat(short, F.lit("Z"))).otherwise(short)
+        return F.when(clean.rlike(_RFC3339), zoned.try_cast("timestamp"))
+
+    return let(strip(text), parse)
 
 
 def millisecond_text(ts: Column) -> Column:

@@ -40,6 +40,15 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out the rows over spark.sql.shuffle.partitions tasks.
+
+    Boosting passes over its cached input once per tree level, so few or uneven partitions would slow
+    every pass; one shuffle of the model's columns is small beside that.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def balanced_weight(df: DataFrame, label: str = LABEL, weight: str = WEIGHT) -> DataFrame:
     """total / (2 * rows of the class), so both classes weigh the same; 1 for an absent class.
 
@@ -77,7 +86,7 @@ def train_exploit_model(
     )
     stages = feature_stages(categorical, numeric, "features_a", "a_")
     rows = df.select(*categorical, *numeric, target).filter(F.col(target) >= 0.0)
-    return Pipeline(stages=[*stages, model]).fit(fill_zero(rows, numeric))
+    return Pipeline(stages=[*stages, model]).fit(spread(fill_zero(rows, numeric)))
 
 
 def apply_exploit_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:
@@ -105,7 +114,7 @@ def train_outcome_model(
     )
     stages = feature_stages(categorical, inputs, "features_b", "b_")
     rows = df.select(*categorical, *inputs, label).filter(F.col(label).isNotNull())
-    return Pipeline(stages=[*stages, model]).fit(balanced_weight(fill_zero(rows, inputs), label))
+    return Pipeline(stages=[*stages, model]).fit(spread(balanced_weight(fill_zero(rows, inputs), label)))
 
 
 def apply_outcome_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:

@@ -16,7 +16,8 @@ from vulnlake.schemas import CVSS_CATEGORICAL, CVSS_NUMERIC
 
 def with_decoded(df: DataFrame, vector: str = "cvss_vector", base_score: str | None = None) -> DataFrame:
     """Add the categorical columns and, where the input lacks them, scores and zero counts."""
-    decoded = df.withColumns({"_d": cvss.decode_vector(F.col(vector)), "_s": cvss.score_vector(F.col(vector))})
+    parsed = df.withColumn("_p", cvss.parse(F.col(vector)))
+    decoded = parsed.withColumns({"_d": cvss.decode(F.col("_p")), "_s": cvss.score(F.col("_p"))})
     base = F.col("_s.base_score") if base_score is None else F.col(base_score)
     given = set(df.columns)
     computed = {
@@ -28,7 +29,7 @@ def with_decoded(df: DataFrame, vector: str = "cvss_vector", base_score: str | N
         name: computed.get(name, F.lit(0)) for name in CVSS_NUMERIC if name not in given or name == base_score
     }
     words = {name: F.col(f"_d.{name}") for name in CVSS_CATEGORICAL if name not in given}
-    return decoded.withColumns({**words, **numbers}).drop("_d", "_s")
+    return decoded.withColumns({**words, **numbers}).drop("_p", "_d", "_s")
 
 
 def score_vectors(

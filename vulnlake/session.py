@@ -14,6 +14,7 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.schemaInference": "false",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vulnlake import schemas
 from vulnlake.functions import cvss
-from vulnlake.functions.nested import let, strip
+from vulnlake.functions.nested import let, strip, strip_left
 from vulnlake.functions.times import millisecond_text, parse_rfc3339
 
 # Placeholder records start their details with one of these (fixed values).
@@ -41,7 +41,7 @@ def read_osv(
 
 def is_withdrawn(withdrawn: Column, details: Column) -> Column:
     """Withdrawn, rejected or merely reserved."""
-    head = F.regexp_replace(F.coalesce(details, F.lit("")), r"(?U)^\s+", "")
+    head = strip_left(F.coalesce(details, F.lit("")))
     marked = F.lit(False)
     for prefix in REJECT_PREFIXES:
         marked = marked | head.startswith(prefix)
@@ -65,8 +65,9 @@ def description_text(summary: Column, details: Column) -> Column:
 
 def _metric(vector: Column) -> Column:
     """One severity vector as decoded and scored parts."""
-    return F.struct(
-        vector.alias("vector"), cvss.score_vector(vector).alias("s"), cvss.decode_vector(vector).alias("d")
+    return let(
+        cvss.parse(vector),
+        lambda p: F.struct(p["text"].alias("vector"), cvss.score(p).alias("s"), cvss.decode(p).alias("d")),
     )
 
 
