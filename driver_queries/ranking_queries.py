@@ -384,7 +384,7 @@ def feature_vector(spark, sf):
 @query("model_a")
 def model_a(spark, sf):
     rows = observations_with_vectors(spark, sf)
-    model = learning.train_exploit_model(rows, max_iter=5)
+    model = learning.train_exploit_model(rows, max_iter=10)
     return learning.apply_exploit_model(model, rows).select("cve_id", "epss_current", "pred_epss")
 
 

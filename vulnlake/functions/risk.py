@@ -52,9 +52,9 @@ def round_binary(value: Column, digits: int) -> Column:
     return let(let(value, split), decide)
 
 
-def count_at_or_below(score: Column, cuts: Column) -> Column:
-    """How many values of a sorted array (up to 8191) are <= score, by binary search."""
-    steps = F.array(*(F.lit(1 << i) for i in range(12, -1, -1)))
+def count_at_or_below(score: Column, cuts: Column, at_most: int = 127) -> Column:
+    """How many values of a sorted array of up to `at_most` entries are <= score, by binary search."""
+    steps = F.array(*(F.lit(1 << i) for i in range(at_most.bit_length() - 1, -1, -1)))
     return F.aggregate(
         steps,
         F.lit(0),
@@ -62,11 +62,21 @@ def count_at_or_below(score: Column, cuts: Column) -> Column:
     )
 
 
-def percentile_of(score: Column, cuts: Column) -> Column:
-    """Share of the sorted cut points at or below the score, in percent; 0 without cut points."""
+def percentile_table(cuts: Column) -> Column:
+    """Percentile for 0, 1, ... all cut points at or below a score; 0 without cut points."""
     size = F.array_size(cuts)
-    share = F.lit(100.0) * count_at_or_below(score, cuts) / F.nullif(size, F.lit(0))
-    return F.when(size > 0, round_binary(share, 2)).otherwise(F.lit(0.0))
+    return F.transform(
+        F.sequence(F.lit(0), size),
+        lambda i: F.coalesce(round_binary(F.lit(100.0) * i / F.nullif(size, F.lit(0)), 2), F.lit(0.0)),
+    )
+
+
+def percentile_of(score: Column, cuts: Column, table: Column | None = None) -> Column:
+    """Share of the sorted cut points at or below the score, in percent.
+
+    `table` is the precomputed `percentile_table(cuts)`, when many rows share the cut points.
+    """
+    return F.get(percentile_table(cuts) if table is None else table, count_at_or_below(score, cuts))
 
 
 def priority(percentile: Column) -> Column:

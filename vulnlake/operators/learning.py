@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from vulnlake.functions.risk import clamp_unit
 from vulnlake.schemas import CVSS_CATEGORICAL, CVSS_NUMERIC
+from vulnlake.session import cut_lineage
 
 TARGET = "epss_current"
 LABEL = "kev_within_90_days"
 PREDICTED_EPSS = "pred_epss"
 PREDICTED_KEV = "pred_kev_prob"
 WEIGHT = "class_weight"
+ROWS = "n_rows"
 
 
 def feature_stages(
@@ -40,33 +42,41 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out the rows over spark.sql.shuffle.partitions tasks.
+def collapse(df: DataFrame, features: list[str], *, label: str | None = None, target: str | None = None) -> DataFrame:
+    """One weighted row per distinct feature combination (and label), with the mean target.
 
-    Boosting passes over its cached input once per tree level, so few or uneven partitions would slow
-    every pass; one shuffle of the model's columns is small beside that.
+    The features describe the vulnerability and not the day, so the daily rows of one vulnerability
+    agree on them. Squared error and log loss give weighted distinct rows the same splits and leaves as
+    the rows themselves, which turns every boosting pass from all rows into the distinct ones. The
+    result is written once to the shared folder, as each fitting stage reads it again, and spread over
+    spark.sql.shuffle.partitions tasks.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [*features, label] if label is not None else features
+    values = [F.avg(target).alias(target)] if target is not None else []
+    grouped = df.groupBy(*keys).agg(F.count("*").cast("double").alias(ROWS), *values)
+    stored = cut_lineage(grouped, "training")
+    return stored.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def balanced_weight(df: DataFrame, label: str = LABEL, weight: str = WEIGHT) -> DataFrame:
+def balanced_weight(
+    df: DataFrame, label: str = LABEL, weight: str = WEIGHT, rows: str | None = None
+) -> DataFrame:
     """total / (2 * rows of the class), so both classes weigh the same; 1 for an absent class.
 
-    The class counts are one aggregated row read as scalar subqueries: no window over two huge
-    label groups, no join, no collect.
+    With `rows` a row stands for that many and its weight is multiplied. The class counts are one
+    aggregated row read as scalar subqueries: no window over two huge label groups, no join, no collect.
     """
+    n = F.lit(1.0) if rows is None else F.col(rows)
     counts = df.agg(
-        F.count(label).cast("double").alias("total"),
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"),
+        F.sum(F.when(F.col(label).isNotNull(), n)).alias("total"),
+        F.sum(F.when(F.col(label) == 1, n)).alias("pos"),
+        F.sum(F.when(F.col(label) == 0, n)).alias("neg"),
     )
 
     def of(column: str):
-        return counts.select(
-            F.coalesce(F.col("total") / F.nullif(F.col(column) * 2, F.lit(0)), F.lit(1.0))
-        ).scalar()
+        return counts.select(F.coalesce(F.col("total") / (F.col(column) * 2), F.lit(1.0))).scalar()
 
-    return df.withColumn(weight, F.when(F.col(label) == 1, of("pos")).otherwise(of("neg")))
+    return df.withColumn(weight, n * F.when(F.col(label) == 1, of("pos")).otherwise(of("neg")))
 
 
 def train_exploit_model(
@@ -81,12 +91,13 @@ def train_exploit_model(
 ) -> PipelineModel:
     """Regression of the observed score on the vector's features."""
     model = GBTRegressor(
-        featuresCol="features_a", labelCol=target, predictionCol=PREDICTED_EPSS,
+        featuresCol="features_a", labelCol=target, weightCol=ROWS, predictionCol=PREDICTED_EPSS,
         maxIter=max_iter, maxDepth=max_depth, seed=seed,
     )
     stages = feature_stages(categorical, numeric, "features_a", "a_")
     rows = df.select(*categorical, *numeric, target).filter(F.col(target) >= 0.0)
-    return Pipeline(stages=[*stages, model]).fit(spread(fill_zero(rows, numeric)))
+    weighted = collapse(fill_zero(rows, numeric), [*categorical, *numeric], target=target)
+    return Pipeline(stages=[*stages, model]).fit(weighted)
 
 
 def apply_exploit_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:
@@ -114,7 +125,8 @@ def train_outcome_model(
     )
     stages = feature_stages(categorical, inputs, "features_b", "b_")
     rows = df.select(*categorical, *inputs, label).filter(F.col(label).isNotNull())
-    return Pipeline(stages=[*stages, model]).fit(spread(balanced_weight(fill_zero(rows, inputs), label)))
+    weighted = collapse(fill_zero(rows, inputs), [*categorical, *inputs], label=label)
+    return Pipeline(stages=[*stages, model]).fit(balanced_weight(weighted, label, rows=ROWS))
 
 
 def apply_outcome_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:

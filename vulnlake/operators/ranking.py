@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vulnlake.functions.risk import blended_score, percentile_of
+from vulnlake.functions.risk import blended_score, percentile_of, percentile_table
 
 DIGITS = 9
 BUCKETS = 4096
@@ -261,12 +261,13 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
 
 
 def add_percentile(df: DataFrame, score: str, cuts: DataFrame, name: str = "percentile") -> DataFrame:
-    """Place a score among the cut points, which enter as one small array (at most n entries)."""
-    array = cuts.agg(F.array_sort(F.collect_list("cut"))).scalar()
+    """Place a score among the cut points, which enter as one small array (at most 127 entries)."""
+    array = cuts.agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
+    both = array.select(F.struct("cuts", percentile_table(F.col("cuts")).alias("table"))).scalar()
     return (
-        df.withColumn("_cuts", array)
-        .withColumn(name, percentile_of(F.col(score), F.col("_cuts")))
-        .drop("_cuts")
+        df.withColumn("_p", both)
+        .withColumn(name, percentile_of(F.col(score), F.col("_p.cuts"), F.col("_p.table")))
+        .drop("_p")
     )
 
 
