@@ -240,7 +240,7 @@ SCORED = f"""{VECTORS}, w as (select p_partkey, vector,
              else (cast(round(total * 100000) as bigint) // 10000 + 1) / 10.0::double end as base_score,
         case when version = '2.0' then round(expl2 - 1e-9, 1) when version <> '4.0' then round(expl3, 1) end as exploitability_score,
         case when version = '2.0' then round(impact2, 1) when version <> '4.0' then round(impact3, 1) end as impact_score
-        from b where p_partkey % 10 < 9)"""
+        from b where regexp_matches(vector, '/S?A:[A-Z]$'))"""
 BAND = """case when base_score <= 0 then 'NONE' when base_score < 4 then 'LOW' when base_score < 7 then 'MEDIUM'
         when base_score < 9 then 'HIGH' when base_score is not null then 'CRITICAL' end"""
 

@@ -66,6 +66,15 @@ def test_running_totals_do_not_depend_on_the_buckets(spark, monkeypatch):
         assert ranking.pr_auc(df, "score", "label", bounds=(0, 1)).first()[0] == pytest.approx(want, abs=1e-12)
 
 
+def test_an_outlier_does_not_crowd_one_bucket(spark):
+    rows = _rows(400, 6) + [(1000, DAYS[0], 1e6, 1)]
+    got = ranking.running_totals(ranking.threshold_counts(_frame(spark, rows), "score", "label"))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "_bucket_1" in plan
+    want = _pr([(round(r[2], 9), r[3]) for r in rows])
+    assert ranking.pr_auc(_frame(spark, rows), "score", "label").first()[0] == pytest.approx(want, abs=1e-12)
+
+
 def test_null_labels_and_scores_are_left_out(spark):
     rows = _rows(100, 9)
     df = _frame(spark, rows + [(1000, DAYS[0], 0.99, None), (1001, DAYS[0], None, 1)])

@@ -160,6 +160,12 @@ def test_ingest_writes_bronze_and_manifest(spark, osv_dir, scores_dir, catalog_f
         manifest = bronze.read_manifest(spark, f"{root}/_manifests/source={source}")
         assert manifest.agg(F.sum("record_count")).first()[0] == n
         assert quality.integrity_summary(quality.file_report(bronze.file_facts(spark, root, source), manifest)).first()["passed"]
+    # A second run adds its own files to the manifest and leaves the first ones alone.
+    ingest.run_ingest(spark, root, run_id="r2", fetched_at=AT, catalog_path=catalog_file)
+    manifest = bronze.read_manifest(spark, f"{root}/_manifests/source=kev")
+    report = quality.file_report(bronze.file_facts(spark, root, "kev"), manifest)
+    summary = quality.integrity_summary(report).first()
+    assert summary["passed"] and summary["records_total"] == 6 and manifest.count() == summary["files_checked"]
 
 
 def test_files_roll_over(spark, tmp_path):

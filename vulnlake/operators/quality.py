@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vulnlake.operators.latest import latest
+
 REASON = "_reject_reason"
 
 
@@ -51,9 +53,10 @@ def file_report(facts: DataFrame, manifest: DataFrame) -> DataFrame:
     """One row per data file: what the files are against what the manifest says.
 
     Status is the first of missing_manifest, unreadable, sha256_mismatch, record_count_mismatch,
-    ok; the two mismatch flags can both be set. A file without manifest does not count records.
+    ok; the two mismatch flags can both be set. A file without manifest does not count records. Of
+    several manifest rows for a file the newest counts.
     """
-    said = manifest.select(
+    said = latest(manifest, ["path"], "created_at", ["sha256", "record_count"]).select(
         "path", F.col("sha256").alias("said_sha256"), F.col("record_count").alias("said_count"), F.lit(1).alias("_said")
     )
     known = F.col("_said").isNotNull()

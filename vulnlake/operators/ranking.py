@@ -2,10 +2,11 @@
 
 All curve metrics need, for every distinct score, the number of rows and positives at or above it.
 Rows are first counted per distinct score (combined before the shuffle). The running sums are then
-built on two levels, so that no task sees a whole group: sums over equal-width score buckets are
-accumulated first (at most `BUCKETS` rows per group), and the distinct scores of one bucket are
-accumulated on top of their bucket's offset. Scores are rounded to `DIGITS` places, which makes equal
-scores tie alike and limits a bucket to 10^DIGITS / BUCKETS distinct values per unit of score range.
+built level by level, so that no task sees a whole group: the score range is cut into `BUCKETS` equal
+parts whose sums are accumulated first; every part is cut again over its own range, which spreads a
+part that holds most scores; the distinct scores of the smallest parts are accumulated on top of the
+offsets. Scores are rounded to `DIGITS` places, which makes equal scores tie alike and bounds a
+smallest part to 10^DIGITS / BUCKETS^2 distinct scores per unit of range. Group columns hold no nulls.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from vulnlake.functions.risk import blended_score, percentile_of, percentile_tab
 
 DIGITS = 9
 BUCKETS = 4096
+LEVELS = 2
 CUT_COUNT = 101
 
 
@@ -34,6 +36,12 @@ def threshold_counts(df: DataFrame, score: str, label: str, groups: list[str] |
     )
 
 
+def _place(low: Column, width: Column) -> Column:
+    """Bucket of a threshold in [low, low + width]; never decreasing in the threshold."""
+    position = (F.col("threshold") - low) / F.nullif(width, F.lit(0.0)) * BUCKETS
+    return F.coalesce(F.floor(position), F.lit(0).cast("bigint"))
+
+
 def running_totals(
     counts: DataFrame, groups: list[str] | None = None, bounds: tuple[float, float] | None = None
 ) -> DataFrame:
@@ -41,43 +49,52 @@ def running_totals(
 
     `bounds` are known limits of the score; without them one extra aggregate finds them.
     """
-    groups = list(groups or [])
+    keys = list(groups or [])
     if bounds is None:
         low = counts.agg(F.min("threshold")).scalar()
-        width = counts.agg(F.nullif(F.max("threshold") - F.min("threshold"), F.lit(0.0))).scalar()
+        width = counts.agg(F.max("threshold") - F.min("threshold")).scalar()
     else:
         low, width = F.lit(float(bounds[0])), F.lit(float(bounds[1] - bounds[0]))
-    place = F.coalesce(F.floor((F.col("threshold") - low) / width * BUCKETS), F.lit(0).cast("bigint"))
-    placed = counts.withColumn("_bucket", place)
-
-    whole = Window.partitionBy(*groups)
-    above = whole.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*groups, "_bucket")
-        .agg(F.sum("pos").alias("_p"), F.sum("n").alias("_n"))
-        .select(
-            *groups,
-            "_bucket",
-            F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_pos_above"),
-            F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
-            F.sum("_p").over(whole).alias("total_pos"),
-            F.sum("_n").over(whole).alias("total_n"),
+    columns = [*keys, "threshold", "pos", "n"]
+    above_pos, above_n, kept = F.lit(0), F.lit(0), []
+    placed = counts.select(*columns)
+    for level in range(LEVELS):
+        bucket = f"_bucket_{level}"
+        placed = placed.withColumn(bucket, _place(low, width)).drop("_low", "_width")
+        whole = Window.partitionBy(*keys)
+        higher = whole.orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+        totals = [F.sum("_p").over(whole).alias("total_pos"), F.sum("_n").over(whole).alias("total_n")]
+        offsets = (
+            placed.groupBy(*keys, bucket)
+            .agg(
+                F.sum("pos").alias("_p"), F.sum("n").alias("_n"),
+                F.min("threshold").alias("_low"), (F.max("threshold") - F.min("threshold")).alias("_width"),
+            )
+            .select(
+                *keys, bucket, "_low", "_width",
+                F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_more_pos"),
+                F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_more_n"),
+                *(totals if level == 0 else []),
+            )
         )
-    )
+        keys = [*keys, bucket]
+        kept = ["total_pos", "total_n"]
+        placed = placed.join(offsets, keys).select(
+            *dict.fromkeys([*columns, *keys, "_low", "_width", *kept]),
+            (above_pos + F.col("_more_pos")).alias("_above_pos"),
+            (above_n + F.col("_more_n")).alias("_above_n"),
+        )
+        low, width, above_pos, above_n = (F.col(c) for c in ("_low", "_width", "_above_pos", "_above_n"))
     inside = (
-        Window.partitionBy(*groups, "_bucket")
+        Window.partitionBy(*keys)
         .orderBy(F.desc("threshold"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return placed.join(offsets, [*groups, "_bucket"]).select(
-        *groups,
-        "threshold",
-        "pos",
-        "n",
-        (F.sum("pos").over(inside) + F.col("_pos_above")).alias("tp"),
-        (F.sum("n").over(inside) + F.col("_n_above")).alias("cnt"),
-        "total_pos",
-        "total_n",
+    return placed.select(
+        *columns,
+        (F.sum("pos").over(inside) + above_pos).alias("tp"),
+        (F.sum("n").over(inside) + above_n).alias("cnt"),
+        *kept,
     )
 
 

@@ -97,5 +97,5 @@ def run_ingest(
     for source, envelopes in jobs.items():
         bronze.write_bronze(envelopes, bronze_root, source, fetched_at[:10], max_records=max_records)
         bronze.write_manifest(
-            spark, bronze_root, source, f"{bronze_root}/_manifests/source={source}/run_id={run_id}", fetched_at
+            spark, bronze_root, source, f"{bronze_root}/_manifests/source={source}", fetched_at, run_id
         )

@@ -74,13 +74,15 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def file_facts(spark: SparkSession, root: str, source: str) -> DataFrame:
+def file_facts(spark: SparkSession, root: str, source: str, run_id: str | None = None) -> DataFrame:
     """One row per data file: path, sha256, record_count, and whether it decompresses whole.
 
+    All files of the source, or those of one run.
+
     The gzip trailer holds the plain size; a truncated file cannot match it. Files are hashed as
     binary (their size is capped by the writer) and counted as text, both on the executors.
     """
-    path = source_path(root, source)
+    path = source_path(root, source) + (f"/ingest_date=*/run_id={run_id}" if run_id else "")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", DATA_GLOB)
@@ -119,10 +121,12 @@ def _canonical(path):
     return F.regexp_replace(path, r"^([a-z0-9]+):/+", "$1:/")
 
 
-def write_manifest(spark: SparkSession, root: str, source: str, manifest_path: str, created_at: str) -> None:
-    """Hash and count the finished files of one source in a second job and store the result."""
+def write_manifest(
+    spark: SparkSession, root: str, source: str, manifest_path: str, created_at: str, run_id: str | None = None
+) -> None:
+    """Hash and count the finished files of one source (or run) in a second job and store the result."""
     (
-        file_facts(spark, root, source)
+        file_facts(spark, root, source, run_id)
         .select("path", "source", "record_count", "sha256", F.lit(created_at).alias("created_at"))
         .write.mode("append")
         .parquet(manifest_path)
@@ -130,4 +134,6 @@ def write_manifest(spark: SparkSession, root: str, source: str, manifest_path: s
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    return spark.read.schema(schemas.struct(schemas.MANIFEST)).parquet(manifest_path)
+    """All manifest rows below the path."""
+    reader = spark.read.schema(schemas.struct(schemas.MANIFEST)).option("recursiveFileLookup", "true")
+    return reader.parquet(manifest_path)
