@@ -57,22 +57,22 @@ def test_pr_and_roc_equal_the_evaluator(spark, score):
     assert got["area_under_pr"] == pytest.approx(_pr([(r[2], r[3]) for r in rows]), abs=1e-12)
 
 
-def test_running_totals_do_not_depend_on_the_buckets(spark, monkeypatch):
-    df = _frame(spark, _rows(500, 5))
-    want = ranking.pr_auc(df, "score", "label").first()[0]
-    for buckets in (1, 2, 17, 100_000):
-        monkeypatch.setattr(ranking, "BUCKETS", buckets)
-        assert ranking.pr_auc(df, "score", "label").first()[0] == pytest.approx(want, abs=1e-12)
-        assert ranking.pr_auc(df, "score", "label", bounds=(0, 1)).first()[0] == pytest.approx(want, abs=1e-12)
-
-
-def test_an_outlier_does_not_crowd_one_bucket(spark):
-    rows = _rows(400, 6) + [(1000, DAYS[0], 1e6, 1)]
-    got = ranking.running_totals(ranking.threshold_counts(_frame(spark, rows), "score", "label"))
-    plan = got._jdf.queryExecution().analyzed().toString()
-    assert "_bucket_1" in plan
-    want = _pr([(round(r[2], 9), r[3]) for r in rows])
-    assert ranking.pr_auc(_frame(spark, rows), "score", "label").first()[0] == pytest.approx(want, abs=1e-12)
+@pytest.mark.parametrize("outlier", [[], [(1000, DAYS[0], 1e6, 1)]])
+def test_many_ranges_give_the_same_area(spark, outlier):
+    rows = _rows(500, 5) + outlier
+    df = _frame(spark, rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        totals = ranking.running_totals(ranking.threshold_counts(df, "score", "label"))
+        got = ranking.pr_auc(df, "score", "label").first()[0]
+        per_date = {r["day"]: r["pr_auc"] for r in ranking.pr_auc(df, "score", "label", ["day"]).collect()}
+        ordered = [(r["tp"], r["cnt"]) for r in totals.orderBy(F.desc("threshold")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == pytest.approx(_pr([(round(r[2], 9), r[3]) for r in rows]), abs=1e-12)
+    for day, area in per_date.items():
+        assert area == pytest.approx(_pr([(round(r[2], 9), r[3]) for r in rows if r[1] == day]), abs=1e-12)
+    assert ordered == sorted(ordered) and ordered[-1] == (sum(r[3] for r in rows), len(rows))
 
 
 def test_null_labels_and_scores_are_left_out(spark):

@@ -50,7 +50,7 @@ def millisecond_text(ts: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """Date from the first ten characters, null when they are not an ISO date."""
     head = F.substring(text, 1, 10)
-    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, DATE_PATTERN))
+    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head.try_cast("date"))
 
 
 def day_number(date: Column) -> Column:

@@ -1,12 +1,11 @@
-"""Ranking quality of a score against a binary label, pooled or per group, in one job each.
+"""Ranking quality of a score against a binary label, pooled or per group.
 
 All curve metrics need, for every distinct score, the number of rows and positives at or above it.
-Rows are first counted per distinct score (combined before the shuffle). The running sums are then
-built level by level, so that no task sees a whole group: the score range is cut into `BUCKETS` equal
-parts whose sums are accumulated first; every part is cut again over its own range, which spreads a
-part that holds most scores; the distinct scores of the smallest parts are accumulated on top of the
-offsets. Scores are rounded to `DIGITS` places, which makes equal scores tie alike and bounds a
-smallest part to 10^DIGITS / BUCKETS^2 distinct scores per unit of range. Group columns hold no nulls.
+Rows are first counted per distinct score (combined before the shuffle) and that table is written to the
+shared folder in score order, range-partitioned: the input is scanned once, and since every (group,
+score) occurs once, the ranges are even whatever the scores look like. Running sums then come from the
+sums per range, of which a group has few, plus the running sums inside a range. No task sees a whole
+group. Scores are rounded to `DIGITS` places, so that equal scores tie alike. Group columns hold no nulls.
 """
 
 from __future__ import annotations
@@ -15,10 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnlake.functions.risk import blended_score, percentile_of, percentile_table
+from vulnlake.session import cut_lineage
 
 DIGITS = 9
-BUCKETS = 4096
-LEVELS = 2
 CUT_COUNT = 101
 
 
@@ -27,74 +25,58 @@ def _labelled(df: DataFrame, score: str, label: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
 
 
+def _quantize(value: Column, digits: int = DIGITS) -> Column:
+    """Nearest multiple of 10^-digits, in plain double arithmetic."""
+    scale = float(10**digits)
+    return F.rint(value.cast("double") * scale) / scale
+
+
 def threshold_counts(df: DataFrame, score: str, label: str, groups: list[str] | None = None) -> DataFrame:
     """(groups, threshold, pos, n): rows and positives per distinct score."""
     return (
         _labelled(df, score, label)
-        .groupBy(*(groups or []), F.round(F.col(score).cast("double"), DIGITS).alias("threshold"))
+        .groupBy(*(groups or []), _quantize(F.col(score)).alias("threshold"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
     )
 
 
-def _place(low: Column, width: Column) -> Column:
-    """Bucket of a threshold in [low, low + width]; never decreasing in the threshold."""
-    position = (F.col("threshold") - low) / F.nullif(width, F.lit(0.0)) * BUCKETS
-    return F.coalesce(F.floor(position), F.lit(0).cast("bigint"))
-
-
-def running_totals(
-    counts: DataFrame, groups: list[str] | None = None, bounds: tuple[float, float] | None = None
-) -> DataFrame:
+def running_totals(counts: DataFrame, groups: list[str] | None = None) -> DataFrame:
     """Add tp and cnt (positives and rows at or above the threshold), total_pos and total_n.
 
-    `bounds` are known limits of the score; without them one extra aggregate finds them.
+    Writes the counts once: the range a row belongs to must be the same for the sums and for the rows.
     """
-    keys = list(groups or [])
-    if bounds is None:
-        low = counts.agg(F.min("threshold")).scalar()
-        width = counts.agg(F.max("threshold") - F.min("threshold")).scalar()
-    else:
-        low, width = F.lit(float(bounds[0])), F.lit(float(bounds[1] - bounds[0]))
-    columns = [*keys, "threshold", "pos", "n"]
-    above_pos, above_n, kept = F.lit(0), F.lit(0), []
-    placed = counts.select(*columns)
-    for level in range(LEVELS):
-        bucket = f"_bucket_{level}"
-        placed = placed.withColumn(bucket, _place(low, width)).drop("_low", "_width")
-        whole = Window.partitionBy(*keys)
-        higher = whole.orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, -1)
-        totals = [F.sum("_p").over(whole).alias("total_pos"), F.sum("_n").over(whole).alias("total_n")]
-        offsets = (
-            placed.groupBy(*keys, bucket)
-            .agg(
-                F.sum("pos").alias("_p"), F.sum("n").alias("_n"),
-                F.min("threshold").alias("_low"), (F.max("threshold") - F.min("threshold")).alias("_width"),
-            )
-            .select(
-                *keys, bucket, "_low", "_width",
-                F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_more_pos"),
-                F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_more_n"),
-                *(totals if level == 0 else []),
-            )
-        )
-        keys = [*keys, bucket]
-        kept = ["total_pos", "total_n"]
-        placed = placed.join(offsets, keys).select(
-            *dict.fromkeys([*columns, *keys, "_low", "_width", *kept]),
-            (above_pos + F.col("_more_pos")).alias("_above_pos"),
-            (above_n + F.col("_more_n")).alias("_above_n"),
+    groups = list(groups or [])
+    ranged = counts.repartitionByRange(*groups, F.desc("threshold")).withColumn("_range", F.spark_partition_id())
+    stored = cut_lineage(ranged, "thresholds")
+
+    whole = Window.partitionBy(*groups)
+    higher = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        stored.groupBy(*groups, "_range")
+        .agg(F.sum("pos").alias("_p"), F.sum("n").alias("_n"))
+        .select(
+            *groups,
+            "_range",
+            F.coalesce(F.sum("_p").over(higher), F.lit(0)).alias("_pos_above"),
+            F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_n_above"),
+            F.sum("_p").over(whole).alias("total_pos"),
+            F.sum("_n").over(whole).alias("total_n"),
         )
-        low, width, above_pos, above_n = (F.col(c) for c in ("_low", "_width", "_above_pos", "_above_n"))
+    )
     inside = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*groups, "_range")
         .orderBy(F.desc("threshold"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return placed.select(
-        *columns,
-        (F.sum("pos").over(inside) + above_pos).alias("tp"),
-        (F.sum("n").over(inside) + above_n).alias("cnt"),
-        *kept,
+    return stored.join(offsets, [*groups, "_range"]).select(
+        *groups,
+        "threshold",
+        "pos",
+        "n",
+        (F.sum("pos").over(inside) + F.col("_pos_above")).alias("tp"),
+        (F.sum("n").over(inside) + F.col("_n_above")).alias("cnt"),
+        "total_pos",
+        "total_n",
     )
 
 
@@ -118,28 +100,28 @@ def _roc_area() -> Column:
     return F.sum(negatives * (tp - pos / 2) / F.nullif(pairs, F.lit(0.0)))
 
 
-def pr_auc(df: DataFrame, score: str, label: str, groups: list[str] | None = None, bounds=None) -> DataFrame:
+def pr_auc(df: DataFrame, score: str, label: str, groups: list[str] | None = None) -> DataFrame:
     """(groups, pr_auc): exact area under the precision-recall curve; null without positives."""
-    totals = running_totals(threshold_counts(df, score, label, groups), groups, bounds)
+    totals = running_totals(threshold_counts(df, score, label, groups), groups)
     return totals.groupBy(*(groups or [])).agg(_pr_area().alias("pr_auc"))
 
 
 def classification_metrics(
-    df: DataFrame, score: str, label: str, groups: list[str] | None = None, bounds=None
+    df: DataFrame, score: str, label: str, groups: list[str] | None = None
 ) -> DataFrame:
     """(groups, area_under_pr, area_under_roc) from one set of running totals."""
-    totals = running_totals(threshold_counts(df, score, label, groups), groups, bounds)
+    totals = running_totals(threshold_counts(df, score, label, groups), groups)
     return totals.groupBy(*(groups or [])).agg(
         _pr_area().alias("area_under_pr"), _roc_area().alias("area_under_roc")
     )
 
 
 def pr_auc_by_date(
-    df: DataFrame, score: str, label: str, day: str, groups: list[str] | None = None, bounds=None
+    df: DataFrame, score: str, label: str, day: str, groups: list[str] | None = None
 ) -> DataFrame:
     """(groups, macro_pr_auc, dates_scored, dates_without_positives): mean over dates with positives."""
     groups = list(groups or [])
-    per_date = pr_auc(df, score, label, [*groups, day], bounds)
+    per_date = pr_auc(df, score, label, [*groups, day])
     return per_date.groupBy(*groups).agg(
         F.coalesce(F.avg("pr_auc"), F.lit(0.0)).alias("macro_pr_auc"),
         F.count("pr_auc").alias("dates_scored"),
@@ -259,7 +241,7 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
     Every distinct score knows how many rows lie at or below it, hence which quantiles it answers.
     """
     rows = df.filter(F.col(score).isNotNull())
-    counts = rows.groupBy(F.round(F.col(score).cast("double"), DIGITS).alias("threshold")).agg(
+    counts = rows.groupBy(_quantize(F.col(score)).alias("threshold")).agg(
         F.lit(0).cast("bigint").alias("pos"), F.count("*").alias("n")
     )
     totals = running_totals(counts)
@@ -301,7 +283,7 @@ def weight_grid(step: float = 0.05) -> list[tuple[float, float, float]]:
 def tune_weights(
     df: DataFrame, cvss: str, exploit: str, outcome: str, label: str, *, step: float = 0.05
 ) -> DataFrame:
-    """(w1, w2, w3, pr_auc) for every grid point, in one job.
+    """(w1, w2, w3, pr_auc) for every grid point, all points together.
 
     Rows are counted per distinct (cvss, exploit, outcome) before the grid multiplies them: model
     outputs take few distinct values, so the grid works on those and not on the rows.
@@ -309,28 +291,24 @@ def tune_weights(
     rows = df.filter(F.col(label).isNotNull())
     inputs = rows.groupBy(
         F.col(cvss).cast("double").alias("_cvss"),
-        F.round(F.col(exploit).cast("double"), DIGITS + 3).alias("_exploit"),
-        F.round(F.col(outcome).cast("double"), DIGITS + 3).alias("_outcome"),
+        _quantize(F.col(exploit), DIGITS + 3).alias("_exploit"),
+        _quantize(F.col(outcome), DIGITS + 3).alias("_outcome"),
     ).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
-    grid = F.array(
-        *(F.struct(F.lit(a).alias("w1"), F.lit(b).alias("w2"), F.lit(c).alias("w3")) for a, b, c in weight_grid(step))
-    )
-    scored = inputs.select("*", F.inline(grid)).withColumn(
-        "threshold",
-        F.round(
-            blended_score(
-                F.col("_cvss"), F.col("_exploit"), F.col("_outcome"), F.col("w1"), F.col("w2"), F.col("w3")
-            ),
-            DIGITS,
-        ),
+    points = weight_grid(step)
+    grid = F.array(*(F.struct(*(F.lit(w).alias(f"w{i}") for i, w in enumerate(p, 1))) for p in points))
+    blended = blended_score(
+        F.col("_cvss"), F.col("_exploit"), F.col("_outcome"), F.col("_w.w1"), F.col("_w.w2"), F.col("_w.w3")
     )
-    groups = ["w1", "w2", "w3"]
+    # The number of the grid point is the group; its weights come back at the end.
     counts = (
-        scored.filter(F.col("threshold").isNotNull())
-        .groupBy(*groups, "threshold")
+        inputs.select("*", F.posexplode(grid).alias("_point", "_w"))
+        .select("_point", _quantize(blended).alias("threshold"), "pos", "n")
+        .filter(F.col("threshold").isNotNull())
+        .groupBy("_point", "threshold")
         .agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     )
-    return running_totals(counts, groups, (0.0, 10.0)).groupBy(*groups).agg(_pr_area().alias("pr_auc"))
+    areas = running_totals(counts, ["_point"]).groupBy("_point").agg(_pr_area().alias("pr_auc"))
+    return areas.select(F.get(grid, F.col("_point")).alias("_w"), "pr_auc").select("_w.*", "pr_auc")
 
 
 def best_weights(tuned: DataFrame) -> DataFrame:

@@ -95,7 +95,7 @@ def run_training(
     sections = [
         _long(counts, "splits", ["split"]),
         _long(ranking.regression_metrics(scored, learning.PREDICTED_EPSS, target, ["split"]), "model_a", ["split"]),
-        _long(ranking.classification_metrics(scored, learning.PREDICTED_KEV, label, ["split"], (0.0, 1.0)), "model_b", ["split"]),
+        _long(ranking.classification_metrics(scored, learning.PREDICTED_KEV, label, ["split"]), "model_b", ["split"]),
         _long(weight_table, "weights", []),
         _long(compared, "test_ranking", ["score_name"]),
     ]

@@ -15,6 +15,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.schemaInference": "false",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Ranks up to this limit are cut before the shuffle (top-k per group, latest per key).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
