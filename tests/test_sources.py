@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vulnlake.operators import quality
-from vulnlake.plans import ingest
+from vulnlake.plans import ingest, validate
 from vulnlake.sources import bronze, catalog, messages, osv, scores
 
 AT = "2024-06-02 01:02:03"
@@ -116,6 +116,17 @@ def test_score_files(spark, scores_dir, monkeypatch, limit):
     assert bad == {"CVE-2024-0002", "CVE-2024-0003", "CVE-2024-0004", None, "CVE-2024-0006"}
 
 
+def test_score_files_are_chosen_by_date_before_they_are_read(spark, scores_dir):
+    read = lambda **k: scores.read_score_files(spark, scores_dir, **k)
+    assert {r["cve"] for r in read(start="2024-06-02").collect()} == {"CVE-2024-0001"}
+    assert read(end="2024-06-01").count() == 7 and read(days_of_month=[1, 15]).count() == 7
+    assert read(start="2024-06-03").count() == 0
+    first = read(end="2024-06-01")
+    first.collect()
+    node = first._jdf.queryExecution().executedPlan().toString()
+    assert "file_name" in node
+
+
 def test_score_envelopes(spark, scores_dir):
     typed = scores.typed_scores(scores.read_score_files(spark, scores_dir))
     rows = ingest.score_envelopes(typed, "run", F.lit(AT).cast("timestamp")).collect()
@@ -160,12 +171,15 @@ def test_ingest_writes_bronze_and_manifest(spark, osv_dir, scores_dir, catalog_f
         manifest = bronze.read_manifest(spark, f"{root}/_manifests/source={source}")
         assert manifest.agg(F.sum("record_count")).first()[0] == n
         assert quality.integrity_summary(quality.file_report(bronze.file_facts(spark, root, source), manifest)).first()["passed"]
+    summary = validate.validate_bronze(spark, root, f"{root}/_manifests").first()
+    assert summary["passed"] and summary["records_total"] == 8 and summary["duplicate_event_ids"] == 0
     # A second run adds its own files to the manifest and leaves the first ones alone.
     ingest.run_ingest(spark, root, run_id="r2", fetched_at=AT, catalog_path=catalog_file)
     manifest = bronze.read_manifest(spark, f"{root}/_manifests/source=kev")
     report = quality.file_report(bronze.file_facts(spark, root, "kev"), manifest)
     summary = quality.integrity_summary(report).first()
     assert summary["passed"] and summary["records_total"] == 6 and manifest.count() == summary["files_checked"]
+    assert validate.validate_bronze(spark, root, f"{root}/_manifests").first()["duplicate_event_ids"] == 3
 
 
 def test_files_roll_over(spark, tmp_path):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vulnlake.plans import ingest
 from vulnlake.sources import bronze, tables
-from vulnlake.streaming import silver
+from vulnlake.streaming import silver, sink
 
 AT = "2024-06-02 01:02:03"
 
@@ -134,3 +134,55 @@ def test_all_sources_run_side_by_side(spark, tmp_path):
     silver.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints")
     assert _silver(spark, root).count() == 5
     assert tables.read_silver(spark, f"{root}/silver", "kev").count() == 0
+
+
+TOPICS = {"nvd": "raw.nvd", "epss": "raw.epss", "kev": "raw.kev"}
+LOG = "topic string, partition int, offset bigint, value string"
+
+
+def _log(spark, path, rows):
+    spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(path)
+
+
+def _message(i, source="epss", **changes):
+    record = {
+        "event_id": f"e{i}", "event_schema_version": "1.0.0", "source": source, "source_record_id": f"r{i}",
+        "event_type": "source.raw_record", "effective_date": "2024-06-01", "source_modified_at": None,
+        "fetched_at": "2024-06-01T00:00:00Z", "ingestion_run_id": "r1", "payload_sha256": "s",
+        "payload": {"cve": f"CVE-2024-{i:05d}", "epss": 0.5, "score_date": "2024-06-01", "extra": [1, {"a": 2}]},
+    }
+    return json.dumps({**record, **changes})
+
+
+def test_message_log_to_bronze_and_dead_letters(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "bronze")
+    good = [("raw.epss", 0, i, _message(i)) for i in range(5)] + [("raw.kev", 0, 5, _message(5, "kev"))]
+    bad = [
+        ("raw.epss", 0, 10, "junk"), ("raw.epss", 0, 11, _message(11, event_id=None)), ("raw.epss", 0, 12, None),
+        ("raw.epss", 0, 13, _message(13, effective_date="2024-13-40")), ("raw.epss", 0, 14, _message(14, source="other")),
+        ("raw.epss", 0, 15, _message(15, payload=[1])),
+    ]
+    _log(spark, log, good + bad + [("unrelated", 0, 20, _message(20))])
+
+    def run():
+        stream = spark.readStream.schema(LOG).parquet(log)
+        sink.start_bronze_sink(stream, TOPICS, root, f"{tmp_path}/checkpoint", "2024-06-01").awaitTermination()
+
+    run()
+    epss = bronze.read_bronze(spark, root, "epss")
+    assert {r["event_id"] for r in epss.collect()} == {f"e{i}" for i in range(5)}
+    assert bronze.read_bronze(spark, root, "kev").count() == 1 and bronze.read_bronze(spark, root, "nvd").count() == 0
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").text(f"{root}/source=epss")
+    assert {r[0] for r in raw.collect()} == {_message(i) for i in range(5)}
+    letters = {r["original_offset"]: r for r in spark.read.json(sink.dead_letter_path(root)).collect()}
+    assert {k: v["error_type"] for k, v in letters.items()} == {
+        10: "MalformedRecord", 11: "MissingField", 12: "MalformedRecord", 13: "InvalidField", 14: "InvalidField", 15: "InvalidField",
+    }
+    _log(spark, log, [("raw.epss", 0, 30, _message(30))])
+    run()
+    assert bronze.read_bronze(spark, root, "epss").count() == 6
+    write = sink.batch_sink(TOPICS, root, f"{tmp_path}/checkpoint", "2024-06-01", "all", 10_000)
+    write(spark.createDataFrame([("raw.epss", 0, 30, _message(30))], LOG), 1)
+    assert bronze.read_bronze(spark, root, "epss").count() == 6
+    silver.run_silver(spark, root, f"{tmp_path}/silver", f"{tmp_path}/silver-checkpoints", sources=("epss",))
+    assert _silver(spark, str(tmp_path)).count() == 6

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vulnlake import schemas
 
 # Data files only: sidecars such as `x.jsonl.gz.manifest.json` do not match.
-DATA_GLOB = "*.json*.gz"
+DATA_GLOB = "*.{json,jsonl,txt}.gz"
 MAX_RECORDS_PER_FILE = 10_000
 MAX_BYTES_PER_FILE = 64 * 1024 * 1024
 

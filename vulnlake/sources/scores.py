@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +20,33 @@ def _meta(line: Column, key: str) -> Column:
     return F.trim(F.regexp_extract(line, rf"(?:^#+|,)\s*{key}\s*:([^,]*)", 1))
 
 
-def read_score_files(spark: SparkSession, path: str, *, glob: str = FILE_GLOB) -> DataFrame:
+def _named_date(name: Column) -> Column:
+    return parse_date(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})[^/]*$", 1))
+
+
+def read_score_files(
+    spark: SparkSession,
+    path: str,
+    *,
+    glob: str = FILE_GLOB,
+    start: str | None = None,
+    end: str | None = None,
+    days_of_month: list[int] | None = None,
+) -> DataFrame:
     """Rows (cve, epss, percentile as text) with model_version and score_date of their file.
 
     Lines stream through the text source, so a file of any size stays one scan; the comment line
-    is joined back by file path. The date falls back to the one in the file name.
+    is joined back by file path. The date falls back to the one in the file name. A date range and days
+    of the month select files by the date in their name, before any file is opened; files without one
+    are selected by their stated date.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.rtrim("value").alias("line"))
-    )
+    text = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    chosen = None
+    if start is not None or end is not None or days_of_month:
+        chosen = partial(_in_days, start=start, end=end, days_of_month=days_of_month)
+        day = _named_date(F.col("_metadata.file_name"))
+        text = text.filter(day.isNull() | chosen(day))
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.rtrim("value").alias("line"))
     is_comment = F.col("line").startswith("#")
     is_header = F.lower("line").startswith("cve,")
     comments = (
@@ -47,19 +64,29 @@ def read_score_files(spark: SparkSession, path: str, *, glob: str = FILE_GLOB) -
         comments = F.broadcast(comments)
     data = lines.filter(~is_comment & ~is_header & (F.col("line") != ""))
     fields = F.from_csv("line", "cve string, epss string, percentile string").alias("f")
-    file_date = parse_date(F.regexp_extract("file", r"(\d{4}-\d{2}-\d{2})[^/]*$", 1))
-    return (
+    named = _named_date(F.col("file"))
+    rows = (
         data.select("file", fields)
         .join(comments, "file", "left")
         .select(
             F.trim("f.cve").alias("cve"),
             F.trim("f.epss").alias("epss"),
             F.trim("f.percentile").alias("percentile"),
-            F.coalesce("stated_date", file_date).alias("score_date"),
+            F.coalesce("stated_date", named).alias("score_date"),
             F.coalesce("model_version", F.lit("")).alias("model_version"),
             "file",
         )
     )
+    return rows if chosen is None else rows.filter(_named_date(F.col("file")).isNotNull() | chosen(F.col("score_date")))
+
+
+def _in_days(day: Column, start: str | None, end: str | None, days_of_month: list[int] | None) -> Column:
+    kept = F.lit(True)
+    if start is not None:
+        kept = kept & (day >= F.lit(start).cast("date"))
+    if end is not None:
+        kept = kept & (day <= F.lit(end).cast("date"))
+    return kept & F.dayofmonth(day).isin(days_of_month) if days_of_month else kept
 
 
 def typed_scores(rows: DataFrame) -> DataFrame:

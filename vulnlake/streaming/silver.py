@@ -19,7 +19,7 @@ def rejected_path(silver_root: str, source: str) -> str:
     return f"{silver_root}/rejected/source={source}"
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the query, stored with its checkpoint."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
@@ -33,7 +33,7 @@ def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[Da
     table, _ = schemas.SILVER[source]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load = f"load={_query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        load = f"load={query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
         annotated = NORMALIZERS[source](batch).persist()
         try:
             accepted(annotated).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
