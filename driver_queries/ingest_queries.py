@@ -12,10 +12,10 @@ from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
 from driver_queries.silver_queries import BAND, SCORED
 from vulnlake.functions import hashing
 from vulnlake.operators import quality
-from vulnlake.plans import ingest
+from vulnlake.plans import ingest, validate
 from vulnlake.session import new_dir
 from vulnlake.sources import bronze, catalog, messages, osv, scores, tables
-from vulnlake.streaming import silver
+from vulnlake.streaming import silver, sink
 
 FETCHED = "2024-06-01 00:00:00"
 RUN = "run1"
@@ -332,12 +332,11 @@ def bronze_manifest(spark, sf):
 @query(
     "bronze_validate",
     """select count(*) as records_total, cast(0 as bigint) as missing_manifest, cast(0 as bigint) as sha256_mismatch,
-        cast(0 as bigint) as record_count_mismatch, cast(0 as bigint) as parse_errors, cast(1 as integer) as passed from events""",
+        cast(0 as bigint) as record_count_mismatch, cast(0 as bigint) as parse_errors, cast(0 as bigint) as duplicate_event_ids, cast(1 as integer) as passed from events""",
 )
 def bronze_validate(spark, sf):
-    root, manifest = _with_manifest(spark, sf, "bronze-validate")
-    report = quality.file_report(bronze.file_facts(spark, root, "epss"), manifest)
-    summary = quality.integrity_summary(report)
+    root, _ = _with_manifest(spark, sf, "bronze-validate")
+    summary = validate.validate_bronze(spark, root, f"{root}/_manifests", ("epss",))
     return summary.drop("files_checked").withColumn("passed", F.col("passed").cast("int"))
 
 
@@ -411,6 +410,49 @@ def silver_stream(spark, sf):
     return epss.union(kev)
 
 
+@query(
+    "message_sink",
+    """select cast(event_id as varchar) as record, case event_type when 'view' then 'nvd' when 'click' then 'epss' else 'kev' end as source,
+        case when event_id % 11 = 0 then 'MalformedRecord' when event_id % 13 = 0 then 'MissingField'
+            when event_id % 17 = 0 then 'InvalidField' else 'good' end as outcome
+    from events where event_type in ('view', 'click', 'purchase')""",
+)
+def message_sink(spark, sf):
+    """The events as a message log, streamed to Bronze files and dead letters."""
+    n = F.col("event_id")
+    topic = F.col("event_type")
+    record = F.to_json(
+        F.struct(
+            F.when(n % 13 != 0, F.concat(F.lit("e"), text(n))).alias("event_id"),
+            messages.source_of(topic, TOPICS).alias("source"),
+            text(n).alias("source_record_id"),
+            F.lit("source.raw_record").alias("event_type"),
+            F.when(n % 17 == 0, F.lit("2024-13-40")).otherwise(text(F.col("ts").cast("date"))).alias("effective_date"),
+            F.lit("2024-06-01T00:00:00Z").alias("fetched_at"),
+            F.lit(RUN).alias("ingestion_run_id"),
+            F.sha2("props", 256).alias("payload_sha256"),
+            F.struct(F.col("value")).alias("payload"),
+        )
+    )
+    root = new_dir(spark, "sink")
+    log = table(spark, sf, "events").select(
+        topic.alias("topic"), (n % 3).cast("int").alias("partition"), n.alias("offset"),
+        F.when(n % 11 == 0, F.lit("{")).otherwise(record).alias("value"),
+    )
+    log.write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(log.schema).parquet(f"{root}/log")
+    sink.start_bronze_sink(stream, TOPICS, f"{root}/bronze", f"{root}/checkpoint", FETCHED[:10]).awaitTermination()
+    letters = spark.read.json(sink.dead_letter_path(f"{root}/bronze")).select(
+        text("original_offset").alias("record"),
+        messages.source_of(F.col("original_topic"), TOPICS).alias("source"),
+        F.col("error_type").alias("outcome"),
+    )
+    for source in TOPICS:
+        rows = bronze.read_bronze(spark, f"{root}/bronze", source)
+        letters = letters.union(rows.select(F.col("source_record_id"), "source", F.lit("good")))
+    return letters
+
+
 @query(
     "silver_rejects",
     f"""with {BRONZE_ROWS} select reason, count(*) as n from (select case when cve = 'X' then 'invalid_cve_id'

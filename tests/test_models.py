@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from vulnlake import session
 from vulnlake.operators import learning, splits
 from vulnlake.plans import scoring, training
 
@@ -124,3 +125,31 @@ def test_splits_are_disjoint_ordered_and_complete(spark):
     assert spans["train"][1] < spans["val"][0] and spans["val"][1] < spans["test"][0]
     assert sum(s[2] for s in spans.values()) == 46
     assert splits.require_positives(splits.split_counts(parts, "label"), {"train": 1})["val"]["rows"] == spans["val"][2]
+
+
+def test_date_slices_prune_the_stored_months(spark, tmp_path):
+    df = _days(spark, 100).withColumns({"observation_year": F.year("day"), "observation_month": F.month("day")})
+    df.write.partitionBy("observation_year", "observation_month").parquet(f"{tmp_path}/o")
+    stored = spark.read.parquet(f"{tmp_path}/o")
+    start, end = date(2024, 2, 10), date(2024, 3, 5)
+    got = splits.date_slice(stored, "day", start, end)
+    assert got.count() == 2 * 25 and splits.date_slice(df.drop("observation_year"), "day", start, end).count() == 50
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "observation_year" in pruned and "observation_month" in pruned
+
+
+class _Session:
+    """Stands in for a session that has no shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+
+def test_shared_folder(spark):
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    local = _Session("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local)
+    with pytest.raises(ValueError):
+        session.shared_dir(_Session("spark://host:7077"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vulnlake.sources.tables import MONTH, YEAR
+
 NAMES = ("train", "val", "test")
 MIN_POSITIVES = {"train": 50, "val": 15, "test": 15}
 
@@ -47,6 +51,19 @@ def assign_splits(df: DataFrame, bounds: DataFrame, day: str) -> DataFrame:
     return df.withColumn("split", split_name(day, train_end, val_end))
 
 
+def date_slice(df: DataFrame, day: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Rows of a date range; on a table stored by year and month the partitions are pruned as well."""
+    stored_by_month = YEAR in df.columns and MONTH in df.columns
+    month = F.col(YEAR) * 12 + F.col(MONTH) if stored_by_month else None
+    if start is not None:
+        df = df.filter(F.col(day) >= F.lit(start))
+        df = df if month is None else df.filter(month >= start.year * 12 + start.month)
+    if end is not None:
+        df = df.filter(F.col(day) <= F.lit(end))
+        df = df if month is None else df.filter(month <= end.year * 12 + end.month)
+    return df
+
+
 def split_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy("split").agg(
         F.count("*").alias("rows"), F.count_if(F.col(label) == 1).alias("positives")

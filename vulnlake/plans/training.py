@@ -61,18 +61,20 @@ def run_training(
     and every metric read them again.
     """
     spark = observations.sparkSession
-    bounds = splits.split_bounds(observations, day, train_ratio, val_ratio)
-    parts = splits.assign_splits(observations, bounds, day)
-    counts = splits.split_counts(parts, label)
+    # The bounds are one row of dates; as literals they prune the stored months of every later scan.
+    found = splits.split_bounds(observations, day, train_ratio, val_ratio).first()
+    bounds = spark.createDataFrame([found])
+    name = splits.split_name(day, F.lit(found["train_end"]), F.lit(found["val_end"]))
+    counts = cut_lineage(splits.split_counts(observations.withColumn("split", name), label), "split-counts")
     splits.require_positives(counts, min_positives)
 
-    train = parts.filter("split = 'train'")
+    train = splits.date_slice(observations, day, end=found["train_end"])
     fit = dict(categorical=categorical, numeric=numeric, seed=seed, max_iter=max_iter, max_depth=max_depth)
     exploit_model = learning.train_exploit_model(train, target=target, **fit)
     predicted = learning.apply_exploit_model(exploit_model, train, numeric)
     outcome_model = learning.train_outcome_model(predicted, label=label, **fit)
 
-    later = parts.filter("split in ('val', 'test')")
+    later = splits.date_slice(observations, day, start=found["val_start"]).withColumn("split", name)
     pred = [learning.PREDICTED_EPSS, learning.PREDICTED_KEV]
     columns = dict.fromkeys([key, day, "split", target, label, base_score, *pred])
     scored = cut_lineage(

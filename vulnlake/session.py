@@ -37,6 +37,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Temporary folders of local sessions without a shared folder, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 
@@ -45,11 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="vulnlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="vulnlake-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
