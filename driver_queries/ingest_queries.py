@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
+from driver_queries.inputs import query, r6, sql6, table, text, vectors
 from driver_queries.silver_queries import BAND, SCORED
 from vulnlake.functions import hashing
 from vulnlake.operators import quality

@@ -12,7 +12,6 @@ from driver_queries.inputs import (
     OUTCOMES,
     dimension,
     event_daily,
-    event_rows,
     line_daily,
     line_rows,
     outcome_rows,

@@ -255,6 +255,10 @@ def test_censoring_and_days(spark):
             cohort.parse_days_of_month(bad)
     with pytest.raises(ValueError):
         cohort.sampled_days(days, "day", start=_day(2), end=_day(1))
+    assert cohort.resolve_range(None, None, 10, today=_day(20)) == (_day(10), _day(20))
+    assert cohort.resolve_range(_day(1), None, today=_day(20)) == (_day(1), _day(20))
+    with pytest.raises(ValueError):
+        cohort.resolve_range(_day(2), _day(1))
     assert cohort.calendar(spark, "2024-02-01", "2024-03-31", [30, 31]).count() == 2
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,18 @@ def as_of_date(outcomes: DataFrame, series: DataFrame, fetched: str = "fetched_a
     return series.agg(F.coalesce(last_outcome, F.to_date(F.max(fetched))).alias("label_as_of_date"))
 
 
+def resolve_range(
+    start: date | None, end: date | None, lookback_days: int = 180, today: date | None = None
+) -> tuple[date, date]:
+    """Explicit dates, or the last `lookback_days` up to today."""
+    today = today or datetime.now(timezone.utc).date()
+    start = start or today - timedelta(days=lookback_days)
+    end = end or today
+    if start > end:
+        raise ValueError(f"start {start} is after end {end}")
+    return start, end
+
+
 def parse_days_of_month(text: str | None) -> list[int] | None:
     """'1,15' as [1, 15]; empty means every day."""
     days = sorted({int(part) for part in (text or "").split(",") if part.strip()})

@@ -20,6 +20,7 @@ PREDICTED_EPSS = "pred_epss"
 PREDICTED_KEV = "pred_kev_prob"
 WEIGHT = "class_weight"
 ROWS = "n_rows"
+ROWS_PER_TASK = 10_000
 
 
 def feature_stages(
@@ -49,13 +50,14 @@ def collapse(df: DataFrame, features: list[str], *, label: str | None = None, ta
     agree on them. Squared error and log loss give weighted distinct rows the same splits and leaves as
     the rows themselves, which turns every boosting pass from all rows into the distinct ones. The
     result is written once to the shared folder, as each fitting stage reads it again, and spread over
-    spark.sql.shuffle.partitions tasks.
+    as many tasks as its size calls for: boosting runs hundreds of short passes over it.
     """
     keys = [*features, label] if label is not None else features
     values = [F.avg(target).alias(target)] if target is not None else []
     grouped = df.groupBy(*keys).agg(F.count("*").cast("double").alias(ROWS), *values)
     stored = cut_lineage(grouped, "training")
-    return stored.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored.repartition(max(1, min(most, -(-stored.count() // ROWS_PER_TASK))))
 
 
 def balanced_weight(

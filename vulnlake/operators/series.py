@@ -7,8 +7,6 @@ share one partitioning and one sort; there is no self-join.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,7 +132,3 @@ def range_join(
 def dimension_features(df: DataFrame, dimension: DataFrame, key: str, columns: list[Column | str]) -> DataFrame:
     """Left equi-join of selected dimension columns."""
     return df.join(dimension.select(key, *columns), key, "left")
-
-
-def sum_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)

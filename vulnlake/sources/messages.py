@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +25,17 @@ ENVELOPE_REQUIRED = [
 UNKNOWN = "unknown"
 
 
+def read_log(
+    spark: SparkSession, servers: str, topics: list[str], *, starting_offsets: str = "earliest", stream: bool = True
+) -> DataFrame:
+    """The topics through Spark's Kafka source, where that connector is on the class path."""
+    reader = (spark.readStream if stream else spark.read).format("kafka")
+    options = {
+        "kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting_offsets
+    }
+    return reader.options(**options).load().select("topic", "partition", "offset", "value")
+
+
 def source_of(topic: Column, topics: dict[str, str]) -> Column:
     """Source name of a topic; `topics` maps source to topic."""
     pairs = F.create_map(*chain.from_iterable((F.lit(t), F.lit(s)) for s, t in topics.items()))
