@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, golay, packing, suffixes
+from vulnlake.llm import bpe, golay, langid, packing, shards, simhash, suffixes
 from vulnlake.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,20 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the contract's columns: for documents whose id is divisible by 20, how many others lie within the radius."""
+    prints = simhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return simhash.with_neighbours(prints, F.col("doc_id") % 20 == 0).drop("f1", "f2")
+
+
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +55,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 
+@query
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
