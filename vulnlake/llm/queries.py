@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, golay, langid, packing, shards, simhash, suffixes
+from vulnlake.llm import bpe, golay, langid, licenses, multi_index, packing, shards, simhash, suffixes
 from vulnlake.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_neighbours(prints, F.col("doc_id") % 20 == 0).drop("f1", "f2")
 
 
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,3 +68,8 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
