@@ -267,7 +267,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     key = ["anchor", "c1", "c2"]
     members = cut_lineage(_contexts(docs.select("doc_id", "mark", "text"), window, gram), "suffix-contexts")
     met = members.groupBy("anchor").agg(F.count("*").alias("times"), F.min("c1").alias("x"), F.max("c1").alias("y"))
-    met = met.where("times > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    # written, so that both sides of the join are plain exchanges and a hot anchor can be split
+    met = cut_lineage(met.where("times > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed")), "suffix-anchors")
     members = cut_lineage(members.join(met, "anchor"), "suffix-met")
 
     mixed = members.where("mixed").groupBy(*key).agg(
