@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.llm import bpe, golay, langid, licenses, multi_index, packing, shards, simhash, suffixes
+import corpus_pipeline
+from vulnlake.llm import bpe, golay, langid, licenses, multi_index, packing, secret_scan, shards, simhash, suffixes
 from vulnlake.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Besides the contract's columns: for documents whose id is divisible by 20, how many others lie within the radius."""
@@ -73,3 +80,12 @@ def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
