@@ -20,8 +20,9 @@ SMOOTHING = 0.1
 # About so many documents of each language are learned from, chosen by a hash of their id.
 SAMPLE = 4000
 UNKNOWN = "und"
-# Characters that are scored at once.
-SPAN = 1 << 18
+# Characters of a text that are turned into n-grams at once, and n-grams that are scored at once.
+SPAN = 1 << 17
+GRAMS = 1 << 18
 # Fixed value: an odd multiplier for hashing.
 SPREAD = 0x9E3779B97F4A7C15
 
@@ -131,7 +132,7 @@ def score(texts: list[bytes], model: Model) -> np.ndarray:
     for row, buckets in _features(texts):
         waiting.append((row, buckets))
         size += len(buckets)
-        if size > 1 << 20:
+        if size > GRAMS:
             flush()
             size = 0
     flush()
@@ -140,15 +141,16 @@ def score(texts: list[bytes], model: Model) -> np.ndarray:
     return total / total.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of `docs` and `language`, a struct of lang_pred and score.
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` of `docs` (all by default) and `language`, a struct of lang_pred and score.
 
     A null text, or one without a letter, is `und` with score 0; so is everything if no language was learned. Equal
     scores go to the first language in order.
     """
-    columns = docs.columns
-    packed = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"))
-    packed = packed.select("row", F.col(f"row.v{columns.index(text)}").alias("text"))
+    columns = docs.columns if keep is None else keep
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"), F.col(f"`{text}`").alias("text")
+    )
     shared = docs.sparkSession.sparkContext.broadcast(model)
     result = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 

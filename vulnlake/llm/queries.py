@@ -30,7 +30,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    found = langid.predict(docs, langid.train(docs), keep=["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score")
 
 

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vulnlake.session import configure, cut_lineage
+from vulnlake import session
+from vulnlake.session import cut_lineage
 
 __all__ = ["configure", "cut_lineage", "pick", "table"]
 
+# Rows of whole texts that cross to Python at once: some megabytes, both in the JVM and in the worker.
+BATCH_ROWS = "1000"
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """The package's defaults, and Arrow batches for rows that hold whole texts."""
+    session.configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
