@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.inputs import query, r6, sql6, table, text, vectors
+from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
 from driver_queries.silver_queries import BAND, SCORED
 from vulnlake.functions import hashing
 from vulnlake.operators import quality
@@ -72,34 +72,18 @@ def drop_withdrawn(spark, sf):
     return osv_docs(spark, sf).filter(~osv.is_withdrawn(F.col("withdrawn"), F.col("details"))).select("id")
 
 
-@query(
-    "ingest_stats",
-    f"""with s as (select {OSV_STATUS} as status from part)
-    select 'nvd' as source, count(*) as fetched, count(*) filter (status = 'published') as published,
-        count(*) filter (status = 'skipped') as skipped, count(*) filter (status = 'invalid') as invalid,
-        cast(0 as bigint) as failed from s""",
-)
-def ingest_stats(spark, sf):
-    status = osv.doc_status(F.col("id"), F.col("withdrawn"), F.col("details"))
-    return quality.status_counts(osv_docs(spark, sf), F.lit("nvd"), status)
-
-
 @query(
     "osv_scan",
-    """select case when p_partkey % 43 = 0 then ' ' else 'CVE-2021-' || (p_partkey + 10000) end as id,
-        case when p_partkey % 3 <> 0 then p_name end as summary,
-        case p_partkey % 10 when 9 then 'CVSS:3.1/AV:' || p_name else 'other' end as vector,
-        'CWE-' || p_size as cwe from part""",
+    f"""with {VECTORS} select case when p_partkey % 43 = 0 then ' ' else 'CVE-2021-' || (p_partkey + 10000) end as id,
+        case when p_partkey % 3 <> 0 then p_name end as summary, vector, 'CWE-' || p_size as cwe from vectors""",
 )
 def osv_scan(spark, sf):
     """Write the documents as JSON lines and read them with the document schema."""
     path = new_dir(spark, "osv")
     osv_docs(spark, sf).write.json(path)
     docs = osv.read_osv(spark, path, one_per_file=False)
-    vector = F.col("severity")[0]["score"]
     return docs.select(
-        "id", "summary", F.when(vector.startswith("CVSS:3.1/AV:") & ~vector.contains("/AC:"), vector).otherwise("other").alias("vector"),
-        F.col("database_specific.cwe_ids")[0].alias("cwe"),
+        "id", "summary", F.col("severity")[0]["score"].alias("vector"), F.col("database_specific.cwe_ids")[0].alias("cwe")
     )
 
 
@@ -190,6 +174,24 @@ def epss_file_parse(spark, sf):
     )
 
 
+@query(
+    "epss_file_dates",
+    """select cast(case when event_id % 2 = 0 then '2024-02-03' end as varchar) as score_date,
+        case event_id % 2 when 0 then 'published' else 'invalid' end as status, count(*) as n from events group by all""",
+)
+def epss_file_dates(spark, sf):
+    """Files that state their date, and files that have none, neither stated nor in the name: their rows are not published."""
+    path = new_dir(spark, "score-dates")
+    for k, comment in enumerate(["#model_version:v1,score_date:2024-02-03T00:00:00+0000", "#model_version:v1"]):
+        rows = table(spark, sf, "events").where(F.col("event_id") % 2 == k).select(
+            F.lit(1).alias("part"), F.concat(F.lit("CVE-2024-"), text(F.col("event_id") + 10000), F.lit(",0.5,0.5")).alias("value")
+        )
+        lines = spark.createDataFrame([(0, comment)], "part int, value string").unionByName(rows).coalesce(1)
+        lines.sortWithinPartitions("part").select("value").write.option("compression", "gzip").text(f"{path}/{k}")
+    found = scores.typed_scores(scores.read_score_files(spark, path, glob="*.txt.gz"))
+    return found.groupBy(text("score_date").alias("score_date"), "status").agg(F.count("*").alias("n"))
+
+
 # ---- catalog -----------------------------------------------------------------------------------------
 
 
@@ -245,6 +247,26 @@ def catalog_explode(spark, sf):
     )
 
 
+STATUS_COUNTS = """count(*) as fetched, count(*) filter (status = 'published') as published,
+        count(*) filter (status = 'skipped') as skipped, count(*) filter (status = 'invalid') as invalid,
+        count(*) filter (status = 'failed') as failed"""
+
+
+@query(
+    "ingest_stats",
+    f"""with d as (select {OSV_STATUS} as status from part), {SCORES}, {KEV_ENTRIES}, e as (select {KEV_STATUS} as status from k)
+    select 'nvd' as source, {STATUS_COUNTS} from d union all select 'epss', {STATUS_COUNTS} from s
+    union all select 'kev', {STATUS_COUNTS} from e""",
+)
+def ingest_stats(spark, sf):
+    """The counts of all three sources, as the ingest job reports them."""
+    counts = [
+        ingest.osv_counts(osv_docs(spark, sf)), ingest.score_counts(_score_files(spark, sf)),
+        ingest.catalog_counts(_entries(spark, sf), "1996-01-01", "1999-12-31"),
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 KEV_JSON = """'{"catalog_date_released":"2024-01-01T00:00:00.000Z","catalog_version":"' || version || '","cveID":"' || cve ||
     '","cwes":["' || cwe || '"],"dateAdded":"' || added || '","dueDate":null,"knownRansomwareCampaignUse":"Unknown","notes":null,"product":"' ||
     product || '","requiredAction":null,"shortDescription":null,"vendorProject":"' || vendor || '","vulnerabilityName":null}'"""
@@ -340,6 +362,29 @@ def bronze_validate(spark, sf):
     return summary.drop("files_checked").withColumn("passed", F.col("passed").cast("int"))
 
 
+@query(
+    "bronze_defects",
+    """select count(*) filter (event_type <> 'view') as records_total, cast(1 as bigint) as missing_manifest,
+        cast(1 as bigint) as sha256_mismatch, cast(1 as bigint) as record_count_mismatch, cast(0 as bigint) as parse_errors,
+        cast(0 as bigint) as duplicate_event_ids, cast(0 as integer) as passed from events""",
+)
+def bronze_defects(spark, sf):
+    """One file per event type; of three of them the manifest is missing, has another hash, or another count."""
+    root = new_dir(spark, "bronze-defects")
+    one_file_each = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).coalesce(1)
+    bronze.write_bronze(one_file_each, root, "epss", FETCHED[:10], max_records=0)
+    bronze.write_manifest(spark, root, "epss", f"{root}/_true/source=epss", FETCHED)
+    said = bronze.read_manifest(spark, f"{root}/_true/source=epss")
+    run = F.regexp_extract("path", "run_id=([^/]+)", 1)
+    altered = said.where(run != "view").withColumns({
+        "sha256": F.when(run == "click", F.sha2("sha256", 256)).otherwise(F.col("sha256")),
+        "record_count": F.when(run == "purchase", F.col("record_count") + 1).otherwise(F.col("record_count")),
+    })
+    altered.write.parquet(f"{root}/_manifests/source=epss")
+    summary = validate.validate_bronze(spark, root, f"{root}/_manifests", ("epss",))
+    return summary.drop("files_checked").withColumn("passed", F.col("passed").cast("int"))
+
+
 # ---- message log ---------------------------------------------------------------------------------------
 TOPICS = {"nvd": "view", "epss": "click", "kev": "purchase"}
 

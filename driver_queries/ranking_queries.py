@@ -29,11 +29,11 @@ from vulnlake.session import cut_lineage, new_dir
 K = 50
 
 
-def _pr_sql(source: str, groups: str = "") -> str:
-    """CTE `area(groups, pr_auc)` over `source` with columns score, label."""
+def _pr_sql(source: str, groups: str = "", threshold: str = "cast(score as double)") -> str:
+    """CTE `area(groups, pr_auc)` over `source` with columns score, label; rows of one threshold tie."""
     by = f"{groups}, " if groups else ""
     part = f"partition by {groups} " if groups else ""
-    return f"""t_ as (select {by}round(score, 9) as s, cast(sum(label) as double) as p, cast(count(*) as double) as n
+    return f"""t_ as (select {by}{threshold} as s, cast(sum(label) as double) as p, cast(count(*) as double) as n
         from {source} where label is not null and score is not null group by {by}s),
     c_ as (select {by}p, n, s, sum(p) over ({part}order by s desc) as tp, sum(n) over ({part}order by s desc) as cnt,
         sum(p) over ({part.strip()}) as tot, sum(n) over ({part.strip()}) as alln from t_),
@@ -80,6 +80,36 @@ def pr_auc(spark, sf):
     return ranking.pr_auc(ranked(spark, sf), "score", "label").select(r6(F.col("pr_auc")).alias("pr_auc"))
 
 
+TINY = f"{RANKED}, tiny as (select * replace (score / 1e12::double as score) from ranked)"
+
+
+@query("pr_auc_tiny", f"with {TINY}, {_pr_sql('tiny')} select {sql6('pr_auc')} as pr_auc, {sql6('roc_auc')} as roc_auc from area")
+def pr_auc_tiny(spark, sf):
+    """Scores far below any decimal rounding keep their order."""
+    rows = ranked(spark, sf).withColumn("score", F.col("score") / F.lit(1e12))
+    found = ranking.classification_metrics(rows, "score", "label")
+    return found.select(r6(F.col("area_under_pr")).alias("pr_auc"), r6(F.col("area_under_roc")).alias("roc_auc"))
+
+
+NULL_GROUP = f"{RANKED}, grouped as (select * replace (case when day not in ('src0', 'src1') then day end as day) from ranked)"
+
+
+@query(
+    "pr_auc_null_group",
+    f"""with {NULL_GROUP}, {_pr_sql('grouped', 'day')}, {_topk_sql('grouped', 5, 'day')}
+    select area.day as day, {sql6('pr_auc')} as pr_auc, {sql6('hits / 5.0::double')} as precision_at_k
+    from area left join top_ on area.day is not distinct from top_.day""",
+)
+def pr_auc_null_group(spark, sf):
+    """Rows without a group are a group."""
+    rows = ranked(spark, sf).withColumn("day", F.when(~F.col("day").isin("src0", "src1"), F.col("day")))
+    area = ranking.pr_auc(rows, "score", "label", ["day"])
+    top = ranking.top_k_per_group(rows, "score", "label", 5, "doc_id", ["day"]).withColumnRenamed("day", "top_day")
+    return area.join(top, F.col("day").eqNullSafe(F.col("top_day")), "left").select(
+        "day", r6(F.col("pr_auc")).alias("pr_auc"), r6(F.col("precision_at_k")).alias("precision_at_k")
+    )
+
+
 LINE_SCORED = """line_scored as (select cast(l_shipdate as date) as day, l_extendedprice as score,
     cast(l_returnflag = 'R' as integer) as label from lineitem)"""
 
@@ -210,6 +240,21 @@ def percentile_scores(spark, sf):
     return ranking.add_percentile(rows, "l_extendedprice", cuts)
 
 
+FINE = CUTS.replace("range(101)", "range(1001)").replace("(i * n + 99) // 100", "(i * n + 999) // 1000")
+
+
+@query(
+    "percentile_of_fine",
+    f"""with {FINE}, a as (select list(cut order by cut) as c from cuts), e as (select distinct l_extendedprice from lineitem)
+    select l_extendedprice, round(100.0::double * len(list_filter(c, lambda x: x <= l_extendedprice)) / len(c), 2) as percentile from e, a""",
+)
+def percentile_scores_fine(spark, sf):
+    """A thousand cut points."""
+    lines = table(spark, sf, "lineitem")
+    cuts = ranking.exact_percentile_cuts(lines, "l_extendedprice", 1001)
+    return ranking.add_percentile(lines.select("l_extendedprice").distinct(), "l_extendedprice", cuts)
+
+
 # ---- splits ----------------------------------------------------------------------------------------
 BOUNDS = f"""{LINE_DAILY}, dates as (select day, row_number() over (order by day) as i, count(*) over () as n
         from (select distinct day from line_daily)),
@@ -308,7 +353,7 @@ TUNE = f"""{RANKED}, src as (select (cast(score as bigint) % 101) / 10.0::double
     grid as (select round(i / 20.0::double, 4) as w1, round(j / 20.0::double, 4) as w2, round((20 - i - j) / 20.0::double, 4) as w3
              from range(21) a(i), range(21) b(j) where i + j <= 20),
     points as (select w1, w2, w3, 10.0 * (w1 * least(cvss / 10.0, 1.0) + w2 * p1 + w3 * p2) as score, label from src, grid),
-    {_pr_sql('points', 'w1, w2, w3')}"""
+    {_pr_sql('points', 'w1, w2, w3', 'round(score, 9)')}"""
 
 
 def _tune_rows(spark, sf):
@@ -384,22 +429,22 @@ def feature_vector(spark, sf):
 @query("model_a")
 def model_a(spark, sf):
     rows = observations_with_vectors(spark, sf)
-    model = learning.train_exploit_model(rows, max_iter=10)
+    model = learning.train_exploit_model(rows)
     return learning.apply_exploit_model(model, rows).select("cve_id", "epss_current", "pred_epss")
 
 
 @query("model_b")
 def model_b(spark, sf):
     rows = observations_with_vectors(spark, sf)
-    predicted = learning.apply_exploit_model(learning.train_exploit_model(rows, max_iter=3), rows)
-    model = learning.train_outcome_model(predicted, max_iter=3)
+    predicted = learning.apply_exploit_model(learning.train_exploit_model(rows), rows)
+    model = learning.train_outcome_model(predicted)
     return learning.apply_outcome_model(model, predicted).select("cve_id", "kev_within_90_days", "pred_kev_prob")
 
 
 @query("training")
 def train(spark, sf):
     rows = cut_lineage(observations_with_vectors(spark, sf), "training-input")
-    return training.run_training(rows, max_iter=3, max_depth=4)
+    return training.run_training(rows)
 
 
 @query("score_vectors")
@@ -407,7 +452,7 @@ def score_vectors(spark, sf):
     """Train, store, load, and score every vector of `part`."""
     folder = new_dir(spark, "models")
     rows = cut_lineage(observations_with_vectors(spark, sf), "training-input")
-    training.run_training(rows, max_iter=2, max_depth=3, model_dir=folder)
+    training.run_training(rows, model_dir=folder)
     exploit_model, outcome_model = training.load_models(folder)
     table_ = scoring.with_decoded(vectors(spark, sf).withColumnRenamed("vector", "cvss_vector"))
     scored = scoring.score_vectors(

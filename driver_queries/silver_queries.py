@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
 from vulnlake.functions import checks, cvss, hashing, nested, times
 from vulnlake.operators import quality
 from vulnlake.plans import normalize
+from vulnlake.sources import messages
 
 # ---- dates ---------------------------------------------------------------------------------------
 # One timestamp in seven spellings, by the event's number.
@@ -99,8 +101,11 @@ def event_hash(spark, sf):
 @query("json_parse", """select event_id, cast(json_extract_string(props, '$.k') as integer) as k,
     '{"k":' || json_extract_string(props, '$.k') || '}' as again from events""")
 def json_parse(spark, sf):
-    parsed = table(spark, sf, "events").withColumn("p", F.from_json("props", "k int"))
-    return parsed.select("event_id", "p.k", F.to_json("p").alias("again"))
+    """A record through the library: parsed from the log's value, and back as canonical text."""
+    schema = StructType.fromDDL("k int")
+    log = table(spark, sf, "events").select("event_id", F.col("props").cast("binary").alias("value"))
+    parsed = messages.good_records(messages.parse(log, schema, ["k"]))
+    return parsed.select("event_id", "record.k", hashing.canonical_json(F.col("record"), schema).alias("again"))
 
 
 # ---- arrays ----------------------------------------------------------------------------------------

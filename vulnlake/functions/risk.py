@@ -52,9 +52,10 @@ def round_binary(value: Column, digits: int) -> Column:
     return let(let(value, split), decide)
 
 
-def count_at_or_below(score: Column, cuts: Column, at_most: int = 127) -> Column:
-    """How many values of a sorted array of up to `at_most` entries are <= score, by binary search."""
-    steps = F.array(*(F.lit(1 << i) for i in range(at_most.bit_length() - 1, -1, -1)))
+def count_at_or_below(score: Column, cuts: Column) -> Column:
+    """How many values of a sorted array of any size are <= score, by binary search."""
+    highest = F.floor(F.log2(F.greatest(F.array_size(cuts), F.lit(1)))).cast("int")
+    steps = F.transform(F.sequence(highest, F.lit(0), F.lit(-1)), lambda i: F.call_function("shiftleft", F.lit(1), i))
     return F.aggregate(
         steps,
         F.lit(0),

@@ -20,7 +20,6 @@ PREDICTED_EPSS = "pred_epss"
 PREDICTED_KEV = "pred_kev_prob"
 WEIGHT = "class_weight"
 ROWS = "n_rows"
-ROWS_PER_TASK = 10_000
 
 
 def feature_stages(
@@ -47,17 +46,15 @@ def collapse(df: DataFrame, features: list[str], *, label: str | None = None, ta
     """One weighted row per distinct feature combination (and label), with the mean target.
 
     The features describe the vulnerability and not the day, so the daily rows of one vulnerability
-    agree on them. Squared error and log loss give weighted distinct rows the same splits and leaves as
-    the rows themselves, which turns every boosting pass from all rows into the distinct ones. The
-    result is written once to the shared folder, as each fitting stage reads it again, and spread over
-    as many tasks as its size calls for: boosting runs hundreds of short passes over it.
+    agree on them. Squared error and log loss have the same objective over weighted distinct rows as over
+    the rows themselves, which turns every boosting pass from all rows into the distinct ones. Split candidates are
+    sampled from other rows, so trees can differ where rows are many. The result is written once to the shared folder,
+    as each fitting stage reads it again, in partitions of the size that adaptive execution aims at.
     """
     keys = [*features, label] if label is not None else features
     values = [F.avg(target).alias(target)] if target is not None else []
     grouped = df.groupBy(*keys).agg(F.count("*").cast("double").alias(ROWS), *values)
-    stored = cut_lineage(grouped, "training")
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored.repartition(max(1, min(most, -(-stored.count() // ROWS_PER_TASK))))
+    return cut_lineage(grouped.hint("rebalance"), "training")
 
 
 def balanced_weight(
@@ -96,10 +93,11 @@ def train_exploit_model(
         featuresCol="features_a", labelCol=target, weightCol=ROWS, predictionCol=PREDICTED_EPSS,
         maxIter=max_iter, maxDepth=max_depth, seed=seed,
     )
-    stages = feature_stages(categorical, numeric, "features_a", "a_")
-    rows = df.select(*categorical, *numeric, target).filter(F.col(target) >= 0.0)
-    weighted = collapse(fill_zero(rows, numeric), [*categorical, *numeric], target=target)
-    return Pipeline(stages=[*stages, model]).fit(weighted)
+    indexer, *stages = feature_stages(categorical, numeric, "features_a", "a_")
+    rows = fill_zero(df.select(*categorical, *numeric, target).filter(F.col(target) >= 0.0), numeric)
+    weighted = collapse(rows, [*categorical, *numeric], target=target)
+    # categories are ordered by how many rows have them, not by how many distinct combinations
+    return Pipeline(stages=[indexer.fit(rows), *stages, model]).fit(weighted)
 
 
 def apply_exploit_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:
@@ -125,10 +123,10 @@ def train_outcome_model(
         featuresCol="features_b", labelCol=label, weightCol=WEIGHT,
         maxIter=max_iter, maxDepth=max_depth, seed=seed,
     )
-    stages = feature_stages(categorical, inputs, "features_b", "b_")
-    rows = df.select(*categorical, *inputs, label).filter(F.col(label).isNotNull())
-    weighted = collapse(fill_zero(rows, inputs), [*categorical, *inputs], label=label)
-    return Pipeline(stages=[*stages, model]).fit(balanced_weight(weighted, label, rows=ROWS))
+    indexer, *stages = feature_stages(categorical, inputs, "features_b", "b_")
+    rows = fill_zero(df.select(*categorical, *inputs, label).filter(F.col(label).isNotNull()), inputs)
+    weighted = collapse(rows, [*categorical, *inputs], label=label)
+    return Pipeline(stages=[indexer.fit(rows), *stages, model]).fit(balanced_weight(weighted, label, rows=ROWS))
 
 
 def apply_outcome_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:

@@ -5,7 +5,8 @@ Rows are first counted per distinct score (combined before the shuffle) and that
 shared folder in score order, range-partitioned: the input is scanned once, and since every (group,
 score) occurs once, the ranges are even whatever the scores look like. Running sums then come from the
 sums per range, of which a group has few, plus the running sums inside a range. No task sees a whole
-group. Scores are rounded to `DIGITS` places, so that equal scores tie alike. Group columns hold no nulls.
+group. Scores are compared as the doubles they are; only blended sums in `tune_weights` tie within a relative tolerance.
+A null group is a group of its own.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from vulnlake.functions.risk import blended_score, percentile_of, percentile_table
 from vulnlake.session import cut_lineage
 
-DIGITS = 9
 CUT_COUNT = 101
+# Blended scores tie if they agree in this many of the 53 bits of a double: sums of the same terms differ in the last ones.
+TIE_BITS = 40
 
 
 def _labelled(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -25,17 +27,25 @@ def _labelled(df: DataFrame, score: str, label: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
 
 
-def _quantize(value: Column, digits: int = DIGITS) -> Column:
-    """Nearest multiple of 10^-digits, in plain double arithmetic."""
-    scale = float(10**digits)
-    return F.rint(value.cast("double") * scale) / scale
+def _tied(value: Column, bits: int = TIE_BITS) -> Column:
+    """The double rounded to its highest `bits` bits: relative to its own size, so small values stay apart."""
+    stretched = value * float((1 << (53 - bits)) + 1)
+    return stretched - (stretched - value)
+
+
+def _same_groups(left: DataFrame, right: DataFrame, groups: list[str], more: list[str] = []) -> DataFrame:  # noqa: B006
+    """Inner join on group columns, where null equals null."""
+    keys = [*groups, *more]
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in keys})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in groups] + [F.col(c) == F.col(f"_r_{c}") for c in more]
+    return left.join(renamed, on).drop(*(f"_r_{c}" for c in keys))
 
 
 def threshold_counts(df: DataFrame, score: str, label: str, groups: list[str] | None = None) -> DataFrame:
     """(groups, threshold, pos, n): rows and positives per distinct score."""
     return (
         _labelled(df, score, label)
-        .groupBy(*(groups or []), _quantize(F.col(score)).alias("threshold"))
+        .groupBy(*(groups or []), F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
     )
 
@@ -68,7 +78,7 @@ def running_totals(counts: DataFrame, groups: list[str] | None = None) -> DataFr
         .orderBy(F.desc("threshold"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return stored.join(offsets, [*groups, "_range"]).select(
+    return _same_groups(stored, offsets, groups, ["_range"]).select(
         *groups,
         "threshold",
         "pos",
@@ -158,7 +168,8 @@ def top_k_per_group(
     """(groups, k, precision_at_k, recall_at_k, positives_total), groups with positives only.
 
     The rank filter is pushed into the sort on both sides of the shuffle, so a group that holds most
-    rows sends at most k rows per task.
+    rows sends at most k rows per task. That holds for k up to spark.sql.optimizer.windowGroupLimitThreshold (set in
+    `session`); beyond it results stay right, but a group is sorted as a whole.
     """
     rows = df.filter(F.col(label).isNotNull())
     order = Window.partitionBy(*groups).orderBy(F.desc(score), F.asc(tie_break))
@@ -174,7 +185,7 @@ def top_k_per_group(
         .agg(F.count_if(F.col(label) == 1).alias("positives_total"))
         .filter("positives_total > 0")
     )
-    return positives.join(hits, groups).select(*groups, *_rates(k))
+    return _same_groups(positives, hits, groups).select(*groups, *_rates(k))
 
 
 def top_k_by_date(
@@ -241,7 +252,7 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
     Every distinct score knows how many rows lie at or below it, hence which quantiles it answers.
     """
     rows = df.filter(F.col(score).isNotNull())
-    counts = rows.groupBy(_quantize(F.col(score)).alias("threshold")).agg(
+    counts = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.lit(0).cast("bigint").alias("pos"), F.count("*").alias("n")
     )
     totals = running_totals(counts)
@@ -260,7 +271,7 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
 
 
 def add_percentile(df: DataFrame, score: str, cuts: DataFrame, name: str = "percentile") -> DataFrame:
-    """Place a score among the cut points, which enter as one small array (at most 127 entries)."""
+    """Place a score among the cut points, which enter as one small array."""
     array = cuts.agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
     both = array.select(F.struct("cuts", percentile_table(F.col("cuts")).alias("table"))).scalar()
     return (
@@ -291,8 +302,8 @@ def tune_weights(
     rows = df.filter(F.col(label).isNotNull())
     inputs = rows.groupBy(
         F.col(cvss).cast("double").alias("_cvss"),
-        _quantize(F.col(exploit), DIGITS + 3).alias("_exploit"),
-        _quantize(F.col(outcome), DIGITS + 3).alias("_outcome"),
+        F.col(exploit).cast("double").alias("_exploit"),
+        F.col(outcome).cast("double").alias("_outcome"),
     ).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
     points = weight_grid(step)
     grid = F.array(*(F.struct(*(F.lit(w).alias(f"w{i}") for i, w in enumerate(p, 1))) for p in points))
@@ -302,7 +313,7 @@ def tune_weights(
     # The number of the grid point is the group; its weights come back at the end.
     counts = (
         inputs.select("*", F.posexplode(grid).alias("_point", "_w"))
-        .select("_point", _quantize(blended).alias("threshold"), "pos", "n")
+        .select("_point", _tied(blended).alias("threshold"), "pos", "n")
         .filter(F.col("threshold").isNotNull())
         .groupBy("_point", "threshold")
         .agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))

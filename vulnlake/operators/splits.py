@@ -16,9 +16,10 @@ MIN_POSITIVES = {"train": 50, "val": 15, "test": 15}
 def split_bounds(df: DataFrame, day: str, train_ratio: float = 0.60, val_ratio: float = 0.20) -> DataFrame:
     """One row with the first and last date and the number of dates of each split.
 
-    The sorted set of distinct dates is as small as the calendar. Too few dates raise an error.
+    The sorted set of distinct dates is as small as the calendar; a timestamp counts as its date. Too few dates
+    raise an error.
     """
-    dates = df.agg(F.array_sort(F.collect_set(day)).alias("dates")).withColumn("n", F.array_size("dates"))
+    dates = df.agg(F.array_sort(F.collect_set(F.col(day).cast("date"))).alias("dates")).withColumn("n", F.array_size("dates"))
     share = lambda r: F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(r)).cast("int"))
     sized = dates.withColumns({"train_n": share(train_ratio), "val_n": share(val_ratio)}).withColumn(
         "test_n", F.col("n") - F.col("train_n") - F.col("val_n")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnlake.functions.hashing import wrap
 from vulnlake.functions.times import parse_date, parse_rfc3339
+from vulnlake.operators import quality
 from vulnlake.sources import bronze, catalog, osv, scores
 
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -72,6 +75,19 @@ def catalog_envelopes(
     )
 
 
+def osv_counts(docs: DataFrame) -> DataFrame:
+    """Ingest statistics of the documents: what was fetched, published, skipped and refused."""
+    return quality.status_counts(docs, F.lit("nvd"), osv.doc_status(F.col("id"), F.col("withdrawn"), F.col("details")))
+
+
+def score_counts(rows: DataFrame) -> DataFrame:
+    return quality.status_counts(rows, F.lit("epss"), F.col("status"))
+
+
+def catalog_counts(entries: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    return quality.status_counts(entries, F.lit("kev"), catalog.entry_status(F.col("cveID"), F.col("dateAdded"), start, end))
+
+
 def run_ingest(
     spark: SparkSession,
     bronze_root: str,
@@ -82,20 +98,23 @@ def run_ingest(
     scores_dir: str | None = None,
     catalog_path: str | None = None,
     max_records: int = bronze.MAX_RECORDS_PER_FILE,
-) -> None:
-    """Write Bronze and its manifests for whichever sources are given."""
+) -> DataFrame | None:
+    """Write Bronze and its manifests for whichever sources are given; returns the counts of each source."""
     at = F.lit(fetched_at).cast("timestamp")
-    jobs = {}
+    jobs, counts = {}, []
     if osv_dir is not None:
-        jobs["nvd"] = osv_envelopes(osv.read_osv(spark, osv_dir), run_id, at)
+        docs = osv.read_osv(spark, osv_dir)
+        jobs["nvd"] = osv_envelopes(docs, run_id, at)
+        counts.append(osv_counts(docs))
     if scores_dir is not None:
-        jobs["epss"] = score_envelopes(scores.typed_scores(scores.read_score_files(spark, scores_dir)), run_id, at)
+        rows = scores.typed_scores(scores.read_score_files(spark, scores_dir))
+        jobs["epss"] = score_envelopes(rows, run_id, at)
+        counts.append(score_counts(rows))
     if catalog_path is not None:
-        jobs["kev"] = catalog_envelopes(
-            catalog.explode_catalog(catalog.read_catalog(spark, catalog_path)), run_id, at
-        )
+        entries = catalog.explode_catalog(catalog.read_catalog(spark, catalog_path))
+        jobs["kev"] = catalog_envelopes(entries, run_id, at)
+        counts.append(catalog_counts(entries))
     for source, envelopes in jobs.items():
         bronze.write_bronze(envelopes, bronze_root, source, fetched_at[:10], max_records=max_records)
-        bronze.write_manifest(
-            spark, bronze_root, source, f"{bronze_root}/_manifests/source={source}", fetched_at, run_id
-        )
+        bronze.write_manifest(spark, bronze_root, source, bronze.manifest_path(bronze_root, source), fetched_at, run_id)
+    return reduce(DataFrame.unionByName, counts) if counts else None

@@ -48,17 +48,22 @@ def _common_shape(item: Column, version: str, old: bool) -> Column:
 
 
 def pick_metric(metrics: Column) -> Column:
-    """The newest version present; inside it the first Primary entry, else the first entry.
+    """The newest version with a base score, else the newest present; inside it the first Primary entry, else the first.
 
-    The version decides before the type does, and a null attribute of the chosen metric stays null.
+    The version decides before the type does, and a null attribute of the chosen metric stays null. A metric without a
+    score never hides a scored one of an older version.
     """
     versions = {"4.0": "cvssMetricV40", "3.1": "cvssMetricV31", "3.0": "cvssMetricV30", "2.0": "cvssMetricV2"}
-    return F.coalesce(
+    found = F.array(
         *(
             let(best_of(metrics[name], lambda m: m["type"] == PRIMARY), _in_common_shape(version))
             for version, name in versions.items()
         )
     )
+    return let(
+        F.filter(found, lambda m: m.isNotNull()),
+        lambda present: best_of(present, lambda m: m["cvss_base_score"].isNotNull()),
+    )
 
 
 def weakness_ids(weaknesses: Column) -> Column:

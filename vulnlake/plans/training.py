@@ -109,7 +109,8 @@ def run_training(
         cuts.write.mode("overwrite").parquet(f"{model_dir}/score_percentiles")
         report.write.mode("overwrite").parquet(f"{model_dir}/report")
         bounds.write.mode("overwrite").parquet(f"{model_dir}/split_bounds")
-    return report
+        return spark.read.parquet(f"{model_dir}/report")
+    return cut_lineage(report, "report")
 
 
 def load_models(model_dir: str) -> tuple[PipelineModel, PipelineModel]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,10 @@ def source_path(root: str, source: str) -> str:
     return f"{root}/source={source}"
 
 
+def manifest_path(root: str, source: str) -> str:
+    return f"{root}/_manifests/source={source}"
+
+
 def write_bronze(
     envelopes: DataFrame,
     root: str,
@@ -134,6 +139,11 @@ def write_manifest(
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """All manifest rows below the path."""
-    reader = spark.read.schema(schemas.struct(schemas.MANIFEST)).option("recursiveFileLookup", "true")
-    return reader.parquet(manifest_path)
+    """All manifest rows below the path; none where nothing has been written yet."""
+    schema = schemas.struct(schemas.MANIFEST)
+    try:
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(manifest_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -11,8 +11,6 @@ from vulnlake.functions.checks import blank, out_of_range
 from vulnlake.functions.times import parse_date
 
 FILE_GLOB = "*.csv.gz"
-# One metadata row per file; beyond this many files the join shuffles instead.
-MAX_BROADCAST_FILES = 100_000
 
 
 def _meta(line: Column, key: str) -> Column:
@@ -59,9 +57,6 @@ def read_score_files(
             parse_date(_meta(F.col("comment"), "score_date")).alias("stated_date"),
         )
     )
-    n_files = len(lines.inputFiles())
-    if n_files <= MAX_BROADCAST_FILES:
-        comments = F.broadcast(comments)
     data = lines.filter(~is_comment & ~is_header & (F.col("line") != ""))
     fields = F.from_csv("line", "cve string, epss string, percentile string").alias("f")
     named = _named_date(F.col("file"))
@@ -90,7 +85,7 @@ def _in_days(day: Column, start: str | None, end: str | None, days_of_month: lis
 
 
 def typed_scores(rows: DataFrame) -> DataFrame:
-    """Add numeric values and a status: invalid for incomplete, non-numeric or out-of-range rows."""
+    """Add numeric values and a status: invalid for incomplete, non-numeric, out-of-range or dateless rows."""
     score = F.col("epss").try_cast("double")
     rank = F.when(blank(F.col("percentile")), F.lit(0.0)).otherwise(F.col("percentile").try_cast("double"))
     bad = (
@@ -102,6 +97,7 @@ def typed_scores(rows: DataFrame) -> DataFrame:
         | F.isnan(rank)
         | out_of_range(score, 0.0, 1.0)
         | out_of_range(rank, 0.0, 1.0)
+        | F.col("score_date").isNull()
     )
     return rows.withColumns(
         {

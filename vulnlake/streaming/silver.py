@@ -15,6 +15,10 @@ from vulnlake.plans.normalize import NORMALIZERS
 from vulnlake.sources import bronze
 
 
+# A backlog is worked off in batches of so many files.
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def rejected_path(silver_root: str, source: str) -> str:
     return f"{silver_root}/rejected/source={source}"
 
@@ -31,9 +35,12 @@ def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[Da
     repeats after a failure leaves no duplicates, and a new checkpoint never touches older loads.
     """
     table, _ = schemas.SILVER[source]
+    known: dict[str, str] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load = f"load={query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        if "id" not in known:
+            known["id"] = query_id(batch.sparkSession, checkpoint)
+        load = f"load={known['id']}/batch={batch_id}"
         annotated = NORMALIZERS[source](batch).persist()
         try:
             accepted(annotated).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
@@ -68,7 +75,7 @@ def start_silver_streams(
     processing_time: str = "10 seconds",
     sources: tuple[str, ...] = ("nvd", "epss", "kev"),
     dedup_delay: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> list[StreamingQuery]:
     """Start the named, checkpointed queries; `trigger` is availableNow or processingTime."""
     if trigger not in ("availableNow", "processingTime"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +23,16 @@ def batch_sink(
     """Write one micro-batch. Each batch owns its run directory and overwrites it when repeated.
 
     A value is stored as it arrived, so no payload field is lost. Offsets are the stream's checkpoint,
-    which advances after the files are in place.
+    which advances after the files and their manifest rows are in place. Of a repeated batch the newest manifest counts.
     """
     wanted = list(topics) if source == "all" else [source]
+    known: dict[str, str] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run = f"{query_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        spark = batch.sparkSession
+        if "id" not in known:
+            known["id"] = query_id(spark, checkpoint)
+        run = f"{known['id']}-{batch_id}"
         parsed = messages.parse_envelopes(messages.route(batch, topics, source=source)).persist()
         try:
             for name in wanted:
@@ -39,6 +44,8 @@ def batch_sink(
                     .option("maxRecordsPerFile", max_records)
                     .text(f"{bronze.source_path(bronze_root, name)}/ingest_date={ingest_date}/run_id={run}")
                 )
+                created_at = datetime.now(UTC).isoformat(timespec="microseconds")
+                bronze.write_manifest(spark, bronze_root, name, bronze.manifest_path(bronze_root, name), created_at, run)
             letters = messages.dead_letters(parsed, F.current_timestamp())
             letters.write.mode("overwrite").json(f"{dead_letter_path(bronze_root)}/run_id={run}")
         finally:
