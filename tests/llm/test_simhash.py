@@ -26,8 +26,8 @@ def ring(rows):
 
 def votes(spark, text):
     """Fingerprint from the terms as the operator hashes them, summed one by one."""
-    row = spark.createDataFrame([(text,)], "text string").select(
-        F.explode(simhash.terms(F.col("text"))).alias("t")
+    row = spark.createDataFrame([(text,)], "text string").select(simhash.words(F.col("text")).alias("words")).select(
+        F.explode(simhash.terms(F.col("words"))).alias("t")
     ).select("t.h", F.xxhash64("t.h").alias("h2"), "t.w").collect()
     total = sum(r.w for r in row)
     out = []
@@ -38,7 +38,8 @@ def votes(spark, text):
 
 def test_terms(spark):
     texts = ["a b c d e f g", "A  b\tC", "", "\n ", None]
-    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(simhash.terms(F.col("text")).alias("t")).collect()
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(simhash.words(F.col("text")).alias("words"))
+    rows = rows.select(simhash.terms(F.col("words")).alias("t")).collect()
     assert [None if r.t is None else len(r.t) for r in rows] == [3, 1, None, None, None]
 
 

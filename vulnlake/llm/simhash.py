@@ -22,9 +22,15 @@ LOW = 0xFFFFFFFF
 
 
 # ---- fingerprints ------------------------------------------------------------------------------
-def terms(text: Column) -> Column:
-    """array<struct<h, w>>: hash and weight of every run of TERM words; of the whole sequence if it is shorter."""
-    words = F.array_remove(F.split(F.lower(text), "[\\x20\\x09-\\x0D]+"), "")
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), "[\\x20\\x09-\\x0D]+"), "")
+
+
+def terms(words: Column) -> Column:
+    """array<struct<h, w>>: hash and weight of every run of TERM words; of the whole sequence if it is shorter.
+
+    `words` must be a column and no expression: it is read for every term.
+    """
     count = F.size(words)
     first = F.sequence(F.lit(1), F.greatest(F.lit(1), count - (TERM - 1)))
     every = F.transform(
@@ -64,7 +70,8 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str = "text") -> DataF
 
     One row per key is expected. Where `texts` is already partitioned by some of the keys, nothing is shuffled.
     """
-    votes = texts.select(*keys, F.explode_outer(terms(F.col(text))).alias("t")).select(
+    split = texts.select(*keys, words(F.col(text)).alias("words"))
+    votes = split.select(*keys, F.explode_outer(terms(F.col("words"))).alias("t")).select(
         *keys, F.col("t.h").alias("h"), F.xxhash64("t.h").alias("h2"), F.col("t.w").alias("w")
     )
     summed = votes.groupBy(*keys).agg(F.sum("w").alias("w"), *_sums())
