@@ -24,6 +24,8 @@ from driver_queries.inputs import (
 )
 from vulnlake.operators import cohort, labels, latest, series
 from vulnlake.plans import gold as gold_plan
+from vulnlake.session import new_dir
+from vulnlake.sources import tables
 
 # ---- one record per key --------------------------------------------------------------------------
 
@@ -381,9 +383,20 @@ def _gold_sql() -> str:
       and f.day <= (select max(cast(l_shipdate as date)) - 90 from lineitem)"""
 
 
-@query("gold", _gold_sql())
-def gold(spark, sf):
-    df = observations(spark, sf)
+def _printed(df):
     rounded = [c for c, t in df.dtypes if t == "double" and c.startswith("epss_")]
     dates = [c for c, t in df.dtypes if t == "date"]
     return df.withColumns({**{c: r6(F.col(c)) for c in rounded}, **{c: text(c) for c in dates}})
+
+
+@query("gold", _gold_sql())
+def gold(spark, sf):
+    return _printed(observations(spark, sf))
+
+
+@query("gold_stored", _gold_sql())
+def gold_stored(spark, sf):
+    """The dataset through its table: written by year and month, read back with the columns in order."""
+    df, root = observations(spark, sf), new_dir(spark, "gold")
+    tables.write_observations(df, root)
+    return _printed(tables.read_observations(spark, root).select(*df.columns))

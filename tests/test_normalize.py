@@ -137,3 +137,19 @@ def test_rejects_go_to_their_reason(spark, tmp_path):
     assert {p.name for p in (tmp_path / "r").glob("reason=*")} == {"reason=invalid_cve_id", "reason=missing_event_id"}
     back = spark.read.parquet(f"{tmp_path}/r")
     assert back.count() == 2 and {"_reject_reason", "reason"} <= set(back.columns)
+
+
+def test_a_metric_without_a_score_does_not_hide_a_scored_one(spark):
+    from pyspark.sql import functions as F
+
+    from vulnlake import schemas
+    from vulnlake.plans import normalize
+
+    envelope = schemas.bronze("nvd")
+    payload = envelope["payload"].dataType
+    metric = lambda score, version: {"type": "Primary", "cvssData": {"version": version, "baseScore": score}}
+    both = {"cvssMetricV40": [metric(None, "4.0")], "cvssMetricV31": [metric(9.8, "3.1")]}
+    only = {"cvssMetricV40": [metric(None, "4.0")]}
+    rows = spark.createDataFrame([({"metrics": both},), ({"metrics": only},), ({"metrics": {}},)], schemas.StructType().add("payload", payload))
+    got = [r.m for r in rows.select(normalize.pick_metric(F.col("payload.metrics")).alias("m")).collect()]
+    assert [(m.cvss_version, m.cvss_base_score) if m else None for m in got] == [("3.1", 9.8), ("4.0", None), None]

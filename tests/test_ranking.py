@@ -180,3 +180,25 @@ def test_regression_metrics(spark):
     got = ranking.regression_metrics(df, "p", "t").first()
     assert got["rmse"] == pytest.approx((2 / 3) ** 0.5) and got["mae"] == pytest.approx(2 / 3)
     assert got["r2"] == pytest.approx(1 - 2 / (2 / 3))
+
+
+def test_tiny_scores_keep_their_order(spark):
+    rows = spark.createDataFrame([(i * 1e-11, int(i == 10)) for i in range(1, 11)], "s double, y int")
+    assert ranking.pr_auc(rows, "s", "y").first()[0] == 1.0
+
+
+def test_null_group_is_a_group(spark):
+    rows = spark.createDataFrame([("a", 0.1, 1, 1), (None, 0.2, 1, 2), (None, 0.3, 0, 3)], "g string, s double, y int, i int")
+    assert {r.g: r.pr_auc for r in ranking.pr_auc(rows, "s", "y", ["g"]).collect()}.keys() == {"a", None}
+    top = {r.g: r.positives_total for r in ranking.top_k_per_group(rows, "s", "y", 1, "i", ["g"]).collect()}
+    assert top == {"a": 1, None: 1}
+
+
+def test_percentile_with_any_number_of_cuts(spark):
+    rows = spark.createDataFrame([(float(i),) for i in range(1000)], "s double")
+    for n in (2, 101, 201, 901):
+        cuts = ranking.exact_percentile_cuts(rows, "s", n)
+        found = {r.s: r.percentile for r in ranking.add_percentile(rows, "s", cuts).collect()}
+        points = sorted(r.cut for r in cuts.collect())
+        assert len(points) == n
+        assert all(found[x] == round(100.0 * sum(c <= x for c in points) / n, 2) for x in (0.0, 499.0, 998.0, 999.0))

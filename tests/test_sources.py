@@ -101,9 +101,7 @@ def scores_dir(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_score_files(spark, scores_dir, monkeypatch, limit):
-    monkeypatch.setattr(scores, "MAX_BROADCAST_FILES", limit)
+def test_score_files(spark, scores_dir):
     rows = scores.typed_scores(scores.read_score_files(spark, scores_dir)).collect()
     got = {(r["cve"], str(r["score_date"])): r for r in rows}
     assert len(rows) == 8
@@ -244,3 +242,28 @@ def test_messages(spark):
     assert set(dead) == {2, 3, 4, 6}
     assert base64.b64decode(dead[2]["raw_value_base64"]) == rows[1][3] and dead[4]["raw_value_base64"] == ""
     assert dead[3]["error_type"] == "MissingField" and dead[3]["error_message"] == "missing: event_id"
+
+
+def test_rows_without_a_date_are_not_published(spark):
+    from vulnlake.sources import scores
+
+    rows = spark.createDataFrame(
+        [("CVE-2024-1000", "0.5", "0.5", None), ("CVE-2024-1000", "0.5", "0.5", "2024-01-01")], "cve string, epss string, percentile string, d string"
+    ).selectExpr("cve", "epss", "percentile", "cast(d as date) as score_date")
+    assert [r.status for r in scores.typed_scores(rows).orderBy("score_date").collect()] == ["invalid", "published"]
+
+
+def test_a_null_part_of_the_identity_does_not_vanish(spark):
+    from pyspark.sql import functions as F
+
+    from vulnlake.functions.hashing import event_id
+
+    parts = spark.createDataFrame([("a", None, "x"), ("a", "", "x"), (None, "a", "x")], "r string, d string, p string")
+    ids = [r[0] for r in parts.select(event_id(F.lit("s"), F.col("r"), F.col("d"), F.col("p"))).collect()]
+    assert len(set(ids)) == 3
+
+
+def test_no_manifest_folder_is_a_finding(spark, tmp_path):
+    from vulnlake.sources import bronze
+
+    assert bronze.read_manifest(spark, f"{tmp_path}/none").count() == 0
