@@ -314,7 +314,7 @@ def _bronze(spark, sf, name):
     return root
 
 
-BRONZE_ROWS = """b as (select event_id as record, case when event_id % 17 = 0 then 'X' else 'CVE-2024-' || (event_id + 10000) end as cve,
+BRONZE_ROWS = """bronze_rows as (select event_id as record, case when event_id % 17 = 0 then 'X' else 'CVE-2024-' || (event_id + 10000) end as cve,
         case when event_id % 23 = 0 then 1.5 else value / 500.0::double end as epss, (event_id % 100) / 100.0::double as percentile,
         cast(cast(ts as date) as varchar) as day, event_type as model_version from events)"""
 
@@ -322,7 +322,7 @@ BRONZE_ROWS = """b as (select event_id as record, case when event_id % 17 = 0 th
 @query(
     "bronze_scan",
     f"""with {BRONZE_ROWS} select record, 'epss' as source, cve, {sql6('epss')} as epss, day, 'run1' as run_id,
-        '2024-06-01' as ingest_date from b""",
+        '2024-06-01' as ingest_date from bronze_rows""",
 )
 def bronze_scan(spark, sf):
     rows = bronze.read_bronze(spark, _bronze(spark, sf, "bronze-scan"), "epss")
@@ -428,20 +428,23 @@ def dead_letter(spark, sf):
 
 
 def _run_streams(spark, sf, name):
-    """Bronze of two sources, then the streams to Silver."""
+    """Bronze of the three sources, then the streams to Silver."""
     root = new_dir(spark, name)
     bronze_root, silver_root = f"{root}/bronze", f"{root}/silver"
     bronze.write_bronze(event_envelopes(spark, sf), bronze_root, "epss", FETCHED[:10])
     kev = ingest.catalog_envelopes(_entries(spark, sf), RUN, _fetched())
     bronze.write_bronze(kev, bronze_root, "kev", FETCHED[:10])
-    silver.run_silver(spark, bronze_root, silver_root, f"{root}/checkpoints", sources=("epss", "kev"))
+    bronze.write_bronze(ingest.osv_envelopes(osv_docs(spark, sf), RUN, _fetched()), bronze_root, "nvd", FETCHED[:10])
+    silver.run_silver(spark, bronze_root, silver_root, f"{root}/checkpoints")
     return silver_root
 
 
 @query(
     "silver_stream",
-    f"""with {BRONZE_ROWS}, {KEV_ENTRIES}
-    select 'epss' as source, cve as cve_id, day, {sql6('epss')} as score from b where cve <> 'X' and epss <= 1
+    f"""with {SCORED}, {BRONZE_ROWS}, {KEV_ENTRIES}, n as (select v.p_partkey, s.base_score from vectors v left join scored s
+        using (p_partkey) where {OSV_STATUS} = 'published')
+    select 'nvd' as source, 'CVE-2021-' || (p_partkey + 10000) as cve_id, '2021-02-03' as day, {sql6('base_score')} as score from n
+    union all select 'epss' as source, cve as cve_id, day, {sql6('epss')} as score from bronze_rows where cve <> 'X' and epss <= 1
     union all select 'kev', cve, cast(added as varchar), null from k where cve is not null and added is not null""",
 )
 def silver_stream(spark, sf):
@@ -452,7 +455,10 @@ def silver_stream(spark, sf):
     kev = tables.read_silver(spark, root, "kev").select(
         F.lit("kev").alias("source"), "cve_id", text("date_added").alias("day"), F.lit(None).cast("double").alias("score")
     )
-    return epss.union(kev)
+    nvd = tables.read_silver(spark, root, "nvd").select(
+        F.lit("nvd").alias("source"), "cve_id", text(F.to_date("published_at")).alias("day"), r6(F.col("cvss_base_score")).alias("score")
+    )
+    return epss.union(kev).union(nvd)
 
 
 @query(
@@ -464,6 +470,33 @@ def silver_stream(spark, sf):
 )
 def message_sink(spark, sf):
     """The events as a message log, streamed to Bronze files and dead letters."""
+    root = _run_sink(spark, sf)
+    letters = spark.read.json(sink.dead_letter_path(f"{root}/bronze")).select(
+        text("original_offset").alias("record"),
+        messages.source_of(F.col("original_topic"), TOPICS).alias("source"),
+        F.col("error_type").alias("outcome"),
+    )
+    for source in TOPICS:
+        rows = bronze.read_bronze(spark, f"{root}/bronze", source)
+        letters = letters.union(rows.select(F.col("source_record_id"), "source", F.lit("good")))
+    return letters
+
+
+@query(
+    "sink_totals",
+    """select case event_type when 'view' then 'nvd' when 'click' then 'epss' else 'kev' end as source, count(*) as consumed,
+        count(*) filter (event_id % 11 <> 0 and event_id % 13 <> 0 and event_id % 17 <> 0) as written,
+        count(*) filter (event_id % 11 = 0 or event_id % 13 = 0 or event_id % 17 = 0) as dead_letters, true as sound
+    from events where event_type in ('view', 'click', 'purchase') group by 1""",
+)
+def sink_totals(spark, sf):
+    """What the sink has read, written and refused, and whether its files are as their manifests say."""
+    root = f"{_run_sink(spark, sf)}/bronze"
+    sound = validate.validate_bronze(spark, root, f"{root}/_manifests", tuple(TOPICS)).select("passed").scalar()
+    return sink.totals(spark, root, TOPICS).withColumn("sound", sound)
+
+
+def _run_sink(spark, sf):
     n = F.col("event_id")
     topic = F.col("event_type")
     record = F.to_json(
@@ -487,21 +520,13 @@ def message_sink(spark, sf):
     log.write.parquet(f"{root}/log")
     stream = spark.readStream.schema(log.schema).parquet(f"{root}/log")
     sink.start_bronze_sink(stream, TOPICS, f"{root}/bronze", f"{root}/checkpoint", FETCHED[:10]).awaitTermination()
-    letters = spark.read.json(sink.dead_letter_path(f"{root}/bronze")).select(
-        text("original_offset").alias("record"),
-        messages.source_of(F.col("original_topic"), TOPICS).alias("source"),
-        F.col("error_type").alias("outcome"),
-    )
-    for source in TOPICS:
-        rows = bronze.read_bronze(spark, f"{root}/bronze", source)
-        letters = letters.union(rows.select(F.col("source_record_id"), "source", F.lit("good")))
-    return letters
+    return root
 
 
 @query(
     "silver_rejects",
     f"""with {BRONZE_ROWS} select reason, count(*) as n from (select case when cve = 'X' then 'invalid_cve_id'
-        when epss > 1 then 'invalid_epss_value' end as reason from b) where reason is not null group by 1""",
+        when epss > 1 then 'invalid_epss_value' end as reason from bronze_rows) where reason is not null group by 1""",
 )
 def silver_rejects(spark, sf):
     root = _run_streams(spark, sf, "rejects")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vulnlake.operators.latest import latest
 from vulnlake.sources import bronze, messages
 from vulnlake.streaming.silver import query_id
 
@@ -54,6 +55,20 @@ def batch_sink(
     return write
 
 
+def totals(spark: SparkSession, bronze_root: str, topics: dict[str, str]) -> DataFrame:
+    """(source, consumed, written, dead_letters) over all batches, from the manifests and the dead letters."""
+    files = latest(bronze.read_manifest(spark, f"{bronze_root}/_manifests"), ["path"], "created_at", ["sha256", "record_count"])
+    written = files.select("source", F.col("record_count").alias("written"), F.lit(0).cast("bigint").alias("dead_letters"))
+    letters = spark.read.schema("original_topic string").json(dead_letter_path(bronze_root)).select(
+        messages.source_of(F.col("original_topic"), topics).alias("source"),
+        F.lit(0).cast("bigint").alias("written"), F.lit(1).cast("bigint").alias("dead_letters"),
+    )
+    summed = written.unionByName(letters).groupBy("source").agg(
+        F.sum("written").alias("written"), F.sum("dead_letters").alias("dead_letters")
+    )
+    return summed.select("source", (F.col("written") + F.col("dead_letters")).alias("consumed"), "written", "dead_letters")
+
+
 def start_bronze_sink(
     stream: DataFrame,
     topics: dict[str, str],
