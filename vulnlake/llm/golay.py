@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnlake.llm.arrays import as_bytes, by_run, ragged, runs, slices
@@ -267,13 +267,18 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """The documents without their near-duplicates: of every component the one with the smallest id stays.
 
     Rows that repeat its id stay only once, the one with the smallest text; rows without an id are dropped where the component
-    has one, and otherwise count as one document.
+    has one, and otherwise count as one document. The texts are shuffled once: the join and the choice share a key.
     """
-    found = near_duplicates(docs, doc_id, text)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
     columns = docs.columns
-    rows = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
-    from pyspark.sql import Window
+    found = near_duplicates(docs, doc_id, text)
+    kept = found.where("doc_id <=> component_id").select(_key(F.col("doc_id")).alias("key")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"))
+    rows = rows.withColumn("key", _key(F.col(f"row.v{columns.index(doc_id)}"))).join(kept, "key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("key").orderBy(f"row.v{columns.index(text)}"))
+    rows = rows.withColumn("first", first).where("first = 1")
+    return rows.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)))
+
 
-    first = F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.col(f"`{text}`")))
-    return rows.withColumn("_first", first).where("_first = 1").select(*(F.col(f"`{c}`") for c in columns))
+def _key(doc_id: Column) -> Column:
+    """A text that equals only itself, also for a null id."""
+    return F.coalesce(doc_id.cast("string"), F.lit("\x00"))
