@@ -303,6 +303,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
         F.when(F.col("times") > 1, F.lit(True)).alias("whole"),
         F.arrays_zip("t0", "t1").alias("parts"),
     )
+    # written, so that the join with the members can split a hot context
+    runs_ = cut_lineage(runs_, "suffix-runs")
     whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("lo") + F.col("n") + (window - 1)).alias("e")))
     parts = F.transform(
         "parts", lambda x: F.struct((F.col("lo") + x["t0"]).alias("s"), (F.col("lo") + x["t1"] + window).alias("e"))
