@@ -28,8 +28,10 @@ from vulnlake.session import new_dir
 # Bytes from which a token is a candidate, and from which the value of an assignment is one.
 TOKEN = 16
 VALUE = 8
-# The dictionary holds the most frequent words of the corpus with so many letters.
+# The dictionary holds the most frequent words of the corpus with so many letters, of those that occur at least once in so many
+# bytes: at most WORD_EVERY / 4 words do, whatever the size, so that bounds what reaches the driver.
 DICTIONARY = 20_000
+WORD_EVERY = 1_000_000
 SHORTEST_WORD, LONGEST_WORD = 3, 16
 # About so many labelled findings train the forest, chosen by a hash of their document and place.
 SAMPLE = 20_000
@@ -114,11 +116,13 @@ class Corpus:
 
 
 def corpus_statistics(docs: DataFrame, text: str = "text") -> Corpus:
-    """Counts over all documents; what reaches the driver is DICTIONARY words and a table of 256 x 256 counts."""
+    """Counts over all documents; what reaches the driver is bounded by WORD_EVERY and a table of 256 x 256 counts."""
     own = pick(docs, text).toDF("text")
+    size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     letters = F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+")).alias("word")
     counted = own.select(letters).where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
-    frequent = counted.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    often = counted.where(F.col("n") * WORD_EVERY >= F.lit(size))
+    frequent = often.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
