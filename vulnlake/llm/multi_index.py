@@ -36,7 +36,7 @@ ROTATIONS = 30
 SPARE = 8
 # Largest block of queries and largest part of the postings that meet in a cell.
 QUERY_BLOCK = 4096
-PART_ROWS = 16384
+PART_ROWS = 1 << 16
 
 
 # ---- codes -------------------------------------------------------------------------------------
