@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
 from driver_queries.silver_queries import BAND, SCORED
 from vulnlake.functions import hashing
-from vulnlake.operators import quality
 from vulnlake.plans import ingest, validate
 from vulnlake.session import new_dir
 from vulnlake.sources import bronze, catalog, messages, osv, scores, tables
