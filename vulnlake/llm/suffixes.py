@@ -28,8 +28,8 @@ GRAM = 64
 CHUNK = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
 # Contexts of one anchor whose suffixes a task sorts in memory; beyond it windows are compared by 128-bit hashes.
-GROUP_LIMIT = 2048
-SORT_BYTES = 1 << 19
+GROUP_LIMIT = 1024
+SORT_BYTES = 1 << 18
 # Never part of UTF-8.
 SEPARATOR = 0xFF
 
