@@ -123,18 +123,23 @@ def near(queries: DataFrame, index: DataFrame) -> DataFrame:
 
 
 # ---- operator ----------------------------------------------------------------------------------
+def _key(doc_id: str, mark: str) -> Column:
+    """Id and text hash as one text without nulls, so that joins, windows and sums on it share one shuffle."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.col(mark).cast("string"))
+
+
 def _order(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, n_chars, times and the key and length of the neighbours in ascending order of (doc_id, mark), in a ring.
+    """k, doc_id, n_chars, times, next_k, prev_k, prev_chars: documents in ascending order of (doc_id, mark), in a ring.
 
     Slim rows are dealt into ranges; neighbours across ranges come from the first and last row of each.
     """
     slim = docs.groupBy("doc_id", "mark").agg(F.min("n_chars").alias("n_chars"), F.count("*").alias("times"))
     ranged = slim.repartitionByRange("doc_id", "mark").withColumn("part", F.spark_partition_id())
-    ranged = cut_lineage(ranged, "simhash-order")
-    key = F.struct(F.lit(1).alias("there"), "doc_id", "mark", "n_chars")
+    ranged = cut_lineage(ranged, "simhash-order").withColumn("k", _key("doc_id", "mark"))
+    row = F.struct("doc_id", "mark", "k", "n_chars")
     inside = Window.partitionBy("part").orderBy("doc_id", "mark")
-    inner = ranged.withColumn("next", F.lead(key).over(inside)).withColumn("prev", F.lag(key).over(inside))
-    ends = ranged.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    inner = ranged.withColumn("next", F.lead(row).over(inside)).withColumn("prev", F.lag(row).over(inside))
+    ends = ranged.groupBy("part").agg(F.min(row).alias("first"), F.max(row).alias("last"))
     # one row per range of the slim table
     ring = Window.orderBy("part")
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -143,66 +148,48 @@ def _order(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lead("first").over(ring), F.first("first").over(whole)).alias("after"),
         F.coalesce(F.lag("last").over(ring), F.last("last").over(whole)).alias("before"),
     )
-    linked = inner.join(ends, "part")
-    following, previous = F.coalesce("next", "after"), F.coalesce("prev", "before")
+    linked = inner.join(ends, "part").withColumns({"next": F.coalesce("next", "after"), "prev": F.coalesce("prev", "before")})
     return cut_lineage(
         linked.select(
-            "doc_id", "mark", "n_chars", "times",
-            following["doc_id"].alias("next_id"), following["mark"].alias("next_mark"),
-            previous["doc_id"].alias("prev_id"), previous["mark"].alias("prev_mark"), previous["n_chars"].alias("prev_chars"),
+            "k", "doc_id", "n_chars", "times", F.col("next.k").alias("next_k"), F.col("prev.k").alias("prev_k"),
+            F.col("prev.n_chars").alias("prev_chars"),
         ),
         "simhash-ring",
     )
 
 
-def _same(a: tuple[str, str], b: tuple[str, str]) -> Column:
-    return F.col(a[0]).eqNullSafe(F.col(b[0])) & (F.col(a[1]) == F.col(b[1]))
-
-
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the halves f1, f2.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the next document.
     Documents follow each other by doc_id and, among equal ids, by the hash of their text; null ids come first, and the
     last is followed by the first. A null text is empty. Repeated rows are one document in that order and come out
-    as often as they went in.
+    as often as they went in. Whole texts are shuffled once; only the beginnings that their predecessors need travel besides.
     """
     own = pick(docs, doc_id, text).toDF("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     own = own.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     ring = _order(own.select("doc_id", "mark", F.length("text").cast("long").alias("n_chars")))
 
-    once = F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("mark"))
-    distinct = own.withColumn("once", once).where("once = 1").drop("once")
-    sent = ring.select(
-        F.col("doc_id").alias("s_id"), F.col("mark").alias("s_mark"), "prev_id", "prev_mark", F.floor(F.col("prev_chars") / 2).alias("need")
+    once = F.row_number().over(Window.partitionBy("k").orderBy("k"))
+    distinct = own.select(_key("doc_id", "mark").alias("k"), "text").withColumn("once", once).where("once = 1").drop("once")
+    sent = ring.select("k", "prev_k", F.floor(F.col("prev_chars") / 2).cast("int").alias("need"))
+    heads = distinct.join(sent, "k").select(
+        F.col("prev_k").alias("k"), F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head")
     )
-    heads = distinct.join(sent, _same(("doc_id", "mark"), ("s_id", "s_mark"))).select(
-        "prev_id", "prev_mark", F.substring(F.col("text"), F.lit(1), F.col("need").cast("int")).alias("head")
-    )
-    edited = distinct.join(heads, _same(("doc_id", "mark"), ("prev_id", "prev_mark")))
     n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = edited.select(
-        "doc_id", "mark", "text", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.col("head")).alias("edited")
-    )
+    kept = F.substring(F.col("text"), F.lit(1), n - F.floor(n / 2).cast("int"))
+    edited = distinct.join(heads, "k").select("k", "text", F.concat(kept, F.col("head")).alias("edited"))
     kinds = F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("body"), F.lit(None).cast("string").alias("sha")),
         F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body"), F.sha2("edited", 256).alias("sha")),
     )
-    both = edited.select("doc_id", "mark", F.explode(kinds).alias("k")).select("doc_id", "mark", "k.kind", "k.sha", "k.body")
-    prints = cut_lineage(fingerprints(both, ["doc_id", "mark", "kind", "sha"], "body"), "simhash-prints")
+    both = edited.select("k", F.explode(kinds).alias("x")).select("k", "x.kind", "x.sha", "x.body")
+    prints = cut_lineage(fingerprints(both, ["k", "kind", "sha"], "body"), "simhash-prints")
 
-    plain = prints.where("kind = 0").select("doc_id", "mark", "f1", "f2")
-    changed = prints.where("kind = 1").select(
-        F.col("doc_id").alias("e_id"), F.col("mark").alias("e_mark"), "sha", F.col("f1").alias("e1"), F.col("f2").alias("e2")
-    )
-    following = plain.toDF("n_id", "n_mark", "n1", "n2")
-    places = ring.select(F.col("doc_id").alias("r_id"), F.col("mark").alias("r_mark"), "n_chars", "times", "next_id", "next_mark")
-    joined = (
-        plain.join(changed, _same(("doc_id", "mark"), ("e_id", "e_mark")))
-        .join(places, _same(("doc_id", "mark"), ("r_id", "r_mark")))
-        .join(following, _same(("next_id", "next_mark"), ("n_id", "n_mark")))
-    )
+    plain = prints.where("kind = 0").select("k", "f1", "f2")
+    changed = prints.where("kind = 1").select("k", "sha", F.col("f1").alias("e1"), F.col("f2").alias("e2"))
+    following = plain.toDF("next_k", "n1", "n2")
+    joined = plain.join(changed, "k").join(ring, "k").join(following, "next_k")
     f1, f2 = F.col("f1"), F.col("f2")
     return joined.select(
         "doc_id", "n_chars", F.col("sha").alias("edited_sha256"),
