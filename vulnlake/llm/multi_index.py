@@ -34,7 +34,8 @@ COVER = 0.97
 ROTATIONS = 30
 # Candidates of a query in a cell that are scored again beyond those asked for.
 SPARE = 8
-# Largest block of queries and largest part of the postings that meet in a cell.
+# Largest block of queries and largest part of the postings that meet in a cell. Every cell gives each of its queries at most
+# k + 1 rows, so larger parts mean fewer rows to merge.
 QUERY_BLOCK = 4096
 PART_ROWS = 1 << 16
 
