@@ -28,7 +28,7 @@ GRAM = 64
 CHUNK = 1 << 19
 PLACE = np.uint64((1 << 20) - 1)
 # Contexts of one anchor whose suffixes a task sorts in memory; beyond it windows are compared by 128-bit hashes.
-GROUP_LIMIT = 1024
+GROUP_LIMIT = 4096
 SORT_BYTES = 1 << 18
 # Never part of UTF-8.
 SEPARATOR = 0xFF
@@ -137,9 +137,15 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     following = np.append(data[bounds[1:-1]].astype(np.int64), -1)
     smaller = np.repeat(following > data[bounds[:-1]], np.diff(bounds))
     raw = data.tobytes()
-    direct = np.flatnonzero(smaller).tolist()
-    direct.sort(key=lambda i: raw[i : i + depth])
-    own = np.array(direct, np.int64)
+    # one bucket of first two bytes after the other, so that the keys of one bucket only are in memory
+    direct = np.flatnonzero(smaller)
+    pair = data[direct].astype(np.int64) << 8 | data[direct + 1]
+    direct = direct[np.argsort(pair, kind="stable")]
+    cut = runs(np.sort(pair))
+    buckets = [direct[a:b].tolist() for a, b in zip(cut[:-1], cut[1:])]
+    for bucket in buckets:
+        bucket.sort(key=lambda i: raw[i : i + depth])
+    own = np.array([i for bucket in buckets for i in bucket], np.int64)
     first = data[own] if len(own) else np.zeros(0, np.uint8)
     edges = np.searchsorted(first, np.arange(257))
     front: list[list[np.ndarray]] = [[] for _ in range(256)]
