@@ -17,8 +17,8 @@ SPREAD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 class SliceTable:
     """`learn` gives the numbers of new strings, as bytes of 32-bit integers.
 
-    The table has 2 ** `bits` places and starts anew when it is over half full, so memory is bounded and the
-    results never depend on what it holds.
+    The table has 2 ** `bits` places and starts anew when it is over half full. Slices come to it in parts of a quarter of
+    its places at most, so it never fills, memory is bounded and the results never depend on what it holds.
     """
 
     def __init__(self, learn: Callable[[list[bytes]], list[bytes]], bits: int = 21):
@@ -96,7 +96,18 @@ class SliceTable:
         return found
 
     def ids(self, joined: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of all slices of `joined`, one after the other; how many each slice has)"""
+        """(numbers of all slices of `joined`, which are in order, one after the other; how many each slice has)"""
+        part = 1 << (self.bits - 2)
+        if len(starts) <= part:
+            return self._part(joined, starts, stops)
+        out = []
+        for k in range(0, len(starts), part):
+            own, ends = starts[k : k + part], stops[k : k + part]
+            out.append(self._part(joined[own[0] : ends[-1]], own - own[0], ends - own[0]))
+        numbers, sizes = zip(*out)
+        return np.concatenate(numbers), np.concatenate(sizes)
+
+    def _part(self, joined: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.known > 1 << (self.bits - 1):
             self._clear()
         entries = np.zeros(len(starts), np.int64)
