@@ -7,7 +7,9 @@ so on, until one group is left or a round joins hardly any bins.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -91,15 +93,43 @@ def _slice_ids(path: str) -> SliceTable:
     return SliceTable(learn)
 
 
-def token_ids(texts: list[bytes], path: str, end: int) -> Iterator[np.ndarray]:
-    """Ids of every text and `end`, as little-endian 32-bit numbers."""
+@cache
+def _added(path: str) -> tuple[re.Pattern[bytes] | None, dict[bytes, int]]:
+    """A pattern for the added tokens of the tokeniser file, the longest first, and their ids."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"an added token that takes its neighbours into account: {t}")
+    ids = {t["content"].encode(): t["id"] for t in tokens}
+    longest = sorted(ids, key=len, reverse=True)
+    return re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if ids else None, ids
+
+
+def token_ids(texts: list[bytes], path: str, end: int, added: bool = False) -> Iterator[np.ndarray]:
+    """Ids of every text and `end`, as little-endian 32-bit numbers. `added` tokens have their ids, and texts are cut there first."""
+    pattern, numbers = _added(path) if added else (None, {})
+    if pattern and any(map(pattern.search, texts)):
+        cut = [pattern.split(t) for t in texts]
+        parts = _split_ids([x for own in cut for x in own[::2]], path)
+        for own in cut:
+            out = [next(parts)]
+            for token in own[1::2]:
+                out += [np.array([numbers[token]]), next(parts)]
+            yield np.concatenate([*out, [end]]).astype("<u4")
+        return
     for ids, counts in encode_slices(texts, _slice_ids(path)):
         stops = np.cumsum(counts)
         yield from np.split(np.insert(ids, stops, end).astype("<u4"), stops[:-1] + np.arange(1, len(stops)))
 
 
+def _split_ids(texts: list[bytes], path: str) -> Iterator[np.ndarray]:
+    for ids, counts in encode_slices(texts, _slice_ids(path)):
+        yield from np.split(ids, np.cumsum(counts)[:-1])
+
+
 # ---- rounds ------------------------------------------------------------------------------------
-def _local_round(docs: DataFrame, path: str, capacity: int, end: int, local: int) -> DataFrame:
+def _local_round(docs: DataFrame, path: str, capacity: int, end: int, local: int, added: bool) -> DataFrame:
     """All pieces, packed by the tasks that tokenise them."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -120,7 +150,7 @@ def _local_round(docs: DataFrame, path: str, capacity: int, end: int, local: int
             texts = as_bytes(batch.column(1))
             for i, j in slices([len(t) for t in texts]):
                 rows = []
-                for row, own in enumerate(token_ids(texts[i:j], path, end)):
+                for row, own in enumerate(token_ids(texts[i:j], path, end, added)):
                     view = memoryview(own).cast("B")
                     for piece, (start, length) in enumerate(cut(len(own), capacity)):
                         numbers.append((piece, start, length, zlib.crc32(view[4 * start : 4 * (start + length)])))
@@ -163,15 +193,15 @@ def _merge_round(open_: DataFrame, groups: int, capacity: int) -> DataFrame:
 
 def pack(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END,
-    local: int = LOCAL, group: int = GROUP,
+    local: int = LOCAL, group: int = GROUP, added: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    A document is its ids by the tokeniser file `path` (special strings are ordinary text) and the id `end`; so a null or
-    empty text is one token. Repeated rows are documents of their own. Within a sequence offsets are gapless from 0.
+    A document is its ids by the tokeniser file `path` and the id `end`; so a null or empty text is one token. With `added`
+    the file's added tokens count, as the tokeniser has them when it is loaded; without, such strings are ordinary text. Repeated rows are documents of their own. Within a sequence offsets are gapless from 0.
     """
     own = pick(docs, doc_id, text).toDF("doc_id", "text")
-    now = cut_lineage(_local_round(own, path, capacity, end, local), "pack-local")
+    now = cut_lineage(_local_round(own, path, capacity, end, local, added), "pack-local")
     done = []
     before = None
     while True:

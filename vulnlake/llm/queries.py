@@ -99,7 +99,7 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 @query
