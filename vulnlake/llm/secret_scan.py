@@ -1,6 +1,6 @@
 """Operator 2: secret scans with a random forest that removes false positives.
 
-Candidates are long tokens and values of assignments. Features: length, character transitions (changes of class, and
+Candidates are published formats, blocks of private keys, passwords in URLs, values of assignments and long tokens. Features: length, character transitions (changes of class, and
 how unusual the pairs of characters are in the corpus), coverage by the corpus' frequent words, the path, and the
 neighbouring words. The forest is trained by Spark from labelled findings and then applied, as small arrays, where the
 texts are.
@@ -11,8 +11,9 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,24 +41,47 @@ DECISION = 0.5
 MASK = b"[SECRET]"
 
 # Words that tell of secrets, and of examples, in names, neighbours and paths.
-SECRET_WORDS = ("api", "apikey", "auth", "bearer", "credential", "key", "passwd", "password", "private", "pwd", "secret", "token")
+SECRET_WORDS = ("api", "apikey", "auth", "bearer", "credential", "key", "pass", "passphrase", "passwd", "password", "private", "pwd", "secret", "token")
 EXAMPLE_WORDS = ("changeme", "demo", "doc", "docs", "dummy", "example", "fake", "mock", "placeholder", "sample", "test", "tests", "xxx")
 # Published formats of credentials, by kind.
 FORMATS = {
-    "aws": re.compile(rb"AKIA[0-9A-Z]{16}"),
-    "github": re.compile(rb"gh[pousr]_[0-9A-Za-z]{36}"),
+    "aws": re.compile(rb"A[KS]IA[0-9A-Z]{16}"),
+    "digitalocean": re.compile(rb"do[opr]_v1_[0-9a-f]{64}"),
+    "github": re.compile(rb"gh[pousr]_[0-9A-Za-z]{36}|github_pat_[0-9A-Za-z_]{22,}"),
+    "gitlab": re.compile(rb"gl(?:pat|dt|rt|ptt)-[0-9A-Za-z_\-]{20,}"),
+    "google": re.compile(rb"AIza[0-9A-Za-z_\-]{35}|ya29\.[0-9A-Za-z_\-]{20,}|GOCSPX-[0-9A-Za-z_\-]{28}"),
+    "huggingface": re.compile(rb"hf_[0-9A-Za-z]{34}"),
     "jwt": re.compile(rb"eyJ[0-9A-Za-z_\-]{10,}\.[0-9A-Za-z_\-]{10,}\.[0-9A-Za-z_\-]{10,}"),
-    "slack": re.compile(rb"xox[abprs]-[0-9A-Za-z\-]{10,}"),
-    "stripe": re.compile(rb"[rs]k_(live|test)_[0-9A-Za-z]{16,}"),
+    "npm": re.compile(rb"npm_[0-9A-Za-z]{36}"),
+    "openai": re.compile(rb"sk-(?=[A-Za-z_\-]*[0-9])[0-9A-Za-z_\-]{20,}"),
+    "pypi": re.compile(rb"pypi-[0-9A-Za-z_\-]{50,}"),
+    "sendgrid": re.compile(rb"SG\.[0-9A-Za-z_\-]{22}\.[0-9A-Za-z_\-]{43}"),
+    "slack": re.compile(rb"xox[abeprs]-[0-9A-Za-z\-]{10,}|xapp-[0-9A-Za-z\-]{10,}"),
+    "stripe": re.compile(rb"(?:[rs]k_(?:live|test)|whsec)_[0-9A-Za-z]{16,}"),
 }
+PUBLISHED = re.compile(rb"(?<![0-9A-Za-z_])(?:%s)(?![0-9A-Za-z_])" % b"|".join(p.pattern for p in FORMATS.values()))
 FEATURES = (
     "length", "digits", "uppers", "lowers", "hex", "changes", "surprise", "entropy", "coverage",
     "assigned", "quoted", "name_secret", "near_secret", "near_example", "path_example", "path_depth", "path_digits",
 )
 
 LONG_TOKEN = re.compile(rb"[A-Za-z0-9+/_\-]{%d,}(?:\.[A-Za-z0-9_\-]{10,}){0,2}={0,2}" % TOKEN)
-ASSIGNED = re.compile(rb"[:=]{1,2}[ \t]{0,2}([\"']?)([A-Za-z0-9+/_\-.]{%d,})" % VALUE)
-NAME_BEFORE = re.compile(rb"([A-Za-z][A-Za-z0-9_\-]{1,40})[\"']?[ \t]{0,2}$")
+SIGN = re.compile(rb"(?:=>|[:=]{1,2})[ \t]*")
+PLAIN = re.compile(rb"([\"']?)([A-Za-z0-9+/_\-.]{%d,})" % VALUE)
+QUOTED = re.compile(rb"([\"'`])((?:(?!\1)[^\\\n]|\\.)*)\1")
+OPEN = re.compile(rb"[\"'`]?(\S+)")
+AFTER_VALUE = b".,;:)]}>\"'`"
+SCHEME = re.compile(rb"[A-Za-z][A-Za-z0-9+.\-]*://")
+NAME_BEFORE = re.compile(rb"([A-Za-z][A-Za-z0-9_\-]{1,40})[\"']?[ \t]*$")
+CAMEL = re.compile(rb"(?<=[a-z0-9])(?=[A-Z])")
+# The password of scheme://user:password@host; and the name that such a finding has.
+IN_URL = re.compile(rb"://[^\s/:@]*:([^\s/]+)@")
+URL_NAME = b"url_password"
+PEM_BEGIN = re.compile(rb"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+PEM_END = re.compile(rb"-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+PEM_BODY = re.compile(rb"(?:(?:\\n|\s)*[A-Za-z0-9+/=\\]{16,})*(?:\s+[A-Za-z0-9+/]*={1,2})?")
+# Values that stand for something else: masks, variables, expressions.
+STANDS_FOR = re.compile(rb"[*xX.]+|\$?\{.*\}?|\$\(.*|\$[A-Z_][A-Z0-9_]*|%\(?\w+\)?[sd%]?|<.*|[A-Za-z_][\w.]*[(\[].*", re.S)
 WORD = re.compile(rb"[a-z]+")
 
 
@@ -70,37 +94,105 @@ class Candidate:
     quoted: bool
 
 
-def candidates(text: bytes) -> list[Candidate]:
-    """Places of a text, in order, none inside another. An assignment needs a name before it."""
-    found: list[Candidate] = []
-    for m in ASSIGNED.finditer(text):
-        name = NAME_BEFORE.search(text, max(0, m.start() - 48), m.start())
+def _secret_name(name: bytes) -> bool:
+    return bool(set(WORD.findall(CAMEL.sub(b"_", name).lower())) & _SECRET)
+
+
+def _key_blocks(text: bytes) -> Iterator[Candidate]:
+    """Private keys with their first and last lines; without a last line as far as there is base64."""
+    at, last = 0, None
+    while begin := PEM_BEGIN.search(text, at):
+        if last is None or 0 <= last[0] < begin.end():
+            m = PEM_END.search(text, begin.end())
+            last = m.span() if m else (-1, -1)
+        following = PEM_BEGIN.search(text, begin.end())
+        whole = last[0] >= 0 and not (following and following.start() < last[0])
+        at = last[1] if whole else PEM_BODY.match(text, begin.end()).end()
+        yield Candidate(begin.start(), at, b"", False)
+
+
+def _secret_values(text: bytes) -> Iterator[Candidate]:
+    """Values of names that tell of a secret: up to the closing quote, without quotes up to white space."""
+    at = 0
+    while sign := SIGN.search(text, at):
+        at = sign.end()
+        name = NAME_BEFORE.search(text, max(0, sign.start() - 80), sign.start())
+        if not name or not _secret_name(name[1]):
+            continue
+        m = QUOTED.match(text, at)
+        if m:
+            start, end = m.span(2)
+        elif m := OPEN.match(text, at):
+            start = m.start(1)
+            end = start + len(m[1].rstrip(AFTER_VALUE))
+        else:
+            continue
+        if end - start >= VALUE and not SCHEME.match(text, start, end):
+            yield Candidate(start, end, name[1], text[start - 1 : start] in _QUOTES)
+            at = end
+
+
+def _plain_values(text: bytes) -> Iterator[Candidate]:
+    at = 0
+    while sign := SIGN.search(text, at):
+        at = sign.end()
+        m = PLAIN.match(text, at)
+        name = m and NAME_BEFORE.search(text, max(0, sign.start() - 80), sign.start())
+        if m:
+            at = m.end()
         if name:
-            found.append(Candidate(m.start(2), m.end(2), name[1], bool(m[1])))
+            yield Candidate(m.start(2), m.end(2), name[1], bool(m[1]))
+
+
+def _unnamed(text: bytes, pattern: re.Pattern[bytes], at: int, end: int) -> Iterator[Candidate]:
+    for m in pattern.finditer(text, at, end):
+        yield Candidate(m.start(), m.end(), b"", text[m.start() - 1 : m.start()] in _QUOTES)
+
+
+def _joined(found: list[Candidate], more: Iterable[Candidate]) -> list[Candidate]:
+    """All of `found` and, of others that do not overlap each other, those that touch none of them, in order."""
     starts = [c.start for c in found]
-    for m in LONG_TOKEN.finditer(text):
-        start, end = m.span()
-        k = bisect_left(starts, end)
-        if not (k and found[k - 1].end > start):
-            found.append(Candidate(start, end, b"", text[start - 1 : start] in (b'"', b"'")))
-    return sorted(found, key=lambda c: c.start)
+    free = []
+    for c in more:
+        k = bisect_left(starts, c.end)
+        if not (k and found[k - 1].end > c.start):
+            free.append(c)
+    return sorted(found + free, key=lambda c: c.start) if free else found
+
+
+def candidates(text: bytes) -> list[Candidate]:
+    """Places of a text, in order, none inside another. An assignment needs a name before it."""
+    found = list(_key_blocks(text))
+    found = _joined(found, _secret_values(text))
+    found = _joined(found, (Candidate(m.start(1), m.end(1), URL_NAME, False) for m in IN_URL.finditer(text)))
+    found = _joined(found, _unnamed(text, PUBLISHED, 0, len(text)))
+    found = _joined(found, _plain_values(text))
+    gaps = zip([0, *(c.end for c in found)], [*(c.start for c in found), len(text)])
+    return _joined(found, [c for a, b in gaps if b - a >= TOKEN for c in _unnamed(text, LONG_TOKEN, a, b)])
 
 
 def published(value: bytes) -> str | None:
     """Kind of a value in a published format."""
+    if PEM_BEGIN.match(value):
+        return "pem"
     return next((kind for kind, pattern in FORMATS.items() if pattern.fullmatch(value)), None)
 
 
 def labelled(value: bytes, name: bytes) -> int:
-    """Label of a finding: 1 for a published format, and for a value with letters and digits under a name that tells of a secret."""
+    """Label of a finding: 1 for a published format, for a password in a URL, and for a value with letters and digits under a name
+    that tells of a secret; not for values that stand for something else."""
     if published(value):
         return 1
     lowered = value.lower()
-    secret = bool(set(WORD.findall(name.lower())) & _SECRET)
+    if STANDS_FOR.fullmatch(value) or any(w in lowered for w in _EXAMPLE_LONG):
+        return 0
+    if name == URL_NAME:
+        return int(lowered not in _SECRET)
     mixed = bool(re.search(rb"\d", value)) and bool(re.search(rb"[A-Za-z]", value)) and len(value) >= 12
-    return int(secret and mixed and not any(w in lowered for w in _EXAMPLE_LONG))
+    return int(_secret_name(name) and mixed)
 
 
+_QUOTES = (b'"', b"'", b"`")
 _SECRET = {w.encode() for w in SECRET_WORDS}
 _EXAMPLE = {w.encode() for w in EXAMPLE_WORDS}
 _EXAMPLE_LONG = tuple(w for w in _EXAMPLE if len(w) > 4)
@@ -144,15 +236,24 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> Corpus:
     return Corpus(frozenset(r["word"].encode() for r in frequent), -np.log2(counts / counts.sum(axis=1, keepdims=True)))
 
 
+@cache
+def _beginnings(words: frozenset[bytes]) -> frozenset[bytes]:
+    return frozenset(w[:SHORTEST_WORD] for w in words)
+
+
 def coverage(value: bytes, words: frozenset[bytes]) -> float:
     """Share of the letters and digits that lie in dictionary words, the longest first from the left."""
     lowered, covered, i = value.lower(), 0, 0
+    begins = _beginnings(words)
     while i < len(lowered):
-        for n in range(min(LONGEST_WORD, len(lowered) - i), SHORTEST_WORD - 1, -1):
-            if lowered[i : i + n] in words:
-                covered += n
-                i += n
-                break
+        if lowered[i : i + SHORTEST_WORD] in begins:
+            for n in range(min(LONGEST_WORD, len(lowered) - i), SHORTEST_WORD - 1, -1):
+                if lowered[i : i + n] in words:
+                    covered += n
+                    i += n
+                    break
+            else:
+                i += 1
         else:
             i += 1
     return covered / len(lowered)
@@ -168,7 +269,7 @@ _HEX[list(b"0123456789abcdefABCDEF")] = True
 
 
 def features(text: bytes, c: Candidate, path: str, corpus: Corpus) -> list[float]:
-    """One number for each of FEATURES. Of a very long value the words are looked up in its first 512 bytes."""
+    """One number for each of FEATURES, from the whole value."""
     value = text[c.start : c.end]
     data = np.frombuffer(value, np.uint8)
     kind, n = _KIND[data], len(value)
@@ -182,8 +283,8 @@ def features(text: bytes, c: Candidate, path: str, corpus: Corpus) -> list[float
         float(n), float((kind == 1).mean()), float((kind == 2).mean()), float((kind == 3).mean()), float(_HEX[data].all()),
         float((kind[1:] != kind[:-1]).mean()) if n > 1 else 0.0,
         float(corpus.surprise[data[:-1], data[1:]].mean()) if n > 1 else 0.0,
-        float(-(share * np.log2(share)).sum()), coverage(value[:512], corpus.words),
-        float(bool(c.name)), float(c.quoted), float(bool(name & _SECRET)), float(bool(around & _SECRET)),
+        float(-(share * np.log2(share)).sum()), coverage(value, corpus.words),
+        float(bool(c.name)), float(c.quoted), float(_secret_name(c.name)), float(bool(around & _SECRET)),
         float(bool((around | name) & _EXAMPLE)), float(bool(parts & _EXAMPLE)), float(path.count("/")), float(sum(ch.isdigit() for ch in path)),
     ]
 
@@ -268,14 +369,16 @@ class Scanner:
     forest: Forest | None
 
     def scan(self, text: bytes, path: str) -> list[tuple[Candidate, float]]:
-        """All candidates with the probability of a secret. Without a forest, the label's rule decides."""
+        """All candidates with the probability of a secret: 1 where the label's rule holds, whatever formats the forest has met, and
+        else the forest's. Without a forest, the rule decides."""
         found = candidates(text)
         if not found:
             return []
+        ruled = np.array([labelled(text[c.start : c.end], c.name) for c in found], float)
         if self.forest is None:
-            return [(c, float(labelled(text[c.start : c.end], c.name))) for c in found]
+            return list(zip(found, ruled.tolist()))
         rows = np.array([features(text, c, path, self.corpus) for c in found])
-        return list(zip(found, self.forest.probability(rows).tolist()))
+        return list(zip(found, np.maximum(ruled, self.forest.probability(rows)).tolist()))
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", sample: int = SAMPLE) -> Scanner:
