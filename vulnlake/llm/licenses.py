@@ -4,13 +4,15 @@ Texts are words (runs of ASCII letters and digits and of non-ASCII bytes, lower
 shingles is looked for in windows of 2L shingles that start every L shingles, L being the power of two from n on:
 so a run of n shingles lies in one window whole. Each hash function is a band of its own. The number of
 bands follows from the least similarity of a window that holds CONTAINMENT of a template, so that such a window is missed with a
-probability of at most MISS. Windows that share a band with a template are compared with it word by word.
+probability of at most MISS. Windows that share a band with a template are compared with it word by word. Of places that overlap, the
+one with the most shingles names the license, if it holds the words that tell its template from those of other licenses.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,7 +43,16 @@ TEMPLATES = (
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("GPL-2.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 )
+# Fixed value: the line that names a license, or an expression of several, by identifier.
+SPDX = re.compile(rb"SPDX-License-Identifier:[ \t]*(\(*[A-Za-z0-9][A-Za-z0-9.+:\-]*\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9][A-Za-z0-9.+:\-]*\)*)*)")
 # Odd multipliers for hashing.
 ROLL = 0x9E3779B97F4A7C15
 CHAIN = 0xD6E8FEB86659FD93
@@ -123,6 +134,16 @@ def families(templates=TEMPLATES) -> list[Family]:
     return [Family(size, by_size[size], templates) for size in sorted(by_size)]
 
 
+@cache
+def distinguishing(templates=TEMPLATES) -> list[list[set]]:
+    """Per template: for every template of another license that holds CONTAINMENT of it, the shingles that are not in that one."""
+    sets = [shingle_set(text.lower().encode()) for _, text in templates]
+    return [
+        [own - other for u, other in enumerate(sets) if templates[u][0] != templates[t][0] and own and len(own & other) >= CONTAINMENT * len(own)]
+        for t, own in enumerate(sets)
+    ]
+
+
 # ---- search ------------------------------------------------------------------------------------
 def candidates(hashes: np.ndarray, bounds: np.ndarray, family: Family) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, first shingle within it, member) of windows that share a band with a template.
@@ -149,7 +170,12 @@ def candidates(hashes: np.ndarray, bounds: np.ndarray, family: Family) -> tuple[
 
 
 def matches(texts: list[bytes], templates=TEMPLATES) -> list[tuple[int, int, int, int, float]]:
-    """(text, template, first byte, end, containment) of every place that holds a template.
+    """(text, template, first byte, end, containment) of every place that holds a template."""
+    return [place[:5] for place in places(texts, templates)]
+
+
+def places(texts: list[bytes], templates=TEMPLATES) -> list[tuple[int, int, int, int, float, bool]]:
+    """(text, template, first byte, end, containment, best) of every place that holds a template.
 
     Neighbouring windows that both hold it are one place: the better one counts, the first of equals.
     """
@@ -172,29 +198,51 @@ def matches(texts: list[bytes], templates=TEMPLATES) -> list[tuple[int, int, int
             a, b = int(cut[d]) + s, min(int(cut[d]) + s + 2 * family.size + SHINGLE - 1, int(cut[d + 1]))
             own = [joined[x:y] for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist())]
             there = [i for i in range(len(own) - SHINGLE + 1) if tuple(own[i : i + SHINGLE]) in family.sets[m]]
-            share = len({tuple(own[i : i + SHINGLE]) for i in there}) / len(family.sets[m])
+            held = {tuple(own[i : i + SHINGLE]) for i in there}
+            share = len(held) / len(family.sets[m])
             if share >= CONTAINMENT:
                 span = int(starts[a + there[0]] - base[d]), int(ends[a + there[-1] + SHINGLE - 1] - base[d])
-                found.append((d, family.members[m], s, *span, share, family.size))
+                told = all(not held.isdisjoint(only) for only in distinguishing(templates)[family.members[m]])
+                found.append((d, family.members[m], s, *span, share, family.size, len(held), told))
     found.sort()
-    out: list[tuple[int, int, int, int, float]] = []
+    out: list[tuple[int, int, int, int, float, int, bool]] = []
     at = None
-    for d, t, s, x, y, share, size in found:
+    for d, t, s, x, y, share, size, n, told in found:
         if at == (d, t, s - size) and x < out[-1][3]:
             if share > out[-1][4]:
-                out[-1] = (d, t, x, y, share)
+                out[-1] = (d, t, x, y, share, n, told)
         else:
-            out.append((d, t, x, y, share))
+            out.append((d, t, x, y, share, n, told))
         at = (d, t, s)
-    return out
+    best = _best(out)
+    return [(*place[:5], i in best) for i, place in enumerate(out)]
+
+
+def _best(found: list[tuple[int, int, int, int, float, int, bool]]) -> set[int]:
+    """Of the places that tell their license, those that no better one overlaps: more shingles, then the larger share of the template."""
+    taken: dict[int, list[tuple[int, int]]] = {}
+    best = set()
+    for i in sorted((i for i, p in enumerate(found) if p[6]), key=lambda i: (-found[i][5], -found[i][4], i)):
+        d, _, x, y = found[i][:4]
+        own = taken.setdefault(d, [])
+        k = bisect_left(own, (y, 0))
+        if not (k and own[k - 1][1] > x):
+            own.insert(k, (x, y))
+            best.add(i)
+    return best
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES) -> DataFrame:
-    """doc_id, license, template, start, end, containment: one row per place of a document's text that holds a template.
+    """doc_id, license, template, start, end, containment, best: one row per place of a document's text that holds a template.
 
-    `template` is its number; start and end are bytes of the UTF-8 text. Null and short texts have no rows, repeated rows repeat
-    theirs. Texts are read whole, and the work is done where they are: nothing is shuffled.
+    `template` is its number; start and end are bytes of the UTF-8 text. `best` is true where the row names the license of its place:
+    it holds the words that tell it from similar licenses, and no better place overlaps it. A line SPDX-License-Identifier is a
+    row too, without a template and with its expression as license. `templates` are pairs of license and text, or a table with these
+    columns, numbered in their order. Null and short texts have no rows, repeated rows repeat theirs. Texts are read whole, and the
+    work is done where they are: nothing is shuffled.
     """
+    if isinstance(templates, DataFrame):
+        templates = tuple((r[0], r[1]) for r in templates.select("license", "text").dropna().distinct().orderBy("license", "text").collect())
     own = pick(docs, doc_id, text).toDF("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
 
@@ -202,13 +250,17 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
         for batch in batches:
             texts = as_bytes(batch.column(1))
             for i, j in slices([len(t) for t in texts], CHUNK):
-                rows = matches(texts[i:j], templates)
+                rows = [(d, templates[t][0], t, x, y, share, best) for d, t, x, y, share, best in places(texts[i:j], templates)]
+                for d, own_text in enumerate(texts[i:j]):
+                    for m in SPDX.finditer(own_text):
+                        name = m[1].decode().rstrip(".:")
+                        rows.append((d, name, None, m.start(), m.start(1) + len(name), 1.0, True))
                 if rows:
-                    d, t, x, y, share = zip(*rows)
+                    d, names, t, x, y, share, best = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(i, j - i).take(pa.array(d)), pa.array([templates[k][0] for k in t]), pa.array(t, pa.int32()),
-                         pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(share, pa.float64())],
-                        names=["doc_id", "license", "template", "start", "end", "containment"],
+                        [batch.column(0).slice(i, j - i).take(pa.array(d)), pa.array(names, pa.string()), pa.array(t, pa.int32()),
+                         pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(share, pa.float64()), pa.array(best, pa.bool_())],
+                        names=["doc_id", "license", "template", "start", "end", "containment", "best"],
                     )
 
-    return own.mapInArrow(run, f"doc_id {kind}, license string, template int, start bigint, `end` bigint, containment double")
+    return own.mapInArrow(run, f"doc_id {kind}, license string, template int, start bigint, `end` bigint, containment double, best boolean")
