@@ -264,21 +264,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without their near-duplicates: of every component the one with the smallest id stays.
+    """The documents without their near-duplicates: of every component one row stays, one with the smallest id.
 
-    Rows that repeat its id stay only once, the one with the smallest text; rows without an id are dropped where the component
-    has one, and otherwise count as one document. The texts are shuffled once: the join and the choice share a key.
+    A row is known by its id and a 128-bit hash of its text, so rows that share an id, or have none, go only where their texts are near
+    copies. Rows without an id stay where no row of the component has one. The texts are shuffled once: the join and the choice share a key.
     """
     columns = docs.columns
-    found = near_duplicates(docs, doc_id, text)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"))
+    own, words = F.col(f"row.v{columns.index(doc_id)}"), F.col(f"row.v{columns.index(text)}")
+    name = F.struct(own.isNull().alias("none"), own.alias("id"), F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
+    found = near_duplicates(packed.select(name.alias("doc_id"), words.alias("text")))
     kept = found.where("doc_id <=> component_id").select(_key(F.col("doc_id")).alias("key")).distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"))
-    rows = rows.withColumn("key", _key(F.col(f"row.v{columns.index(doc_id)}"))).join(kept, "key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("key").orderBy(f"row.v{columns.index(text)}"))
+    rows = packed.withColumn("key", _key(name)).join(kept, "key", "left_semi")
+    # rows under one key are copies
+    first = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     rows = rows.withColumn("first", first).where("first = 1")
     return rows.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)))
 
 
-def _key(doc_id: Column) -> Column:
+def _key(name: Column) -> Column:
     """A text that equals only itself, also for a null id."""
-    return F.coalesce(doc_id.cast("string"), F.lit("\x00"))
+    return F.concat_ws("\x00", name["h1"].cast("string"), name["h2"].cast("string"), name["id"].cast("string"))
