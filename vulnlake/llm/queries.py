@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnlake.llm import bpe, golay, langid, licenses, multi_index, packing, secret_scan, shards, simhash, suffixes
+from vulnlake.llm import (
+    bpe, fim, golay, langid, licenses, mixing, multi_index, packing, repair, secret_scan, shards, simhash, suffixes,
+)
+from vulnlake.llm.oracles import CONVERSATIONS, FILL_IN_MIDDLE, MIX, REPEATS
 from vulnlake.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,27 +57,6 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
-# Every window of 400 bytes as hexadecimal text; bytes under a window that occurs twice are gaps between the kept parts.
-REPEATS = """with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-    -- long texts in overlapping parts, as a place in a text is found by walking to it
-    b as (select r, i * 2000 as base, substr(h, cast(4000 * i + 1 as bigint), 4798) as x
-          from (select r, h, unnest(range(cast(length(h) // 4000 + 1 as bigint))) as i from d) where length(h) >= 4000 * i + 800),
-    w as (select r, base + q as p, md5(substr(x, cast(2 * q + 1 as bigint), 800)) as k
-          from (select r, base, x, unnest(range(cast(length(x) // 2 - 399 as bigint))) as q from b)),
-    c as (select r, p, p > lag(p) over (partition by r order by p) + 400 as cut
-          from w where k in (select k from w group by k having count(*) > 1)),
-    i as (select r, min(p) as s, max(p) + 400 as e
-          from (select r, p, sum(coalesce(cut, false)::int) over (partition by r order by p) as island from c) group by r, island),
-    g as (select r, s, e, coalesce(lag(e) over (partition by r order by s), 0) as before from i),
-    k as (select r, count(*) as n_spans, sum(e - s) as n_removed, max(e) as last,
-              string_agg(substr(h, cast(2 * before + 1 as bigint), cast(2 * (s - before) as bigint)), '' order by s) as head
-          from g join d using (r) group by r)
-    select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
-        cast(coalesce(n_spans, 0) as bigint) as n_spans,
-        sha256(unhex(coalesce(head, '') || substr(h, cast(2 * coalesce(last, 0) + 1 as bigint)))) as kept_sha256
-    from d left join k using (r)"""
-
-
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_repeats(docs).select(
@@ -107,6 +89,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audit(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+query(op11_conversation_repair, CONVERSATIONS)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+query(op12_fill_in_middle, FILL_IN_MIDDLE)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+query(op13_source_mix, MIX)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
