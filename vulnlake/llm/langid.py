@@ -141,11 +141,12 @@ def score(texts: list[bytes], model: Model) -> np.ndarray:
     return total / total.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of `docs` (all by default) and `language`, a struct of lang_pred and score.
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, into: str = "language") -> DataFrame:
+    """The columns `keep` of `docs` (all by default) and, under the name `into`, a struct of lang_pred and score.
 
     A null text, or one without a letter, is `und` with score 0; so is everything if no language was learned. Equal
-    scores go to the first language in order.
+    scores go to the first language in order. Long texts are scored whole; repeated rows are rows of their own; an empty
+    table gives an empty one. Columns of `docs` can have any names but `into`.
     """
     columns = docs.columns if keep is None else keep
     packed = docs.select(
@@ -169,4 +170,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
     row = packed.schema["row"].dataType.simpleString()
     done = packed.mapInArrow(run, f"row {row}, language struct<lang_pred:string,score:double>")
-    return done.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)), "language")
+    return done.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)), F.col("language").alias(into))

@@ -10,6 +10,7 @@ Contexts that occur twice are repeated as a whole; the rest is decided by the su
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -214,16 +215,12 @@ def _spans(found: np.ndarray, counts: np.ndarray) -> tuple[list[list[int]], list
 
 
 def _sorted_groups(contexts: DataFrame, window: int, group_limit: int) -> DataFrame:
-    """anchor, c1, c2, t0, t1: runs of repeated windows. Contexts of oversized anchors come back with their text."""
+    """anchor, c1, c2, t0, t1: runs of repeated windows. No anchor has more than `group_limit` contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "c1", "c2", "t0", "t1", "text"]
-        for rows, whole in by_run(batches, "anchor", group_limit):
+        names = ["anchor", "c1", "c2", "t0", "t1"]
+        for rows, _ in by_run(batches, "anchor", group_limit):
             keys = [rows.column(c).combine_chunks() for c in names[:3]]
-            if not whole:
-                none = pa.nulls(rows.num_rows, pa.list_(pa.int64()))
-                yield from pa.Table.from_arrays([*keys, none, none, rows.column("text")], names=names).to_batches()
-                continue
             texts = rows.column("text").to_pylist()
             bounds = runs(rows.column("anchor").to_numpy())
             sizes = [sum(map(len, texts[a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
@@ -232,12 +229,11 @@ def _sorted_groups(contexts: DataFrame, window: int, group_limit: int) -> DataFr
                 counts = np.array([len(t) - window + 1 for t in texts[a:b]])
                 t0, t1 = _spans(repeated_starts(texts[a:b], window), counts)
                 yield pa.RecordBatch.from_arrays(
-                    [k.slice(a, b - a) for k in keys]
-                    + [pa.array(t0, pa.list_(pa.int64())), pa.array(t1, pa.list_(pa.int64())), pa.nulls(b - a, pa.binary())],
+                    [k.slice(a, b - a) for k in keys] + [pa.array(t0, pa.list_(pa.int64())), pa.array(t1, pa.list_(pa.int64()))],
                     names=names,
                 )
 
-    schema = "anchor bigint, c1 bigint, c2 bigint, t0 array<bigint>, t1 array<bigint>, text binary"
+    schema = "anchor bigint, c1 bigint, c2 bigint, t0 array<bigint>, t1 array<bigint>"
     grouped = contexts.repartition("anchor").sortWithinPartitions("anchor")
     return cut_lineage(grouped.mapInArrow(run, schema), "suffix-sorted")
 
@@ -264,24 +260,10 @@ def _hashed_groups(contexts: DataFrame, window: int) -> DataFrame:
     return windows.join(twice, ["h1", "h2"]).groupBy("anchor", "c1", "c2").agg(F.sort_array(F.collect_list("t")).alias("t0")).withColumn("t1", F.col("t0"))
 
 
-# ---- spans of whole documents ------------------------------------------------------------------
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """doc_id, mark, spans: byte ranges [s, e), unordered and overlapping, of every document that has any.
-
-    `docs` has doc_id, mark and text; doc_id and mark (a hash of the text) name a row. A repeated row repeats all its windows.
-    """
+def _texts(docs: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
+    """anchor, c1, c2, text: every distinct context once, cut out of the row named by its `at`."""
     key = ["anchor", "c1", "c2"]
-    members = cut_lineage(_contexts(docs.select("doc_id", "mark", "text"), window, gram), "suffix-contexts")
-    met = members.groupBy("anchor").agg(F.count("*").alias("times"), F.min("c1").alias("x"), F.max("c1").alias("y"))
-    # written, so that both sides of the join are plain exchanges and a hot anchor can be split
-    met = cut_lineage(met.where("times > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed")), "suffix-anchors")
-    members = cut_lineage(members.join(met, "anchor"), "suffix-met")
-
-    mixed = members.where("mixed").groupBy(*key).agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "lo", "n")).alias("at")
-    )
-    mixed = cut_lineage(mixed, "suffix-distinct")
-    wanted = mixed.groupBy(F.col("at.doc_id").alias("w_doc"), F.col("at.mark").alias("w_mark")).agg(
+    wanted = distinct.groupBy(F.col("at.doc_id").alias("w_doc"), F.col("at.mark").alias("w_mark")).agg(
         F.collect_list(F.struct("anchor", "c1", "c2", "at.lo", "at.n")).alias("cuts")
     )
     # a repeated row has the same cuts once more; one of them is enough
@@ -299,11 +281,36 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
                 [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.binary())], names=[*key, "text"]
             )
 
-    contexts = sources.mapInArrow(cut, "anchor bigint, c1 bigint, c2 bigint, text binary").dropDuplicates(key)
-    sorted_ = _sorted_groups(contexts, window, group_limit)
-    runs_ = sorted_.where("text is null").select(*key, "t0", "t1").unionByName(
-        _hashed_groups(sorted_.where("text is not null"), window)
+    return sources.mapInArrow(cut, "anchor bigint, c1 bigint, c2 bigint, text binary").dropDuplicates(key)
+
+
+# ---- spans of whole documents ------------------------------------------------------------------
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """doc_id, mark, spans: byte ranges [s, e), unordered and overlapping, of every document that has any.
+
+    `docs` has doc_id, mark and text; doc_id and mark (a hash of the text) name a row. A repeated row repeats all its windows.
+    """
+    key = ["anchor", "c1", "c2"]
+    members = cut_lineage(_contexts(docs.select("doc_id", "mark", "text"), window, gram), "suffix-contexts")
+    met = members.groupBy("anchor").agg(F.count("*").alias("times"), F.min("c1").alias("x"), F.max("c1").alias("y"))
+    # written, so that both sides of the join are plain exchanges and a hot anchor can be split
+    met = cut_lineage(met.where("times > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed")), "suffix-anchors")
+    members = cut_lineage(members.join(met, "anchor"), "suffix-met")
+
+    mixed = members.where("mixed").groupBy(*key).agg(
+        F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "lo", "n")).alias("at")
     )
+    mixed = cut_lineage(mixed, "suffix-distinct")
+    # anchors with too many contexts for one task never meet in one
+    crowded = mixed.groupBy("anchor").agg(F.count("*").alias("contexts")).where(F.col("contexts") > group_limit)
+    crowded = cut_lineage(crowded.select("anchor"), "suffix-crowded")
+    if crowded.isEmpty():
+        runs_ = _sorted_groups(_texts(docs, mixed, window), window, group_limit)
+    else:
+        calm, hot = mixed.join(crowded, "anchor", "left_anti"), mixed.join(crowded, "anchor", "left_semi")
+        runs_ = _sorted_groups(_texts(docs, calm, window), window, group_limit).unionByName(
+            _hashed_groups(_texts(docs, hot, window), window)
+        )
     runs_ = mixed.select(*key, "times").join(runs_, key, "left").select(
         *key,
         F.when(F.col("times") > 1, F.lit(True)).alias("whole"),
@@ -343,6 +350,16 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def long_enough(text: bytes, spans: list[tuple[int, int]], least_words: int) -> list[tuple[int, int]]:
+    """The spans with at least so many words, cut ones included."""
+    if not least_words:
+        return spans
+    return [(s, e) for s, e in spans if sum(1 for _ in WORD.finditer(text, s, e)) >= least_words]
+
+
 def whole_points(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The spans shrunk to code points that they cover as a whole."""
     out = []
@@ -357,13 +374,16 @@ def whole_points(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, i
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT,
+    least_words: int = 0, into: str = "repeats",
 ) -> DataFrame:
-    """All columns of `docs` and, under `repeats`, a struct: n_bytes, n_removed, n_spans, kept_sha256, text.
+    """All columns of `docs` and, under the name `into`, a struct: n_bytes, n_removed, n_spans, kept_sha256, text.
 
-    Every byte under a string of `window` bytes that also starts anywhere else in the table is removed. `repeats.text` is the
+    Every byte under a string of `window` bytes that also starts anywhere else in the table is removed; with `least_words` only
+    if the maximal run of such bytes has so many words. The struct's `text` is the
     rest as text: there a code point stays that is only partly covered; null stays null. The counts and the hash are
-    exact to the byte, with null as empty. Repeated rows repeat each other's strings.
+    exact to the byte, with null as empty. Repeated rows repeat each other's strings. A text shorter than the window loses nothing, however
+    often it occurs; an empty table gives an empty one. Columns of `docs` can have any names but `into`.
     """
     columns = docs.columns
     marked = docs.select(
@@ -384,7 +404,7 @@ def remove_repeats(
             out = []
             valid = batch.column(1).is_valid().to_pylist()
             for own, there, spans in zip(as_bytes(batch.column(1)), valid, batch.column(2).to_pylist()):
-                spans = merge_spans(spans)
+                spans = long_enough(own, merge_spans(spans), least_words)
                 out.append({
                     "n_bytes": len(own), "n_removed": sum(e - s for s, e in spans), "n_spans": len(spans),
                     "kept_sha256": hashlib.sha256(without(own, spans)).hexdigest(),
@@ -399,4 +419,4 @@ def remove_repeats(
         run,
         f"row {row.simpleString()}, repeats struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string,text:string>",
     )
-    return done.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)), "repeats")
+    return done.select(*(F.col(f"row.v{i}").alias(c) for i, c in enumerate(columns)), F.col("repeats").alias(into))

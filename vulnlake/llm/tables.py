@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vulnlake import session
 from vulnlake.session import cut_lineage
 
-__all__ = ["configure", "cut_lineage", "pick", "table"]
+__all__ = ["configure", "cut_lineage", "free_name", "pick", "table"]
 
 # Rows of whole texts that cross to Python at once: some megabytes, both in the JVM and in the worker.
 BATCH_ROWS = "1000"
@@ -27,3 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pick(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that further columns of the caller can never clash with derived ones."""
     return docs.select(*(F.col(f"`{c}`") for c in columns))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of `docs` has it in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
