@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -12,8 +13,8 @@ from tests.llm import brute
 SF = "/root/testdata/sf0.01"
 
 
-def expected(texts, window):
-    """(n_bytes, n_removed, n_spans, kept_sha256) per text."""
+def expected(texts, window, least_words=0):
+    """(n_bytes, n_removed, n_spans, kept_sha256) per text; only runs of repeated bytes with so many words are removed."""
     data = [(t or "").encode() for t in texts]
     times = {}
     for d in data:
@@ -26,6 +27,9 @@ def expected(texts, window):
         for p in range(len(d) - window + 1):
             if times[d[p : p + window]] > 1:
                 gone[p : p + window] = b"\1" * window
+        for run in re.finditer(b"\x01+", bytes(gone)):
+            if len(re.findall(rb"[^\x20\x09-\x0D]+", d[run.start() : run.end()])) < least_words:
+                gone[run.start() : run.end()] = bytes(run.end() - run.start())
         kept = bytes(x for x, g in zip(d, gone) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
@@ -109,3 +113,14 @@ def test_query_on_tables(spark):
     want = dict(zip([r.doc_id for r in docs], expected([r.text for r in docs], 400)))
     assert got == want
     assert sum(x[1] for x in got.values()) > 0
+
+
+def test_runs_with_few_words_stay(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7)))
+    shared = [" ".join(word() for _ in range(n)) for n in (9, 10, 11, 30)]
+    texts = [" ".join(word() for _ in range(5)) + f" {s} " + " ".join(word() for _ in range(5)) for s in shared for _ in range(3)]
+    docs = spark.createDataFrame(brute.rows([*texts, None, ""]), brute.DOCS).selectExpr("*", "1 as repeats")
+    got = suffixes.remove_repeats(docs, window=20, gram=7, least_words=10, into="repeats_").orderBy("doc_id").collect()
+    assert [tuple(r.repeats_)[:4] for r in got] == expected([*texts, None, ""], 20, 10)
+    assert [r.repeats for r in got] == [1] * len(got) and len({r.repeats_.n_spans for r in got}) == 2
