@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from vulnlake.operators.latest import latest
 
 REASON = "_reject_reason"
+# What can become of a source record.
+STATUSES = ("published", "skipped", "invalid", "failed")
 
 
 def accepted(annotated: DataFrame) -> DataFrame:
@@ -35,11 +37,10 @@ def reason_counts(annotated: DataFrame) -> DataFrame:
 
 def status_counts(df: DataFrame, source: Column, status: Column) -> DataFrame:
     """Ingest statistics per source in one pass: fetched, published, skipped, invalid."""
-    kinds = ("published", "skipped", "invalid", "failed")
     flagged = df.select(source.alias("source"), status.alias("_status"))
     return flagged.groupBy("source").agg(
         F.count("*").alias("fetched"),
-        *(F.count_if(F.col("_status") == kind).alias(kind) for kind in kinds),
+        *(F.count_if(F.col("_status") == kind).alias(kind) for kind in STATUSES),
     )
 
 

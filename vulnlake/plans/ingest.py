@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vulnlake import schemas
 from vulnlake.functions.hashing import wrap
 from vulnlake.functions.times import parse_date, parse_rfc3339
-from vulnlake.operators import quality
+from vulnlake.operators import counts, quality
 from vulnlake.sources import bronze, catalog, osv, scores
 
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -99,22 +98,35 @@ def run_ingest(
     catalog_path: str | None = None,
     max_records: int = bronze.MAX_RECORDS_PER_FILE,
 ) -> DataFrame | None:
-    """Write Bronze and its manifests for whichever sources are given; returns the counts of each source."""
+    """Write Bronze and its manifests for whichever sources are given; returns the stored counts of each source.
+
+    Source rows are counted by status in the pass that writes their envelopes; nothing is read again for the counts.
+    """
     at = F.lit(fetched_at).cast("timestamp")
-    jobs, counts = {}, []
+    jobs = {}
+
+    def watched(source: str, rows: DataFrame, status: Column) -> DataFrame:
+        seen, watches[source] = counts.observed(rows, counts.status_measures(status, quality.STATUSES))
+        return seen
+
+    watches: dict[str, Observation] = {}
     if osv_dir is not None:
         docs = osv.read_osv(spark, osv_dir)
-        jobs["nvd"] = osv_envelopes(docs, run_id, at)
-        counts.append(osv_counts(docs))
+        status = osv.doc_status(F.col("id"), F.col("withdrawn"), F.col("details"))
+        jobs["nvd"] = osv_envelopes(watched("nvd", docs, status), run_id, at)
     if scores_dir is not None:
         rows = scores.typed_scores(scores.read_score_files(spark, scores_dir))
-        jobs["epss"] = score_envelopes(rows, run_id, at)
-        counts.append(score_counts(rows))
+        jobs["epss"] = score_envelopes(watched("epss", rows, F.col("status")), run_id, at)
     if catalog_path is not None:
         entries = catalog.explode_catalog(catalog.read_catalog(spark, catalog_path))
-        jobs["kev"] = catalog_envelopes(entries, run_id, at)
-        counts.append(catalog_counts(entries))
+        status = catalog.entry_status(F.col("cveID"), F.col("dateAdded"))
+        jobs["kev"] = catalog_envelopes(watched("kev", entries, status), run_id, at)
     for source, envelopes in jobs.items():
         bronze.write_bronze(envelopes, bronze_root, source, fetched_at[:10], max_records=max_records)
         bronze.write_manifest(spark, bronze_root, source, bronze.manifest_path(bronze_root, source), fetched_at, run_id)
-    return reduce(DataFrame.unionByName, counts) if counts else None
+    if not jobs:
+        return None
+    stored = [{"source": s, "run_id": run_id, **counts.values(w)} for s, w in watches.items()]
+    path = f"{bronze_root}/_counts/ingest/run_id={run_id}/sources={'-'.join(jobs)}"
+    counts.store(spark, path, schemas.INGEST_COUNTS, stored)
+    return counts.read(spark, path, schemas.INGEST_COUNTS).drop("run_id")

@@ -98,9 +98,21 @@ SILVER = {
 }
 
 MANIFEST = """
-    path string, source string, record_count bigint, sha256 string, created_at string
+    path string, source string, record_count bigint, sha256 string, created_at string,
+    first_offset bigint, last_offset bigint
 """
 
+# What a file or the dead letters of a run hold of a message log: stretches of offsets without a hole.
+OFFSETS = """
+    source string, topic string, partition int, run_id string, file string, first_offset bigint, last_offset bigint,
+    records bigint
+"""
+
+# What became of the records of one run or batch.
+INGEST_COUNTS = "source string, run_id string, fetched bigint, published bigint, skipped bigint, invalid bigint, failed bigint"
+SILVER_COUNTS = "source string, load string, batch bigint, fetched bigint, accepted bigint, rejected bigint"
+SINK_COUNTS = "source string, run_id string, fetched bigint, written bigint, dead_letters bigint"
+
 CVSS_CATEGORICAL = [
     "attack_vector",
     "attack_complexity",

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,9 +60,43 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+# The folder of the job that runs in this thread, if it has one.
+_SCRATCH = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """Intermediate tables of a job whose result is written inside the block: their folder is deleted at its end."""
+    outer = getattr(_SCRATCH, "folder", None)
+    _SCRATCH.folder = f"{shared_dir(spark)}/vulnlake/{name}-{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        delete_dir(spark, _SCRATCH.folder)
+        _SCRATCH.folder = outer
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file systems; none is fine."""
+    system, place = _place(spark, path)
+    system.delete(place, True)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    """A folder that may stay empty, so that it can be read."""
+    system, place = _place(spark, path)
+    system.mkdirs(place)
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
-    """A path for one run inside the shared folder; never reused."""
-    return f"{shared_dir(spark)}/vulnlake/{name}-{uuid.uuid4().hex}"
+    """A path for one run inside the shared folder, or inside the job's scratch folder; never reused."""
+    folder = getattr(_SCRATCH, "folder", None) or f"{shared_dir(spark)}/vulnlake"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df, name: str):

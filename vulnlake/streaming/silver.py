@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vulnlake import schemas
-from vulnlake.operators.quality import accepted, write_rejected
+from vulnlake.operators import counts
+from vulnlake.operators.quality import REASON, accepted, write_rejected
 from vulnlake.plans.normalize import NORMALIZERS
 from vulnlake.sources import bronze
 
@@ -23,6 +24,15 @@ def rejected_path(silver_root: str, source: str) -> str:
     return f"{silver_root}/rejected/source={source}"
 
 
+def counts_path(silver_root: str) -> str:
+    return f"{silver_root}/_counts"
+
+
+def stream_counts(spark: SparkSession, silver_root: str) -> DataFrame:
+    """(source, load, batch, fetched, accepted, rejected) of every batch."""
+    return counts.read(spark, counts_path(silver_root), schemas.SILVER_COUNTS)
+
+
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the query, stored with its checkpoint."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -31,6 +41,7 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch: good rows to the table, bad rows by reason.
 
+    What the batch fetched, accepted and rejected is observed in the pass that writes the good rows, and stored.
     Each batch owns the directory load=<query id>/batch=<n> and overwrites it, so a batch that Spark
     repeats after a failure leaves no duplicates, and a new checkpoint never touches older loads.
     """
@@ -42,8 +53,13 @@ def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[Da
             known["id"] = query_id(batch.sparkSession, checkpoint)
         load = f"load={known['id']}/batch={batch_id}"
         annotated = NORMALIZERS[source](batch).persist()
+        bad = F.col(REASON).isNotNull()
+        measures = {"fetched": F.count(F.lit(1)), "accepted": F.count_if(~bad), "rejected": F.count_if(bad)}
         try:
-            accepted(annotated).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
+            seen, watch = counts.observed(annotated, measures)
+            accepted(seen).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
+            row = {"source": source, "load": known["id"], "batch": batch_id, **counts.values(watch)}
+            counts.store(batch.sparkSession, f"{counts_path(silver_root)}/source={source}/{load}", schemas.SILVER_COUNTS, [row])
             write_rejected(annotated, f"{rejected_path(silver_root, source)}/{load}", "overwrite")
         finally:
             annotated.unpersist()
@@ -97,7 +113,8 @@ def start_silver_streams(
     return queries
 
 
-def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint_root: str, **options) -> None:
-    """Process what is there and return when every query has finished."""
+def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint_root: str, **options) -> DataFrame:
+    """Process what is there and return, when every query has finished, the stored counts of all batches."""
     for query in start_silver_streams(spark, bronze_root, silver_root, checkpoint_root, **options):
         query.awaitTermination()
+    return stream_counts(spark, silver_root)
