@@ -331,15 +331,16 @@ def label_rows(spark, sf):
 # ---- the observation dataset -----------------------------------------------------------------------
 
 
+GOLD_OPTIONS = {"score": "score", "published": "published", "added": "added", "keep": ("quantity",), "thresholds": (0.03, 0.07)}
+
+
 def observations(spark, sf):
     """Gold over the driver's tables, with unrounded values."""
     return gold_plan.observations(
         line_daily(spark, sf),
         dimension(spark, sf),
         outcomes(spark, sf),
-        key="id", day="day", score="score", published="published", added="added",
-        as_of=line_rows(spark, sf).agg(F.max("day")).scalar(),
-        keep=("quantity",), thresholds=(0.03, 0.07),
+        key="id", day="day", as_of=line_rows(spark, sf).agg(F.max("day")).scalar(), **GOLD_OPTIONS,
     )
 
 

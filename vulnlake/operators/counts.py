@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,18 @@ def status_measures(status: Column, kinds: tuple[str, ...]) -> dict[str, Column]
 
 
 def values(watch: Observation) -> dict[str, int]:
-    """What was observed; the action must have run. A plan that was known to be empty observes nothing."""
-    return {k: v or 0 for k, v in watch.get.items()}
+    """What was observed; the action must have run.
+
+    Spark may find while it runs that a plan has no rows and drop the observation with it. Its row then has no columns, which cannot be
+    converted; nothing was seen.
+    """
+    try:
+        found = watch.get
+    except Py4JJavaError as error:
+        if "java.lang.AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+    return {k: v or 0 for k, v in found.items()}
 
 
 def store(spark: SparkSession, path: str, ddl: str, rows: list[dict]) -> None:
