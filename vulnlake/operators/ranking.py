@@ -120,7 +120,12 @@ def classification_metrics(
     df: DataFrame, score: str, label: str, groups: list[str] | None = None
 ) -> DataFrame:
     """(groups, area_under_pr, area_under_roc) from one set of running totals."""
-    totals = running_totals(threshold_counts(df, score, label, groups), groups)
+    return areas(threshold_counts(df, score, label, groups), groups)
+
+
+def areas(counts: DataFrame, groups: list[str] | None = None) -> DataFrame:
+    """(groups, area_under_pr, area_under_roc) from counts per threshold, wherever they come from."""
+    totals = running_totals(counts, groups)
     return totals.groupBy(*(groups or [])).agg(
         _pr_area().alias("area_under_pr"), _roc_area().alias("area_under_roc")
     )
@@ -260,14 +265,17 @@ def exact_percentile_cuts(df: DataFrame, score: str, n: int = CUT_COUNT) -> Data
         "threshold", "total_n", (F.col("total_n") - F.col("cnt")).alias("_before"),
         (F.col("total_n") - F.col("cnt") + F.col("n")).alias("_upto"),
     )
-    # Quantile i has rank ceil(i * total / (n-1)), the first one rank 1; whole numbers throughout.
-    first = F.when(F.col("_before") == 0, F.lit(0).cast("bigint")).otherwise(
-        F.expr(f"(_before * {n - 1}) div total_n") + 1
-    )
-    last = F.expr(f"(_upto * {n - 1}) div total_n")
-    return ranks.filter(first <= last).select(
-        F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("position"), F.col("threshold").alias("cut")
-    )
+    return quantile_positions(ranks, "_before", "_upto", "total_n", n).select("position", F.col("threshold").alias("cut"))
+
+
+def quantile_positions(ranks: DataFrame, before: str, upto: str, total: str, n: int) -> DataFrame:
+    """The rows once for every quantile that they answer, as `position`; a row holds the ranks after `before` up to `upto`.
+
+    Quantile i has rank ceil(i * total / (n-1)), the first one rank 1; whole numbers throughout.
+    """
+    first = F.when(F.col(before) == 0, F.lit(0).cast("bigint")).otherwise(F.expr(f"(`{before}` * {n - 1}) div `{total}`") + 1)
+    last = F.expr(f"(`{upto}` * {n - 1}) div `{total}`")
+    return ranks.filter(first <= last).withColumn("position", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
 
 
 def add_percentile(df: DataFrame, score: str, cuts: DataFrame, name: str = "percentile") -> DataFrame:
@@ -322,6 +330,75 @@ def tune_weights(
     return areas.select(F.get(grid, F.col("_point")).alias("_w"), "pr_auc").select("_w.*", "pr_auc")
 
 
+# Bins of the blended score, from 0 to 10, in which bounds of the area are taken, coarse ones first.
+BIN_ROUNDS = (256, 8192)
+SCORE_RANGE = 10.0
+# Sums of the same terms may differ by so much.
+AREA_SLACK = 1e-9
+
+
+def _area_bounds() -> list[Column]:
+    """Bounds of the area from counts per bin whose inner order is unknown.
+
+    In a bin with p positives and m others, after tp positives among n rows, no precision is above that of all positives coming first, (tp + p) /
+    (n + p), and none below that of all coming last, tp / (n + m); so also the means of neighbouring ones.
+    """
+    tp, cnt, pos, n = (F.col(c).cast("double") for c in ("tp", "cnt", "pos", "n"))
+    before, rows = tp - pos, cnt - n
+    share = pos / F.nullif("total_pos", F.lit(0))
+    upper = (before + pos) / F.nullif(rows + pos, F.lit(0.0))
+    lower = before / F.nullif(rows + n - pos, F.lit(0.0))
+    counted = F.col("pos") > 0
+    return [
+        F.sum(F.when(counted, share * F.coalesce(lower, F.lit(0.0)))).alias("lower"), F.sum(F.when(counted, share * upper)).alias("upper"),
+    ]
+
+
+def best_weights_pruned(
+    df: DataFrame, cvss: str, exploit: str, outcome: str, label: str, *, step: float = 0.05, rounds: tuple[int, ...] = BIN_ROUNDS
+) -> DataFrame:
+    """(w1, w2, w3, pr_auc, exact_points): the row of `best_weights`, without the exact area of every grid point.
+
+    Each round bounds the areas of the points that are left by bins of the blended score: its counts are combined before the
+    shuffle, so at most bins times points rows travel, however many distinct scores there are. Points whose upper bound
+    is below the greatest lower bound go. What is left, `exact_points` of them, gets its exact area. Only point numbers reach the driver.
+    """
+    rows = df.filter(F.col(label).isNotNull())
+    inputs = rows.groupBy(
+        F.col(cvss).cast("double").alias("_cvss"), F.col(exploit).cast("double").alias("_exploit"), F.col(outcome).cast("double").alias("_outcome"),
+    ).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
+    inputs = cut_lineage(inputs, "tune-inputs")
+    points = weight_grid(step)
+    left = list(range(len(points)))
+    for bins in rounds:
+        blended = _blended(inputs, points, left)
+        bin_ = F.floor(F.least(F.col("threshold"), F.lit(SCORE_RANGE)) * (bins / SCORE_RANGE))
+        counted = blended.groupBy("_point", bin_.cast("double").alias("threshold")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+        bounds = running_totals(counted, ["_point"]).groupBy("_point").agg(*_area_bounds()).where("upper is not null").collect()
+        floor = max((b["lower"] for b in bounds), default=0.0)
+        left = sorted(b["_point"] for b in bounds if b["upper"] >= floor - AREA_SLACK) or left
+        if len(left) == 1:
+            break
+    counts = _blended(inputs, points, left).groupBy("_point", "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    exact = running_totals(counts, ["_point"]).groupBy("_point").agg(_pr_area().alias("pr_auc"))
+    weights = F.get(_grid(points), F.col("_point"))
+    return best_weights(exact.select(weights.alias("_w"), "pr_auc").select("_w.*", "pr_auc")).withColumn("exact_points", F.lit(len(left)))
+
+
+def _grid(points: list[tuple[float, float, float]]) -> Column:
+    return F.array(*(F.struct(*(F.lit(w).alias(f"w{i}") for i, w in enumerate(p, 1))) for p in points))
+
+
+def _blended(inputs: DataFrame, points: list[tuple[float, float, float]], chosen: list[int]) -> DataFrame:
+    """(_point, threshold, pos, n): the inputs' blended score under each chosen point."""
+    grid = F.array(*(
+        F.struct(F.lit(k).alias("k"), *(F.lit(w).alias(f"w{i}") for i, w in enumerate(points[k], 1))) for k in chosen
+    ))
+    score = blended_score(F.col("_cvss"), F.col("_exploit"), F.col("_outcome"), F.col("_w.w1"), F.col("_w.w2"), F.col("_w.w3"))
+    spread = inputs.withColumn("_w", F.explode(grid))
+    return spread.select(F.col("_w.k").alias("_point"), _tied(score).alias("threshold"), "pos", "n").filter(F.col("threshold").isNotNull())
+
+
 def best_weights(tuned: DataFrame) -> DataFrame:
     """The grid point with the highest area; of equal ones the smallest w1, then w2."""
     return tuned.orderBy(F.desc_nulls_last("pr_auc"), "w1", "w2").limit(1)

@@ -12,10 +12,13 @@ OBSERVATIONS = "observations"
 YEAR, MONTH = "observation_year", "observation_month"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Parquet under `path` with the given columns, or an empty frame when there is none."""
+def read_or_empty(spark: SparkSession, path: str, schema: StructType, by_folder: bool = False) -> DataFrame:
+    """Parquet under `path` with the given columns, or an empty frame when there is none.
+
+    With `by_folder` columns that are not in the files come from the names of their folders.
+    """
     try:
-        found = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+        found = spark.read.schema(schema).option("recursiveFileLookup", str(not by_folder).lower()).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
