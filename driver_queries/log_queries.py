@@ -9,7 +9,7 @@ from driver_queries.inputs import query, table, text
 from driver_queries.ingest_queries import BRONZE_ROWS, FETCHED, RUN, TOPICS, event_envelopes
 from vulnlake.operators import rolling
 from vulnlake.session import new_dir, scratch
-from vulnlake.sources import bronze, messages
+from vulnlake.sources import bronze, messages, tables
 from vulnlake.streaming import silver, sink
 
 # ---- files by rows and bytes -----------------------------------------------------------------------------
@@ -139,3 +139,25 @@ def stream_counts(spark, sf):
     kept = done.groupBy("source").agg(F.sum("fetched").alias("fetched"), F.sum("accepted").alias("good"), F.sum("rejected").alias("bad"))
     columns = ["source", "fetched", "good", "bad"]
     return sunk.select(F.lit("sink").alias("step"), *columns).unionByName(kept.select(F.lit("silver").alias("step"), *columns))
+
+
+# ---- replays ---------------------------------------------------------------------------------------------
+
+
+@query(
+    "stream_replay",
+    f"with {BRONZE_ROWS} select record, count(*) as times from bronze_rows where cve <> 'X' and epss <= 1 group by record",
+)
+def stream_replay(spark, sf):
+    """Every seventh event arrives again long after any watermark, by a query that starts anew; Silver has each event once."""
+    root = new_dir(spark, "replay")
+    rows = event_envelopes(spark, sf)
+    for part, checkpoint in ((rows, "first"), (rows.where(F.col("source_record_id").cast("bigint") % 7 == 0), "second")):
+        bronze.write_bronze(part, f"{root}/bronze", "epss", FETCHED[:10])
+        silver.run_silver(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/{checkpoint}", sources=("epss",), replay_proof=True
+        )
+    kept = tables.read_silver(spark, f"{root}/silver", "epss").select(
+        (F.regexp_extract("cve_id", "([0-9]+)$", 1).cast("bigint") - 10000).alias("record")
+    )
+    return kept.groupBy("record").agg(F.count("*").alias("times"))

@@ -13,7 +13,9 @@ from vulnlake import schemas
 from vulnlake.operators import counts
 from vulnlake.operators.quality import REASON, accepted, write_rejected
 from vulnlake.plans.normalize import NORMALIZERS
+from vulnlake.session import scratch
 from vulnlake.sources import bronze
+from vulnlake.streaming.replay import EventIndex
 
 
 # A backlog is worked off in batches of so many files.
@@ -38,9 +40,17 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+def index_path(silver_root: str, source: str) -> str:
+    return f"{silver_root}/_events/source={source}"
+
+
+def batch_writer(
+    source: str, silver_root: str, checkpoint: str, replay_proof: bool = False
+) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch: good rows to the table, bad rows by reason.
 
+    With `replay_proof` only the first arrival of an event is written, by an index of all events that has no end of memory.
+
     What the batch fetched, accepted and rejected is observed in the pass that writes the good rows, and stored.
     Each batch owns the directory load=<query id>/batch=<n> and overwrites it, so a batch that Spark
     repeats after a failure leaves no duplicates, and a new checkpoint never touches older loads.
@@ -51,7 +61,13 @@ def batch_writer(source: str, silver_root: str, checkpoint: str) -> Callable[[Da
     def write(batch: DataFrame, batch_id: int) -> None:
         if "id" not in known:
             known["id"] = query_id(batch.sparkSession, checkpoint)
+        with scratch(batch.sparkSession, "silver"):
+            write_batch(batch, batch_id)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         load = f"load={known['id']}/batch={batch_id}"
+        if replay_proof:
+            batch = EventIndex(batch.sparkSession, index_path(silver_root, source), known["id"]).first_arrivals(batch, batch_id)
         annotated = NORMALIZERS[source](batch).persist()
         bad = F.col(REASON).isNotNull()
         measures = {"fetched": F.count(F.lit(1)), "accepted": F.count_if(~bad), "rejected": F.count_if(bad)}
@@ -92,8 +108,12 @@ def start_silver_streams(
     sources: tuple[str, ...] = ("nvd", "epss", "kev"),
     dedup_delay: str | None = None,
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    replay_proof: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the named, checkpointed queries; `trigger` is availableNow or processingTime."""
+    """Start the named, checkpointed queries; `trigger` is availableNow or processingTime.
+
+    `dedup_delay` drops replays within that time of the first arrival by stream state, `replay_proof` all of them by the index.
+    """
     if trigger not in ("availableNow", "processingTime"):
         raise ValueError(f"unknown trigger: {trigger}")
     when = {"availableNow": True} if trigger == "availableNow" else {"processingTime": processing_time}
@@ -104,7 +124,7 @@ def start_silver_streams(
         if dedup_delay is not None:
             stream = dedup(stream, dedup_delay)
         queries.append(
-            stream.writeStream.foreachBatch(batch_writer(source, silver_root, checkpoint))
+            stream.writeStream.foreachBatch(batch_writer(source, silver_root, checkpoint, replay_proof))
             .option("checkpointLocation", checkpoint)
             .queryName(f"{source}_to_silver")
             .trigger(**when)
