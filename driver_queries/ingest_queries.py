@@ -183,10 +183,13 @@ def epss_file_dates(spark, sf):
     path = new_dir(spark, "score-dates")
     for k, comment in enumerate(["#model_version:v1,score_date:2024-02-03T00:00:00+0000", "#model_version:v1"]):
         rows = table(spark, sf, "events").where(F.col("event_id") % 2 == k).select(
-            F.lit(1).alias("part"), F.concat(F.lit("CVE-2024-"), text(F.col("event_id") + 10000), F.lit(",0.5,0.5")).alias("value")
+            F.expr("event_id div 5000").alias("file"), F.lit(1).alias("part"),
+            F.concat(F.lit("CVE-2024-"), text(F.col("event_id") + 10000), F.lit(",0.5,0.5")).alias("value"),
         )
-        lines = spark.createDataFrame([(0, comment)], "part int, value string").unionByName(rows).coalesce(1)
-        lines.sortWithinPartitions("part").select("value").write.option("compression", "gzip").text(f"{path}/{k}")
+        # every file begins with its comment line
+        lines = rows.select("file", F.lit(0).alias("part"), F.lit(comment).alias("value")).distinct().unionByName(rows)
+        sorted_ = lines.repartition("file").sortWithinPartitions("file", "part").select("file", "value")
+        sorted_.write.option("compression", "gzip").partitionBy("file").text(f"{path}/{k}")
     found = scores.typed_scores(scores.read_score_files(spark, path, glob="*.txt.gz"))
     return found.groupBy(text("score_date").alias("score_date"), "status").agg(F.count("*").alias("n"))
 
@@ -370,7 +373,7 @@ def bronze_validate(spark, sf):
 def bronze_defects(spark, sf):
     """One file per event type; of three of them the manifest is missing, has another hash, or another count."""
     root = new_dir(spark, "bronze-defects")
-    one_file_each = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).coalesce(1)
+    one_file_each = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).repartition("ingestion_run_id")
     bronze.write_bronze(one_file_each, root, "epss", FETCHED[:10], max_records=0)
     bronze.write_manifest(spark, root, "epss", f"{root}/_true/source=epss", FETCHED)
     said = bronze.read_manifest(spark, f"{root}/_true/source=epss")

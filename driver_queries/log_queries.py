@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from driver_queries.inputs import query, table, text
 from driver_queries.ingest_queries import BRONZE_ROWS, FETCHED, RUN, TOPICS, event_envelopes
 from vulnlake.operators import rolling
-from vulnlake.session import new_dir, scratch
+from vulnlake.plans import validate
+from vulnlake.session import new_dir, rename_files, scratch
 from vulnlake.sources import bronze, messages, tables
 from vulnlake.streaming import silver, sink
 
@@ -161,3 +162,25 @@ def stream_replay(spark, sf):
         (F.regexp_extract("cve_id", "([0-9]+)$", 1).cast("bigint") - 10000).alias("record")
     )
     return kept.groupBy("record").agg(F.count("*").alias("times"))
+
+
+# ---- unreadable files ------------------------------------------------------------------------------------
+
+
+@query(
+    "bronze_unreadable",
+    """select count(*) filter (event_type <> 'click') as records_total, cast(0 as bigint) as missing_manifest,
+        cast(1 as bigint) as parse_errors, cast(0 as integer) as passed from events""",
+)
+def bronze_unreadable(spark, sf):
+    """One file per event type; one of them, which has its manifest, is no gzip file at all."""
+    root = new_dir(spark, "unreadable")
+    named = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).repartition("ingestion_run_id")
+    bronze.write_bronze(named.where("ingestion_run_id <> 'click'"), root, "epss", FETCHED[:10], max_records=0)
+    folder = f"{bronze.source_path(root, 'epss')}/ingest_date={FETCHED[:10]}/run_id=click"
+    lines = named.where("ingestion_run_id = 'click'").select(F.to_json(F.struct("*")).alias("value"))
+    lines.write.option("compression", "none").text(folder)
+    rename_files(spark, folder, ".txt", ".txt.gz")
+    bronze.write_manifest(spark, root, "epss", f"{root}/_manifests/source=epss", FETCHED)
+    summary = validate.validate_bronze(spark, root, f"{root}/_manifests", ("epss",))
+    return summary.select("records_total", "missing_manifest", "parse_errors", F.col("passed").cast("int").alias("passed"))

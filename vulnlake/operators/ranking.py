@@ -136,7 +136,10 @@ def pr_auc_by_date(
 ) -> DataFrame:
     """(groups, macro_pr_auc, dates_scored, dates_without_positives): mean over dates with positives."""
     groups = list(groups or [])
-    per_date = pr_auc(df, score, label, [*groups, day])
+    return _macro(pr_auc(df, score, label, [*groups, day]), groups)
+
+
+def _macro(per_date: DataFrame, groups: list[str]) -> DataFrame:
     return per_date.groupBy(*groups).agg(
         F.coalesce(F.avg("pr_auc"), F.lit(0.0)).alias("macro_pr_auc"),
         F.count("pr_auc").alias("dates_scored"),
@@ -213,17 +216,31 @@ def baseline(df: DataFrame, score: str, label: str, k: int, tie_break: str) -> D
     return top_k(df, score, label, k, tie_break).select(area.alias("pr_auc"), "*")
 
 
+def score_counts(df: DataFrame, scores: list[str], label: str, day: str) -> DataFrame:
+    """(score_name, day, threshold, pos, n), stored: one aggregate of the rows from which all curves follow, pooled and per date."""
+    long = df.unpivot([label, day], list(scores), "score_name", "score")
+    return cut_lineage(threshold_counts(long, "score", label, ["score_name", day]), "score-counts")
+
+
+def areas_by_date(counts: DataFrame, day: str) -> DataFrame:
+    """(score_name, day, pr_auc, positives) for every date with rows; the area is null without positives."""
+    totals = running_totals(counts, ["score_name", day])
+    return totals.groupBy("score_name", day).agg(_pr_area().alias("pr_auc"), F.sum("pos").alias("positives"))
+
+
 def compare_scores(
-    df: DataFrame, scores: list[str], label: str, k: int, tie_break: str, day: str
+    df: DataFrame, scores: list[str], label: str, k: int, tie_break: str, day: str, counts: DataFrame | None = None
 ) -> DataFrame:
-    """One row per score: pooled and per-date metrics side by side."""
+    """One row per score: pooled and per-date metrics side by side. `counts` is the result of `score_counts`, if it is there already."""
+    counts = score_counts(df, scores, label, day) if counts is None else counts
     long = df.filter(F.col(label).isNotNull()).unpivot(
         [label, day, tie_break], list(scores), "score_name", "score"
     )
     by = ["score_name"]
-    pooled = pr_auc(long, "score", label, by)
+    summed = counts.groupBy("score_name", "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    pooled = areas(summed, by).select("score_name", F.col("area_under_pr").alias("pr_auc"))
     top = top_k_per_group(long, "score", label, k, tie_break, by)
-    dated = pr_auc_by_date(long, "score", label, day, by)
+    dated = _macro(areas_by_date(counts, day), by)
     top_dated = top_k_by_date(long, "score", label, k, tie_break, day, by).drop("k")
     return pooled.join(top, by, "left").join(dated, by).join(top_dated.drop("dates_scored"), by, "left")
 

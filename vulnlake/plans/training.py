@@ -90,16 +90,17 @@ def run_training(
         "w1_cvss double, w2_exploit double, w3_kev double, validation_pr_auc double",
     )
     cuts = ranking.percentile_cuts(val.withColumn(ADJUSTED, blend), ADJUSTED)
-    compared = ranking.compare_scores(
-        test.withColumn(ADJUSTED, blend).withColumn(base_score, F.col(base_score).cast("double")),
-        [base_score, ADJUSTED], label, k, key, day,
-    )
+    ranked, scores = test.withColumn(ADJUSTED, blend).withColumn(base_score, F.col(base_score).cast("double")), [base_score, ADJUSTED]
+    score_counts = ranking.score_counts(ranked, scores, label, day)
+    compared = ranking.compare_scores(ranked, scores, label, k, key, day, score_counts)
+    dated = ranking.areas_by_date(score_counts, day).withColumn(day, F.col(day).cast("string"))
     sections = [
         _long(counts, "splits", ["split"]),
         _long(ranking.regression_metrics(scored, learning.PREDICTED_EPSS, target, ["split"]), "model_a", ["split"]),
         _long(ranking.classification_metrics(scored, learning.PREDICTED_KEV, label, ["split"]), "model_b", ["split"]),
         _long(weight_table, "weights", []),
         _long(compared, "test_ranking", ["score_name"]),
+        _long(dated, "test_ranking_by_date", ["score_name", day]),
     ]
     report = reduce(DataFrame.unionByName, sections)
     if model_dir is not None:

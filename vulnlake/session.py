@@ -60,6 +60,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+def rename_files(spark: SparkSession, path: str, ending: str, new_ending: str) -> None:
+    """Give the files of a folder that end so another ending."""
+    system, place = _place(spark, path)
+    for status in system.listStatus(place):
+        name = status.getPath().getName()
+        if name.endswith(ending):
+            system.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(place, name.removesuffix(ending) + new_ending))
+
+
 # The folder of the job that runs in this thread, if it has one.
 _SCRATCH = threading.local()
 
