@@ -129,3 +129,15 @@ def test_bounds_hold_for_every_point(spark):
     binned = blended.groupBy("_point", F.floor(F.col("threshold") * 3).cast("double").alias("threshold")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     bounds = ranking.running_totals(binned, ["_point"]).groupBy("_point").agg(*ranking._area_bounds()).collect()
     assert len(bounds) == len(points) and all(b.lower <= exact[b._point] + 1e-12 and exact[b._point] <= b.upper + 1e-12 for b in bounds)
+
+
+def test_one_aggregate_gives_every_curve(spark):
+    """Areas per date and pooled from the stored counts are those of the rows."""
+    frame = _frame(spark, _rows(6, 800)).withColumn("other", F.col("score") * -1).withColumn("id", F.monotonically_increasing_id())
+    counts = ranking.score_counts(frame, ["score", "other"], "label", "day")
+    got = {(r.score_name, r.day): r.pr_auc for r in ranking.areas_by_date(counts, "day").collect()}
+    for name in ("score", "other"):
+        want = {(name, r.day): r.pr_auc for r in ranking.pr_auc(frame, name, "label", ["day"]).collect()}
+        assert {k: v for k, v in got.items() if k[0] == name} == pytest.approx(want)
+    whole = {r.score_name: r.pr_auc for r in ranking.compare_scores(frame, ["score", "other"], "label", 5, "id", "day", counts).collect()}
+    assert whole == pytest.approx({n: ranking.pr_auc(frame, n, "label").first()[0] for n in ("score", "other")})

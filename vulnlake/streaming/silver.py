@@ -13,7 +13,7 @@ from vulnlake import schemas
 from vulnlake.operators import counts
 from vulnlake.operators.quality import REASON, accepted, write_rejected
 from vulnlake.plans.normalize import NORMALIZERS
-from vulnlake.session import scratch
+from vulnlake.session import delete_dir, scratch
 from vulnlake.sources import bronze
 from vulnlake.streaming.replay import EventIndex
 
@@ -68,17 +68,20 @@ def batch_writer(
         load = f"load={known['id']}/batch={batch_id}"
         if replay_proof:
             batch = EventIndex(batch.sparkSession, index_path(silver_root, source), known["id"]).first_arrivals(batch, batch_id)
-        annotated = NORMALIZERS[source](batch).persist()
+        annotated = NORMALIZERS[source](batch)
         bad = F.col(REASON).isNotNull()
         measures = {"fetched": F.count(F.lit(1)), "accepted": F.count_if(~bad), "rejected": F.count_if(bad)}
-        try:
-            seen, watch = counts.observed(annotated, measures)
-            accepted(seen).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
-            row = {"source": source, "load": known["id"], "batch": batch_id, **counts.values(watch)}
-            counts.store(batch.sparkSession, f"{counts_path(silver_root)}/source={source}/{load}", schemas.SILVER_COUNTS, [row])
-            write_rejected(annotated, f"{rejected_path(silver_root, source)}/{load}", "overwrite")
-        finally:
-            annotated.unpersist()
+        seen, watch = counts.observed(annotated, measures)
+        accepted(seen).write.mode("overwrite").parquet(f"{silver_root}/{table}/{load}")
+        found = counts.values(watch)
+        # nothing is held: only a batch that has rejects is read once more for them
+        rejects = f"{rejected_path(silver_root, source)}/{load}"
+        if found.get("rejected"):
+            write_rejected(annotated, rejects, "overwrite")
+        else:
+            delete_dir(batch.sparkSession, rejects)
+        row = {"source": source, "load": known["id"], "batch": batch_id, **found}
+        counts.store(batch.sparkSession, f"{counts_path(silver_root)}/source={source}/{load}", schemas.SILVER_COUNTS, [row])
 
     return write
 
