@@ -261,10 +261,10 @@ def _hashed_groups(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
-    """anchor, c1, c2, text: every distinct context once, cut out of the row named by its `at`."""
+    """anchor, c1, c2, hot, text: every distinct context once, cut out of the row named by its `at`."""
     key = ["anchor", "c1", "c2"]
     wanted = distinct.groupBy(F.col("at.doc_id").alias("w_doc"), F.col("at.mark").alias("w_mark")).agg(
-        F.collect_list(F.struct("anchor", "c1", "c2", "at.lo", "at.n")).alias("cuts")
+        F.collect_list(F.struct("anchor", "c1", "c2", "at.lo", "at.n", "hot")).alias("cuts")
     )
     # a repeated row has the same cuts once more; one of them is enough
     sources = docs.select("doc_id", "mark", "text").join(
@@ -275,13 +275,12 @@ def _texts(docs: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             out = []
             for text, cuts in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                out += [(x["anchor"], x["c1"], x["c2"], text[x["lo"] : x["lo"] + x["n"] + window - 1]) for x in cuts]
-            columns = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.binary())], names=[*key, "text"]
-            )
+                out += [(x["anchor"], x["c1"], x["c2"], x["hot"], text[x["lo"] : x["lo"] + x["n"] + window - 1]) for x in cuts]
+            columns = list(zip(*out)) if out else [[]] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[*key, "hot", "text"])
 
-    return sources.mapInArrow(cut, "anchor bigint, c1 bigint, c2 bigint, text binary").dropDuplicates(key)
+    return sources.mapInArrow(cut, "anchor bigint, c1 bigint, c2 bigint, hot boolean, text binary").dropDuplicates(key)
 
 
 # ---- spans of whole documents ------------------------------------------------------------------
@@ -305,12 +304,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, grou
     crowded = mixed.groupBy("anchor").agg(F.count("*").alias("contexts")).where(F.col("contexts") > group_limit)
     crowded = cut_lineage(crowded.select("anchor"), "suffix-crowded")
     if crowded.isEmpty():
-        runs_ = _sorted_groups(_texts(docs, mixed, window), window, group_limit)
+        runs_ = _sorted_groups(_texts(docs, mixed.withColumn("hot", F.lit(False)), window), window, group_limit)
     else:
-        calm, hot = mixed.join(crowded, "anchor", "left_anti"), mixed.join(crowded, "anchor", "left_semi")
-        runs_ = _sorted_groups(_texts(docs, calm, window), window, group_limit).unionByName(
-            _hashed_groups(_texts(docs, hot, window), window)
-        )
+        flagged = mixed.join(crowded.withColumn("hot", F.lit(True)), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+        # stored, so that the whole texts travel once for both kinds
+        contexts = cut_lineage(_texts(docs, flagged, window), "suffix-texts")
+        runs_ = _sorted_groups(contexts.where("not hot"), window, group_limit).unionByName(_hashed_groups(contexts.where("hot"), window))
     runs_ = mixed.select(*key, "times").join(runs_, key, "left").select(
         *key,
         F.when(F.col("times") > 1, F.lit(True)).alias("whole"),
