@@ -3,12 +3,16 @@
 Candidates are published formats, blocks of private keys, passwords in URLs, values of assignments and long tokens. Features: length, character transitions (changes of class, and
 how unusual the pairs of characters are in the corpus), coverage by the corpus' frequent words, the path, and the
 neighbouring words. The forest is trained by Spark from labelled findings and then applied, as small arrays, where the
-texts are.
+texts are. It decides every finding but those in a published format.
+
+Labelled findings are a table of the caller, or else the rule `labelled` as a weak labeller. To both come planted findings
+(`planted`): values of known kind, written into surroundings of the corpus, among them those that the rule takes for secrets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
@@ -19,23 +23,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnlake.llm.arrays import as_bytes, slices
+from vulnlake.llm.secret_examples import examples
 from vulnlake.llm.tables import cut_lineage, pick
 from vulnlake.session import new_dir
 
 # Bytes from which a token is a candidate, and from which the value of an assignment is one.
 TOKEN = 16
 VALUE = 8
-# The dictionary holds the most frequent words of the corpus with so many letters, of those that occur at least once in so many
-# bytes: at most WORD_EVERY / 4 words do, whatever the size, so that bounds what reaches the driver.
-DICTIONARY = 20_000
+# The dictionary holds the words of the corpus with so many letters that occur more than once and at least once in so many bytes, a
+# share that means the same at every size. At most WORD_EVERY / 4 words do, whatever the size, so that bounds what reaches the driver.
 WORD_EVERY = 1_000_000
+# Every pair of characters counts as seen so often beforehand, so that few texts tell little about a pair.
+PAIR_PRIOR = 16.0
 SHORTEST_WORD, LONGEST_WORD = 3, 16
 # About so many labelled findings train the forest, chosen by a hash of their document and place.
 SAMPLE = 20_000
+# About so many places of the corpus, chosen likewise, get one planted finding of every kind.
+PLACES = 1_000
 TREES, DEPTH, SEED = 30, 8, 11
 DECISION = 0.5
 MASK = b"[SECRET]"
@@ -63,13 +71,14 @@ PUBLISHED = re.compile(rb"(?<![0-9A-Za-z_])(?:%s)(?![0-9A-Za-z_])" % b"|".join(p
 FEATURES = (
     "length", "digits", "uppers", "lowers", "hex", "changes", "surprise", "entropy", "coverage",
     "assigned", "quoted", "name_secret", "near_secret", "near_example", "path_example", "path_depth", "path_digits",
+    "in_url", "signs", "blanks", "stands_for", "holds_example", "name_words", "parts",
 )
 
 LONG_TOKEN = re.compile(rb"[A-Za-z0-9+/_\-]{%d,}(?:\.[A-Za-z0-9_\-]{10,}){0,2}={0,2}" % TOKEN)
 SIGN = re.compile(rb"(?:=>|[:=]{1,2})[ \t]*")
 PLAIN = re.compile(rb"([\"']?)([A-Za-z0-9+/_\-.]{%d,})" % VALUE)
 QUOTED = re.compile(rb"([\"'`])((?:(?!\1)[^\\\n]|\\.)*)\1")
-OPEN = re.compile(rb"[\"'`]?(\S+)")
+BLANK = re.compile(rb"\s")
 AFTER_VALUE = b".,;:)]}>\"'`"
 SCHEME = re.compile(rb"[A-Za-z][A-Za-z0-9+.\-]*://")
 NAME_BEFORE = re.compile(rb"([A-Za-z][A-Za-z0-9_\-]{1,40})[\"']?[ \t]*$")
@@ -83,6 +92,8 @@ PEM_BODY = re.compile(rb"(?:(?:\\n|\s)*[A-Za-z0-9+/=\\]{16,})*(?:\s+[A-Za-z0-9+/
 # Values that stand for something else: masks, variables, expressions.
 STANDS_FOR = re.compile(rb"[*xX.]+|\$?\{.*\}?|\$\(.*|\$[A-Z_][A-Z0-9_]*|%\(?\w+\)?[sd%]?|<.*|[A-Za-z_][\w.]*[(\[].*", re.S)
 WORD = re.compile(rb"[a-z]+")
+# Words of at least three letters between other signs: many of them make an identifier or a phrase.
+PART = re.compile(rb"(?<![0-9A-Za-z])[A-Za-z]{3,}(?![0-9A-Za-z])")
 
 
 # ---- candidates --------------------------------------------------------------------------------
@@ -113,7 +124,7 @@ def _key_blocks(text: bytes) -> Iterator[Candidate]:
 
 def _secret_values(text: bytes) -> Iterator[Candidate]:
     """Values of names that tell of a secret: up to the closing quote, without quotes up to white space."""
-    at = 0
+    at = run = tail = 0
     while sign := SIGN.search(text, at):
         at = sign.end()
         name = NAME_BEFORE.search(text, max(0, sign.start() - 80), sign.start())
@@ -122,11 +133,13 @@ def _secret_values(text: bytes) -> Iterator[Candidate]:
         m = QUOTED.match(text, at)
         if m:
             start, end = m.span(2)
-        elif m := OPEN.match(text, at):
-            start = m.start(1)
-            end = start + len(m[1].rstrip(AFTER_VALUE))
         else:
-            continue
+            if at >= run:  # the end of what has no blank is looked for once, however many signs are in it
+                blank = BLANK.search(text, at)
+                run = tail = blank.start() if blank else len(text)
+                while tail > at and text[tail - 1] in AFTER_VALUE:
+                    tail -= 1
+            start, end = at + (text[at : at + 1] in _QUOTES), tail
         if end - start >= VALUE and not SCHEME.match(text, start, end):
             yield Candidate(start, end, name[1], text[start - 1 : start] in _QUOTES)
             at = end
@@ -179,7 +192,7 @@ def published(value: bytes) -> str | None:
 
 
 def labelled(value: bytes, name: bytes) -> int:
-    """Label of a finding: 1 for a published format, for a password in a URL, and for a value with letters and digits under a name
+    """Weak label of a finding: 1 for a published format, for a password in a URL, and for a value with letters and digits under a name
     that tells of a secret; not for values that stand for something else."""
     if published(value):
         return 1
@@ -213,8 +226,7 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> Corpus:
     size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     letters = F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+")).alias("word")
     counted = own.select(letters).where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
-    often = counted.where(F.col("n") * WORD_EVERY >= F.lit(size))
-    frequent = often.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    frequent = counted.where((F.col("n") > 1) & (F.col("n") * WORD_EVERY >= F.lit(size))).select("word").collect()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
@@ -229,7 +241,7 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> Corpus:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
     pairs = own.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect()
-    counts = np.full(1 << 16, 0.5)
+    counts = np.full(1 << 16, PAIR_PRIOR)
     for r in pairs:
         counts[r["pair"]] += r["n"]
     counts = counts.reshape(256, 256)
@@ -286,6 +298,9 @@ def features(text: bytes, c: Candidate, path: str, corpus: Corpus) -> list[float
         float(-(share * np.log2(share)).sum()), coverage(value, corpus.words),
         float(bool(c.name)), float(c.quoted), float(_secret_name(c.name)), float(bool(around & _SECRET)),
         float(bool((around | name) & _EXAMPLE)), float(bool(parts & _EXAMPLE)), float(path.count("/")), float(sum(ch.isdigit() for ch in path)),
+        float(c.name == URL_NAME), float((kind == 0).mean()), float((data == 32).mean()), float(bool(STANDS_FOR.fullmatch(value))),
+        float(any(w in value.lower() for w in _EXAMPLE_LONG)), float(len(WORD.findall(CAMEL.sub(b"_", c.name).lower()))),
+        float(len(PART.findall(value))),
     ]
 
 
@@ -369,39 +384,87 @@ class Scanner:
     forest: Forest | None
 
     def scan(self, text: bytes, path: str) -> list[tuple[Candidate, float]]:
-        """All candidates with the probability of a secret: 1 where the label's rule holds, whatever formats the forest has met, and
-        else the forest's. Without a forest, the rule decides."""
+        """All candidates with the probability of a secret: 1 for a published format, for all others the forest's alone. Without a
+        forest, the rule decides."""
         found = candidates(text)
         if not found:
             return []
-        ruled = np.array([labelled(text[c.start : c.end], c.name) for c in found], float)
         if self.forest is None:
-            return list(zip(found, ruled.tolist()))
+            return [(c, float(labelled(text[c.start : c.end], c.name))) for c in found]
         rows = np.array([features(text, c, path, self.corpus) for c in found])
-        return list(zip(found, np.maximum(ruled, self.forest.probability(rows)).tolist()))
+        format_ = np.array([published(text[c.start : c.end]) is not None for c in found])
+        return list(zip(found, np.where(format_, 1.0, self.forest.probability(rows)).tolist()))
 
 
-def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", sample: int = SAMPLE) -> Scanner:
-    """Corpus statistics over all documents, and a forest from about `sample` labelled findings of each label.
+def learn(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", sample: int = SAMPLE,
+    labels: DataFrame | None = None, places: int = PLACES,
+) -> Scanner:
+    """Corpus statistics over all documents, and a forest from about `sample` findings of each label and from planted ones.
 
-    Documents whose crc32(id) modulo 3 is 1 are never learned from, so they can be used to measure.
+    `labels` has doc_id, start, label (0 or 1): findings that people have judged, which are learned from in place of the weak labels; those
+    at no candidate's place are of no use, and of several labels of one place the larger one counts. `places` = 0 plants none.
+    Documents whose crc32(id) modulo 3 is 1 are never learned from, so they can be used to measure. A table without documents, or findings
+    of one label only, give no forest.
     """
     own = pick(docs, doc_id, text, path).toDF("doc_id", "text", "path")
     corpus = corpus_statistics(own)
-    learning = own.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 != 1, F.lit(False)))
-    found = cut_lineage(findings(learning, corpus), "secret-findings")
+    learning = own.where(~held_out(F.col("doc_id")))
+    found = findings(learning, corpus)
+    if labels is not None:
+        judged = labels.groupBy("doc_id", "start").agg(F.max("label").cast("int").alias("label"))
+        found = found.drop("label").join(judged, ["doc_id", "start"])
+    found = cut_lineage(found, "secret-findings")
     sizes = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        return Scanner(corpus, None)
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int((1 << 30) * min(1.0, sample / n)))))
-    chosen = found.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(1 << 30)) < share[F.col("label")])
+    share = F.coalesce(*(F.when(F.col("label") == k, int((1 << 30) * min(1.0, sample / n))) for k, n in sizes.items()), F.lit(0))
+    chosen = found.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(1 << 30)) < share).select("features", "label")
+    if places:
+        chosen = chosen.unionByName(planted(learning, corpus, places).select("features", "label"))
     return Scanner(corpus, train(cut_lineage(chosen, "secret-sample")))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a document is kept from learning; those without an id are, too."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(True))
+
+
+def planted(docs: DataFrame, corpus: Corpus, places: int = PLACES, seed: int = SEED) -> DataFrame:
+    """kind, features, label, ruled: findings of known kind at about `places` places of the texts, one of every kind at each.
+
+    `docs` has doc_id, text and path. Documents are chosen by a hash of their id; where there are fewer than `places`, each is used
+    several times. Features come from the 200 bytes around a place, which hold all words they look at. `ruled` is the weak label.
+    """
+    n = docs.count()
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, places / max(n, 1))))
+    rounds = max(1, places // max(n, 1))
+    shared = docs.sparkSession.sparkContext.broadcast(corpus)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = sorted(shared.value.words)
+        for batch in batches:
+            ids, paths, out = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
+            for row, text in enumerate(as_bytes(batch.column(1))):
+                for turn in range(rounds):
+                    rng = random.Random(f"{seed}:{ids[row]}:{turn}")
+                    for kind, before, value, after, label in examples(rng, words):
+                        at = rng.randrange(len(text) + 1)
+                        head, tail = text[max(0, at - 100) : at] + b" " + before, after + b" " + text[at : at + 100]
+                        whole = head + value + tail
+                        hit = next((c for c in candidates(whole) if c.start <= len(head) < c.end), None)
+                        if hit:  # what is no candidate never comes before the forest
+                            own = features(whole, hit, paths[row] or "", shared.value)
+                            out.append((kind, own, label, labelled(whole[hit.start : hit.end], hit.name)))
+            columns = list(zip(*out)) if out else [[]] * 4
+            types = [pa.string(), pa.list_(pa.float64()), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "features", "label", "ruled"])
+
+    return chosen.select("doc_id", "text", "path").mapInArrow(run, "kind string, features array<double>, label int, ruled int")
+
+
 def scan(docs: DataFrame, scanner: Scanner, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """doc_id, start, length, kind, sha256, score, secret: one row per candidate, in bytes of the UTF-8 text.
 
-    `secret` is the decision that the score is at least DECISION; the rest are false positives. The value itself is not
+    `secret` is the decision that the score is at least DECISION; the rest are false positives, cleared by the forest. The value itself is not
     returned, only its hash. A null text has no candidates, a null path counts as empty, repeated rows repeat their findings.
     """
     own = pick(docs, doc_id, text, path).toDF("doc_id", "text", "path")
@@ -438,7 +501,10 @@ def masked(text: bytes, found: list[tuple[Candidate, float]]) -> bytes:
 
 
 def mask(docs: DataFrame, scanner: Scanner, text: str = "text", path: str = "source") -> DataFrame:
-    """The columns of `docs` with MASK in place of every secret; null stays null."""
+    """The columns of `docs`, of whatever names, with MASK in place of every secret.
+
+    Null stays null, empty texts stay empty, long ones are read whole; repeated rows are masked alike; an empty table gives an empty one.
+    """
     columns = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
     schema = ", ".join(f"`c{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
