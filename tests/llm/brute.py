@@ -39,3 +39,35 @@ def smallest_reachable(prints, radius):
     for p, ids in by.items():
         least[root(p)] = min(least.get(root(p), min(ids)), min(ids))
     return {i: least[root(p)] for p, ids in by.items() for i in ids}
+
+
+def word_shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def alike(texts, likeness=0.8):
+    """texts: {id: text} -> pairs of ids whose sets of word shingles have at least this Jaccard coefficient."""
+    sets = {i: word_shingles(t) for i, t in texts.items()}
+    by = {}
+    for i, s in sets.items():
+        for x in s:
+            by.setdefault(x, set()).add(i)
+    pairs = {p for ids in by.values() for p in combinations(sorted(ids), 2)}
+    return {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= likeness * len(sets[a] | sets[b])}
+
+
+def joined(ids, pairs):
+    """{id: smallest id that links reach}"""
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {i: root(i) for i in ids}

@@ -10,7 +10,7 @@ segment, key of the second) are compared bit by bit.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -263,8 +263,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return marked.join(nodes.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without their near-duplicates: of every component one row stays, one with the smallest id.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", groups: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
+    """The documents without their near-duplicates: of every component one row stays, one with the smallest id. `groups` names the
+    components of a table of doc_id and text.
 
     A row is known by its id and a 128-bit hash of its text, so rows that share an id, or have none, go only where their texts are near
     copies. Rows without an id stay where no row of the component has one. The texts are shuffled once: the join and the choice share a key.
@@ -273,7 +274,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     packed = docs.select(F.struct(*(F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns))).alias("row"))
     own, words = F.col(f"row.v{columns.index(doc_id)}"), F.col(f"row.v{columns.index(text)}")
     name = F.struct(own.isNull().alias("none"), own.alias("id"), F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
-    found = near_duplicates(packed.select(name.alias("doc_id"), words.alias("text")))
+    found = groups(packed.select(name.alias("doc_id"), words.alias("text")))
     kept = found.where("doc_id <=> component_id").select(_key(F.col("doc_id")).alias("key")).distinct()
     rows = packed.withColumn("key", _key(name)).join(kept, "key", "left_semi")
     # rows under one key are copies
