@@ -4,8 +4,8 @@ Texts are words (runs of ASCII letters and digits and of non-ASCII bytes, lower
 shingles is looked for in windows of 2L shingles that start every L shingles, L being the power of two from n on:
 so a run of n shingles lies in one window whole. Each hash function is a band of its own. The number of
 bands follows from the least similarity of a window that holds CONTAINMENT of a template, so that such a window is missed with a
-probability of at most MISS. Windows that share a band with a template are compared with it word by word. Of places that overlap, the
-one with the most shingles names the license, if it holds the words that tell its template from those of other licenses.
+probability of at most MISS. Windows that share a band with a template are compared with it word by word. A document of fewer shingles
+than CONTAINMENT of a template has cannot hold it and has no windows of its size. Of places that overlap, the one with the most shingles names the license, if it holds the words that tell its template from those of other licenses.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from vulnlake.llm import license_texts
 from vulnlake.llm.arrays import as_bytes, ragged, slices
 from vulnlake.llm.tables import pick
 
@@ -58,6 +60,13 @@ ROLL = 0x9E3779B97F4A7C15
 CHAIN = 0xD6E8FEB86659FD93
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 CHUNK = 1 << 19
+# Largest table of templates, in characters: it travels to every task.
+MOST_TEXT = 32_000_000
+
+
+def all_templates() -> tuple[tuple[str, str], ...]:
+    """The short notices, and after them the full texts."""
+    return TEMPLATES + license_texts.templates()
 
 
 # ---- words and shingles ------------------------------------------------------------------------
@@ -113,6 +122,7 @@ class Family:
         self.size, self.members = size, members
         self.sets = [shingle_set(templates[t][1].lower().encode()) for t in members]
         least = min(math.ceil(CONTAINMENT * len(s)) / (2 * size + len(s) - math.ceil(CONTAINMENT * len(s))) for s in self.sets)
+        self.fewest = min(math.ceil(CONTAINMENT * len(s)) for s in self.sets)
         self.bands = max(1, math.ceil(math.log(MISS) / math.log(1 - least)))
         own = [chained(words(templates[t][1].lower().encode())[2]) for t in members]
         self.least = np.array([[int(permuted(h, j).min()) for j in range(self.bands)] for h in own], np.uint32)
@@ -188,13 +198,14 @@ def places(texts: list[bytes], templates=TEMPLATES) -> list[tuple[int, int, int,
     if not counts.sum():
         return []
     every = chained(value)
-    hashes = every[ragged(cut[:-1], counts)]
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    filled = np.flatnonzero(counts)
     found = []
     for family in families(templates):
-        doc, first, member = candidates(hashes, np.append(bounds[filled], bounds[-1]), family)
-        for d, s, m in zip(filled[doc].tolist(), first.tolist(), member.tolist()):
+        able = np.flatnonzero(counts >= family.fewest)
+        if not len(able):
+            continue
+        hashes = every[ragged(cut[able], counts[able])]
+        doc, first, member = candidates(hashes, np.concatenate([[0], np.cumsum(counts[able])]), family)
+        for d, s, m in zip(able[doc].tolist(), first.tolist(), member.tolist()):
             a, b = int(cut[d]) + s, min(int(cut[d]) + s + 2 * family.size + SHINGLE - 1, int(cut[d + 1]))
             own = [joined[x:y] for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist())]
             there = [i for i in range(len(own) - SHINGLE + 1) if tuple(own[i : i + SHINGLE]) in family.sets[m]]
@@ -232,17 +243,31 @@ def _best(found: list[tuple[int, int, int, int, float, int, bool]]) -> set[int]:
     return best
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES) -> DataFrame:
+def checked(templates) -> tuple[tuple[str, str], ...]:
+    """Pairs of license and text, from a table too; an error where there are too many, or where one has no shingle."""
+    if isinstance(templates, DataFrame):
+        own = templates.select("license", "text").dropna().distinct()
+        size = own.agg(F.sum(F.length("license") + F.length("text"))).first()[0] or 0
+        if size > MOST_TEXT:
+            raise ValueError(f"templates of {size} characters, more than {MOST_TEXT}")
+        templates = tuple((r[0], r[1]) for r in own.orderBy("license", "text").collect())
+    short = [name for name, text in templates if len(WORD.findall(text.lower().encode())) < SHINGLE]
+    if short:
+        raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
+    return tuple(templates)
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=None) -> DataFrame:
     """doc_id, license, template, start, end, containment, best: one row per place of a document's text that holds a template.
 
     `template` is its number; start and end are bytes of the UTF-8 text. `best` is true where the row names the license of its place:
     it holds the words that tell it from similar licenses, and no better place overlaps it. A line SPDX-License-Identifier is a
     row too, without a template and with its expression as license. `templates` are pairs of license and text, or a table with these
-    columns, numbered in their order. Null and short texts have no rows, repeated rows repeat theirs. Texts are read whole, and the
+    columns, numbered in their order; without them, the notices and the full texts. Templates of fewer than SHINGLE words and tables beyond
+    MOST_TEXT raise an error. Null and short texts have no rows, repeated rows repeat theirs. Texts are read whole, and the
     work is done where they are: nothing is shuffled.
     """
-    if isinstance(templates, DataFrame):
-        templates = tuple((r[0], r[1]) for r in templates.select("license", "text").dropna().distinct().orderBy("license", "text").collect())
+    templates = checked(all_templates() if templates is None else templates)
     own = pick(docs, doc_id, text).toDF("doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
 
