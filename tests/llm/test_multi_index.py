@@ -92,3 +92,22 @@ def test_rows_that_take_no_part(spark):
     assert {i: [r.vec_id for r in own] for i, own in got.items()} == {0: [1, 2]}
     assert exact(spark, good[:1], None) == {}
     assert exact(spark, bad[:3], None) == {}
+
+
+def test_every_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, rng.integers(-3, 4, (2, 5, 9)[i % 3]).astype(float).tolist()) for i in range(130)]
+    data = [(i, v) for i, v in data if any(v)]
+    got = exact(spark, data, 64)
+    want = {}
+    for n in (2, 5, 9):
+        want |= brute([(i, v) for i, v in data if len(v) == n])
+    assert {i: [(r.score, r.vec_id) for r in own] for i, own in got.items()} == {i: [(-s, j) for s, j in w] for i, w in want.items()}
+    assert {len(dict(data)[i]) for i in got} == {2, 5, 9}
+
+
+def test_an_id_with_two_lengths_is_a_query_for_each(spark):
+    data = [(0, [1.0, 0.0]), (0, [1.0, 0.0, 1.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0, 1.0])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    rows = multi_index.nearest(frame, lambda x: x % 20 == 0, radius=64).collect()
+    assert sorted(map(tuple, rows)) == [(0, 1, 1, 2.0), (0, 1, 2, 4.0)]

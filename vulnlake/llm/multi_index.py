@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -89,15 +90,12 @@ def substrings(codes: np.ndarray) -> np.ndarray:
 
 # ---- tables ------------------------------------------------------------------------------------
 def usable(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """vec_id, v: the rows that take part, with doubles. Not null, not zero, all components finite, and as many of them as
-    most vectors have; rows without an id and repeated rows do not count."""
+    """vec_id, v: the rows that take part, with doubles. Not null, not empty, not zero, all components finite; rows without an id
+    and repeated rows do not count."""
     own = pick(rows, vec_id, embedding).toDF("vec_id", "v").where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     own = own.withColumn("v", F.col("v").cast("array<double>"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    own = own.where((F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
-    common = own.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), F.desc("n")).limit(1)
-    size = common.first()
-    return own.where(F.size("v") == F.lit(size["n"] if size else 0))
+    return own.where((F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -267,16 +265,22 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for every row that `asked(id column)` selects its k nearest other rows by inner product.
 
-    Rows that take no part (see `usable`) are neither queries nor neighbours. Ties go to the smaller id. Rows with the query's own id
-    are never its neighbours. `radius` replaces the calibrated one. A query with fewer than k rows in reach gets them all.
+    Rows that take no part (see `usable`) are neither queries nor neighbours. Vectors of different lengths have no inner product: every
+    length is searched by itself, one after the other. An id with several vectors is a query for each. Ties go to the smaller id. Rows with the query's own id are never its
+    neighbours. `radius` replaces the calibrated one. A query with fewer than k rows in reach gets them all.
     """
-    spark = rows.sparkSession
     own = cut_lineage(usable(rows, vec_id, embedding), "ann-rows")
+    lengths = [r["n"] for r in own.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    if not lengths:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [_of_length(own.where(F.size("v") == n) if len(lengths) > 1 else own, asked, k, radius) for n in lengths]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _of_length(own: DataFrame, asked, k: int, radius: int | None) -> DataFrame:
+    """`nearest` among rows (vec_id, v) whose vectors have one length."""
     whole = cut_lineage(distinct_vectors(own, k).withColumn("node", F.col("ids")[0]), "ann-distinct")
     stats = whole.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not stats[0]:
-        return spark.createDataFrame([], schema)
     sample = whole.orderBy(F.xxhash64("node")).limit(SAMPLE).select("v").collect()
     coder = learn(np.array([r["v"] for r in sample]), float(stats[1]) * (1 + 1e-12))
     postings = cut_lineage(_coded(whole, coder, False), "ann-postings")
