@@ -266,8 +266,9 @@ def nearest(
     """query_id, rank, vec_id, score: for every row that `asked(id column)` selects its k nearest other rows by inner product.
 
     Rows that take no part (see `usable`) are neither queries nor neighbours. Vectors of different lengths have no inner product: every
-    length is searched by itself, one after the other. An id with several vectors is a query for each. Ties go to the smaller id. Rows with the query's own id are never its
-    neighbours. `radius` replaces the calibrated one. A query with fewer than k rows in reach gets them all.
+    length is searched by itself, one after the other. An id with several vectors is a query for each. Ties go to the smaller id.
+    Rows with the query's own id are never its neighbours. `radius` replaces the calibrated one. A query with fewer than k rows in
+    reach gets them all.
     """
     own = cut_lineage(usable(rows, vec_id, embedding), "ann-rows")
     lengths = [r["n"] for r in own.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
