@@ -72,3 +72,17 @@ def test_edge_cases(spark):
     want = [(0, 0), (1, 0), (2, 0), (3, 3), (4, 3), (4, 3), (None, 3), (5, 5), (6, 5), (7, 7), (8, 8), (9, 9), (None, None), (4, 4)]
     assert got == sorted(want, key=str)
     assert near_copies.near_copies(docs.limit(0)).collect() == []
+
+
+def test_parts_of_a_bucket_lose_no_link(spark):
+    """Thirty pairs of twins under one key, dealt into parts of ten: the trees miss some, the rest has them."""
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 256, (30, near_copies.BANDS * near_copies.ROWS), np.uint8)
+    data = [(k, k, 100, sketches[k // 2].tobytes()) for k in range(60)]
+    nodes = spark.createDataFrame(data, "h1 bigint, node bigint, n bigint, sketch binary")
+    keyed = near_copies._buckets(nodes.selectExpr("7L as key", "h1"), 10)
+    found = near_copies._pairs(keyed, nodes, near_copies.LIKENESS, 10)
+    trees = set(map(tuple, found.collect()))
+    joined = found.selectExpr("b as node", "a as root")
+    rest = set(map(tuple, near_copies._rest(keyed, nodes, joined, found, near_copies.LIKENESS, 10).collect()))
+    assert trees < trees | rest == {(k, k + 1) for k in range(0, 60, 2)} and not trees & rest

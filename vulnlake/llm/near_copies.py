@@ -3,18 +3,19 @@
 Fingerprints of 64 bits within two bits find few pairs of likeness 0.8 (their expected distance is about 10 bits, that of unrelated texts
 32), and keys of Golay codewords for such distances are hundreds per text and hardly tell texts apart. So the groups that
 operator 9 forms are one of several kinds of buckets here; the others are bands of minima of the shingles. In every bucket a tree of
-greatest estimated likeness proposes pairs, fewer than members; each is then verified on the whole sets of shingles.
+greatest estimated likeness proposes pairs, fewer than members; each is then verified on the whole sets of shingles. Buckets
+that hold several components after that propose all other pairs between these, so no link between components rests on a tree or a part.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnlake.llm import golay
@@ -27,10 +28,13 @@ SHINGLE, LIKENESS = 5, 0.8
 BANDS, ROWS = 32, 5
 # Pairs are proposed from an estimate (the share of equal minima, here with a deviation of 0.03) this much below the likeness.
 SLACK = 0.12
-# Members of a bucket that are compared in one task. Of larger buckets every part of about so many also has the bucket's least member.
+# Members of a bucket that are compared in one task. Of larger buckets every part of about so many also has the bucket's least member;
+# where that leaves several components, any two parts meet.
 BUCKET = 4096
 # Up to so many members, all pairs with a high estimate are proposed and not only a tree.
 SMALL = 4
+# Pairs that a task hands on at once.
+PAIRS = 1 << 18
 # Bytes of a text that are split into words at once.
 PART = 1 << 20
 BLANK = re.compile(rb"\s")
@@ -108,28 +112,29 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
 
 
 # ---- pairs -------------------------------------------------------------------------------------
+def _estimates(sketches: np.ndarray, sizes: np.ndarray, row: int, others: np.ndarray, likeness: float) -> np.ndarray:
+    """Estimated likeness of a row to the others, 0 where it cannot be enough."""
+    share = (sketches[others] == sketches[row]).mean(axis=1)
+    ratio = np.minimum(sizes[others], sizes[row]) / np.maximum(sizes[others], sizes[row])
+    return np.where((ratio >= likeness) & (share >= likeness - SLACK), share, 0.0)
+
+
 def proposed(sketches: np.ndarray, sizes: np.ndarray, likeness: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows whose estimated likeness may be enough: all of a small group, else the edges of a spanning forest of greatest
     estimates, which joins what any threshold on the estimates joins."""
-    n, least = len(sketches), likeness - SLACK
-
-    def estimates(row: int, others: np.ndarray) -> np.ndarray:
-        share = (sketches[others] == sketches[row]).mean(axis=1)
-        ratio = np.minimum(sizes[others], sizes[row]) / np.maximum(sizes[others], sizes[row])
-        return np.where((ratio >= likeness) & (share >= least), share, 0.0)
-
+    n = len(sketches)
     a, b = [], []
     if n <= SMALL:
         for row in range(n - 1):
             others = np.arange(row + 1, n)
-            hit = others[estimates(row, others) > 0]
+            hit = others[_estimates(sketches, sizes, row, others, likeness) > 0]
             a += [row] * len(hit)
             b += hit.tolist()
         return np.array(a, np.int64), np.array(b, np.int64)
     left, at = np.arange(1, n), 0
     best, parent = np.zeros(n - 1), np.zeros(n - 1, np.int64)
     while len(left):
-        own = estimates(at, left)
+        own = _estimates(sketches, sizes, at, left, likeness)
         better = own > best
         best[better], parent[better] = own[better], at
         k = int(best.argmax())
@@ -142,16 +147,25 @@ def proposed(sketches: np.ndarray, sizes: np.ndarray, likeness: float) -> tuple[
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
+def _buckets(keyed: DataFrame, bucket: int) -> DataFrame:
+    """key, size, parts, h1: members of the keys that several texts have; `keyed` has key and h1. Large buckets are dealt into parts."""
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = cut_lineage(sizes.select("key", "size", F.ceil(F.col("size") / bucket).cast("int").alias("parts")), "copies-buckets")
+    # a key that many rows have is an ordinary skewed join
+    return cut_lineage(keyed.join(sizes, "key"), "copies-members")
+
+
+def _part() -> Column:
+    return F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+
+
 def _pairs(keyed: DataFrame, nodes: DataFrame, likeness: float, bucket: int) -> DataFrame:
-    """(a, b), a < b: proposed pairs of all buckets; `keyed` has key and h1, `nodes` h1, node, n, sketch.
+    """(a, b), a < b: pairs that the trees of all buckets propose; `keyed` is the result of `_buckets`, `nodes` has h1, node, n, sketch.
 
-    Keys of one text go first, so only texts that share a key meet with their sketches. Large buckets are dealt into parts.
+    Keys of one text go first, so only texts that share a key meet with their sketches.
     """
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    sizes = cut_lineage(sizes.select("key", F.ceil(F.col("size") / bucket).cast("int").alias("parts")), "copies-buckets")
-    # a key that many rows have is an ordinary skewed join
-    members = cut_lineage(keyed.join(sizes, "key"), "copies-members").join(nodes.select("h1", "node", "n", "sketch"), "h1")
-    own = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    members = keyed.join(nodes.select("h1", "node", "n", "sketch"), "h1")
+    own = members.withColumn("part", _part())
     firsts = members.where("parts > 1").groupBy("key", "parts").agg(F.min(F.struct("node", "n", "sketch")).alias("first"))
     firsts = firsts.select("key", "first.*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = own.select("key", "node", "n", "sketch", "part").unionByName(firsts)
@@ -161,22 +175,83 @@ def _pairs(keyed: DataFrame, nodes: DataFrame, likeness: float, bucket: int) ->
         for table, _ in by_run(batches, "cell", 16 * bucket):
             table = table.combine_chunks()
             bounds = runs(table.column("cell").to_numpy())
-            count = table.column("n").to_numpy()
-            data = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(count), -1)
+            count, data = table.column("n").to_numpy(), _sketches(table)
             left, right = [], []
             for i, j in zip(bounds[:-1], bounds[1:]):
                 a, b = proposed(data[i:j], count[i:j], likeness)
                 left.append(a + i)
                 right.append(b + i)
-            node = table.column("node").combine_chunks() if isinstance(table.column("node"), pa.ChunkedArray) else table.column("node")
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(x))) for x in (left, right)], names=["a", "b"])
+            yield _chosen(table, np.concatenate(left), np.concatenate(right))
+
+    return _met(rows, run, nodes)
+
+
+def _rest(keyed: DataFrame, nodes: DataFrame, joined: DataFrame, known: DataFrame, likeness: float, bucket: int) -> DataFrame:
+    """(a, b), a < b: all pairs with a high estimate that lie in two components and are not among the `known` ones.
+
+    `joined` has node and root. Only buckets of several components take part, and any two parts of a large one meet in a task.
+    """
+    placed = nodes.select("h1", "node", "n", "sketch").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # all pairs of small buckets are known
+    bare = keyed.where(F.col("size") > SMALL).join(placed.select("h1", "root"), "h1")
+    several = bare.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    members = keyed.join(several.select("key"), "key").join(placed, "h1").withColumn("part", _part())
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    rows = members.select("key", "node", "n", "sketch", "root", "part", other).select(
+        F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "node", "n", "sketch",
+        F.xxhash64("root").alias("root"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, _ in by_run(batches, "cell", 16 * bucket):
+            table = table.combine_chunks()
+            bounds = runs(table.column("cell").to_numpy())
+            count, root, data = table.column("n").to_numpy(), table.column("root").to_numpy(), _sketches(table)
+            left, right, found = [], [], 0
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                for row in range(i, j - 1):
+                    others = np.flatnonzero(root[row + 1 : j] != root[row]) + row + 1
+                    others = others[_estimates(data, count, row, others, likeness) > 0]
+                    left.append(np.full(len(others), row))
+                    right.append(others)
+                    found += len(others)
+                    if found >= PAIRS:
+                        yield _chosen(table, np.concatenate(left), np.concatenate(right))
+                        left, right, found = [], [], 0
+            if found:
+                yield _chosen(table, np.concatenate(left), np.concatenate(right))
 
-    met = rows.repartition("cell").sortWithinPartitions("cell", "node")
+    return _met(rows, run, nodes).join(known, ["a", "b"], "left_anti")
+
+
+def _sketches(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
+
+
+def _chosen(table: pa.Table, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    node = table.column("node").combine_chunks() if isinstance(table.column("node"), pa.ChunkedArray) else table.column("node")
+    return pa.RecordBatch.from_arrays([node.take(pa.array(x)) for x in (left, right)], names=["a", "b"])
+
+
+def _met(rows: DataFrame, run: Callable, nodes: DataFrame) -> DataFrame:
+    """The distinct pairs that `run` finds in the cells."""
     kind = nodes.schema["node"].dataType.simpleString()
-    found = met.mapInArrow(run, f"a {kind}, b {kind}").where("a <> b")
+    found = rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, f"a {kind}, b {kind}").where("a <> b")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, likeness: float, shingle: int) -> DataFrame:
+    """The pairs whose whole sets of shingles are alike; `own` has the texts."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "h1", "h2", "first_id"), "node")
+    # one row of every text, which more rows only have if they repeat an id or have none
+    single = own.join(wanted, ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    sets = cut_lineage(_sets(single, shingle).dropDuplicates(["node"]), "copies-sets")
+    sides = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}")) for x in ("a", "b")]
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("all"))
+    return met.where(F.col("both") >= likeness * (F.col("all") - F.col("both"))).select("a", "b")
+
+
 def near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", likeness: float = LIKENESS, shingle: int = SHINGLE, bucket: int = BUCKET
 ) -> DataFrame:
@@ -199,15 +274,14 @@ def near_copies(
     roots = stars(golay.near_links(first.select("fp").distinct()), "copies-golay").select(F.col("a").alias("fp"), F.col("b").alias("root"))
     keyed = nodes.where("n > 0").join(roots, "fp", "left").withColumn("keys", F.concat("keys", F.array(F.coalesce("root", "fp"))))
     keyed = keyed.select(F.explode("keys").alias("key"), "h1")
-    pairs = cut_lineage(_pairs(keyed, nodes.where("n > 0"), likeness, bucket), "copies-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "h1", "h2", "first_id"), "node")
-    # one row of every text, which more rows only have if they repeat an id or have none
-    single = own.join(wanted, ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    sets = cut_lineage(_sets(single, shingle).dropDuplicates(["node"]), "copies-sets")
-    sides = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}")) for x in ("a", "b")]
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("all"))
-    links = met.where(F.col("both") >= likeness * (F.col("all") - F.col("both"))).select("a", "b")
+    some = nodes.where("n > 0")
+    members = _buckets(keyed, bucket)
+    pairs = cut_lineage(_pairs(members, some, likeness, bucket), "copies-pairs")
+    links = cut_lineage(_verified(pairs, nodes, own, likeness, shingle), "copies-verified")
+    joined = cut_lineage(stars(links, "copies-trees").select(F.col("a").alias("node"), F.col("b").alias("root")), "copies-joined")
+    rest = cut_lineage(_rest(members, some, joined, pairs, likeness, bucket), "copies-rest")
+    if not rest.isEmpty():
+        links = links.unionByName(_verified(rest, nodes, own, likeness, shingle))
     none = nodes.where("n = 0")
     least = none.groupBy("n").agg(F.min("node").alias("b"))
     links = links.unionByName(none.join(least, "n").select(F.col("node").alias("a"), "b").where("a <> b"))
