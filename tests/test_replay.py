@@ -42,6 +42,17 @@ def test_most_new_ids_are_not_looked_up(spark, tmp_path):
     assert index.may_be_known(old, 1).count() == 500
 
 
+def test_rows_of_an_id_that_comes_once_are_not_shuffled(spark, tmp_path):
+    """Whole rows are sorted by id only where the batch itself repeats ids; the filter has one word per id."""
+    index = EventIndex(spark, str(tmp_path), "q", 4, 1 << 14, 7)
+    rows = _ids(spark, [f"a{i}" for i in range(300)]).withColumn("payload", F.lit("x"))
+    for batch in range(2):
+        kept = index.first_arrivals(rows, batch)
+        assert "Window" not in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == (300 if batch == 0 else 0)
+    ids = index.ids(rows)
+    assert index._words(ids).count() == 300
+
+
 def test_rows_without_an_id_stay_apart(spark, tmp_path):
     index = EventIndex(spark, str(tmp_path), "q")
     rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 3)], "event_id string, v int")
