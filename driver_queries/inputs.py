@@ -195,7 +195,10 @@ def _picks(prefix: str, picks) -> Column:
 
 
 def vectors(spark, sf) -> DataFrame:
-    """Every part with a v3.1, v3.0, v2, v4.0 or broken vector by its key."""
+    """Every part with a v3.1, v3.0, v2, v4.0 or broken vector by its key.
+
+    A part is few bytes and much work, so parts are dealt by key: a small file does not leave them to one task, and a vector is spelled once.
+    """
     kind = F.col("p_partkey") % 10
     return table(spark, sf, "part").withColumn(
         "vector",
@@ -204,7 +207,7 @@ def vectors(spark, sf) -> DataFrame:
         .when(kind < 8, _picks("", V2_PICKS))
         .when(kind < 9, _picks("CVSS:4.0/", V4_PICKS))
         .otherwise(F.concat(F.lit("CVSS:3.1/AV:"), F.col("p_name"))),
-    )
+    ).repartition("p_partkey")
 
 
 VECTORS = f"""vectors as (
