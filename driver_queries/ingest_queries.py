@@ -6,6 +6,7 @@ library's readers.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driver_queries.inputs import VECTORS, query, r6, sql6, table, text, vectors
@@ -293,8 +294,8 @@ def ingest_envelopes(spark, sf):
 # ---- Bronze ------------------------------------------------------------------------------------------
 
 
-def event_envelopes(spark, sf):
-    """Score envelopes of the events, some of them invalid for Silver."""
+def event_envelopes(spark, sf, events=None):
+    """Score envelopes of the events (all, if none are given), some of them invalid for Silver."""
     n = F.col("event_id")
     payload = F.struct(
         F.when(n % 17 == 0, F.lit("X")).otherwise(F.concat(F.lit("CVE-2024-"), text(n + 10000))).alias("cve"),
@@ -303,13 +304,27 @@ def event_envelopes(spark, sf):
         text(F.col("ts").cast("date")).alias("score_date"),
         F.col("event_type").alias("model_version"),
     )
-    rows = table(spark, sf, "events").withColumn("payload", payload)
+    rows = (table(spark, sf, "events") if events is None else events).withColumn("payload", payload)
     return hashing.wrap(
         rows, source="epss", record_id=text(n), effective_date=F.col("ts").cast("date"), payload="payload",
         run_id=RUN, fetched_at=ingest.iso_text(_fetched()),
     )
 
 
+def by_type(spark, sf, of):
+    """Envelopes of the events whose type is `of`, to be written by one task: events are brought there before they are wrapped."""
+    events = table(spark, sf, "events").where(F.col("event_type") == of).coalesce(1)
+    return event_envelopes(spark, sf, events).withColumn("ingestion_run_id", F.lit(of))
+
+
+def write_types_but(spark, sf, root, of):
+    """Bronze of the events of all other types, with the type as run id. One type is written after the other, so no task sorts wrapped events by type."""
+    events = table(spark, sf, "events").where(F.col("event_type") != of)
+    for (name,) in events.select("event_type").distinct().collect():
+        own = event_envelopes(spark, sf, events.where(F.col("event_type") == name)).withColumn("ingestion_run_id", F.lit(name))
+        bronze.write_bronze(own, root, "epss", FETCHED[:10])
+
+
 def _bronze(spark, sf, name):
     root = new_dir(spark, name)
     bronze.write_bronze(event_envelopes(spark, sf), root, "epss", FETCHED[:10])
@@ -371,17 +386,18 @@ def bronze_validate(spark, sf):
         cast(0 as bigint) as duplicate_event_ids, cast(0 as integer) as passed from events""",
 )
 def bronze_defects(spark, sf):
-    """One file per event type; of three of them the manifest is missing, has another hash, or another count."""
+    """Files per event type; the manifest of one, which has all records of its type, is missing, and two have another hash or count there."""
     root = new_dir(spark, "bronze-defects")
-    one_file_each = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).repartition("ingestion_run_id")
-    bronze.write_bronze(one_file_each, root, "epss", FETCHED[:10], max_records=0)
+    bronze.write_bronze(by_type(spark, sf, "view"), root, "epss", FETCHED[:10], max_records=0)
+    write_types_but(spark, sf, root, "view")
     bronze.write_manifest(spark, root, "epss", f"{root}/_true/source=epss", FETCHED)
     said = bronze.read_manifest(spark, f"{root}/_true/source=epss")
     run = F.regexp_extract("path", "run_id=([^/]+)", 1)
-    altered = said.where(run != "view").withColumns({
-        "sha256": F.when(run == "click", F.sha2("sha256", 256)).otherwise(F.col("sha256")),
-        "record_count": F.when(run == "purchase", F.col("record_count") + 1).otherwise(F.col("record_count")),
-    })
+    first = F.col("path") == F.min("path").over(Window.partitionBy(run))
+    altered = said.withColumns({"run": run, "first": first}).where("run <> 'view'").withColumns({
+        "sha256": F.when(F.expr("first and run = 'click'"), F.sha2("sha256", 256)).otherwise(F.col("sha256")),
+        "record_count": F.when(F.expr("first and run = 'purchase'"), F.col("record_count") + 1).otherwise(F.col("record_count")),
+    }).drop("run", "first")
     altered.write.parquet(f"{root}/_manifests/source=epss")
     summary = validate.validate_bronze(spark, root, f"{root}/_manifests", ("epss",))
     return summary.drop("files_checked").withColumn("passed", F.col("passed").cast("int"))

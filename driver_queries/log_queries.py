@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driver_queries.inputs import query, table, text
-from driver_queries.ingest_queries import BRONZE_ROWS, FETCHED, RUN, TOPICS, event_envelopes
+from driver_queries.ingest_queries import BRONZE_ROWS, FETCHED, RUN, TOPICS, by_type, event_envelopes, write_types_but
 from vulnlake.operators import rolling
 from vulnlake.plans import validate
 from vulnlake.session import new_dir, rename_files, scratch
@@ -173,14 +173,13 @@ def stream_replay(spark, sf):
         cast(1 as bigint) as parse_errors, cast(0 as integer) as passed from events""",
 )
 def bronze_unreadable(spark, sf):
-    """One file per event type; one of them, which has its manifest, is no gzip file at all."""
+    """Files per event type; one file, which has all records of its type and its manifest, is no gzip file at all."""
     root = new_dir(spark, "unreadable")
-    named = event_envelopes(spark, sf).withColumn("ingestion_run_id", F.col("payload.model_version")).repartition("ingestion_run_id")
-    bronze.write_bronze(named.where("ingestion_run_id <> 'click'"), root, "epss", FETCHED[:10], max_records=0)
+    write_types_but(spark, sf, root, "click")
     folder = f"{bronze.source_path(root, 'epss')}/ingest_date={FETCHED[:10]}/run_id=click"
-    lines = named.where("ingestion_run_id = 'click'").select(F.to_json(F.struct("*")).alias("value"))
-    lines.write.option("compression", "none").text(folder)
-    rename_files(spark, folder, ".txt", ".txt.gz")
+    lines = by_type(spark, sf, "click").select(F.to_json(F.struct("*")).alias("value"))
+    lines.write.option("compression", "deflate").text(folder)
+    rename_files(spark, folder, ".txt.deflate", ".txt.gz")
     bronze.write_manifest(spark, root, "epss", f"{root}/_manifests/source=epss", FETCHED)
     summary = validate.validate_bronze(spark, root, f"{root}/_manifests", ("epss",))
     return summary.select("records_total", "missing_manifest", "parse_errors", F.col("passed").cast("int").alias("passed"))
