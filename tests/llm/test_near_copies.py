@@ -86,3 +86,54 @@ def test_parts_of_a_bucket_lose_no_link(spark):
     joined = found.selectExpr("b as node", "a as root")
     rest = set(map(tuple, near_copies._rest(keyed, nodes, joined, found, near_copies.LIKENESS, 10).collect()))
     assert trees < trees | rest == {(k, k + 1) for k in range(0, 60, 2)} and not trees & rest
+
+
+def _sets_of(rng, n, base, kept):
+    """Sets of `kept` of the base's shingles each and others of their own."""
+    return [np.unique(np.r_[rng.choice(base, kept, False), rng.integers(0, 1 << 62, len(base) - kept)]) for _ in range(n)]
+
+
+def _likeness(a, b):
+    both = len(np.intersect1d(a, b))
+    return both / (len(a) + len(b) - both)
+
+
+def test_forest_joins_what_all_links_join():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 200)
+    sets = _sets_of(rng, 30, base, 192) + _sets_of(rng, 30, base, 184) + _sets_of(rng, 20, rng.integers(0, 1 << 62, 200), 190)
+    least = near_copies.minima([s.view(np.uint64) for s in sets])
+    sketches, sizes = (least >> np.uint64(56)).astype(np.uint8), np.array([len(s) for s in sets])
+    root = np.array([k // 2 if k < 20 else k + 100 for k in range(len(sets))])
+    likely = lambda a, b: near_copies._estimates(sketches, sizes, a, np.array([b]), near_copies.LIKENESS)[0] > 0
+    n = len(sets)
+    links = [(a, b) for a in range(n) for b in range(a + 1, n) if likely(a, b) and _likeness(sets[a], sets[b]) >= near_copies.LIKENESS]
+    known = [(a, b) for a in range(n) for b in range(a + 1, n) if root[a] == root[b]]
+    left, right = near_copies.forest(sketches, sizes, root, np.concatenate(sets), near_copies.LIKENESS)
+    found = list(zip(left.tolist(), right.tolist()))
+    assert found and set(found) <= set(links) and len(found) < n < len(links)
+    assert brute.joined(range(n), found + known) == brute.joined(range(n), links + known)
+
+
+@pytest.mark.parametrize("cell", [near_copies.CELL, 3000])
+def test_pairs_below_the_likeness_never_become_rows(spark, monkeypatch, cell):
+    """150 texts that are likely but not alike and 10 twins of them, under one key: only the twins' links come out, also from parts by size."""
+    monkeypatch.setattr(near_copies, "CELL", cell)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 200)
+    sets = _sets_of(rng, 150, base, 184)
+    sets += [np.unique(np.r_[s[:-4], rng.integers(0, 1 << 62, 4)]) for s in sets[:10]]
+    least = (near_copies.minima([s.view(np.uint64) for s in sets]) >> np.uint64(56)).astype(np.uint8)
+    data = [(k, k, len(s), least[k].tobytes()) for k, s in enumerate(sets)]
+    nodes = spark.createDataFrame(data, "h1 bigint, node bigint, n bigint, sketch binary")
+    shingles = spark.createDataFrame([(k, s.tolist()) for k, s in enumerate(sets)], "node bigint, shingles array<bigint>")
+    keyed = near_copies._buckets(nodes.selectExpr("7L as key", "h1"), near_copies.BUCKET)
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    pairs = spark.createDataFrame([], "a bigint, b bigint")
+    likely = near_copies._rest(keyed, nodes, none, pairs, near_copies.LIKENESS, near_copies.BUCKET).count()
+    given = lambda wanted: shingles.join(wanted, "node")
+    found = [(r.a, r.b) for r in near_copies._rest(keyed, nodes, none, pairs, near_copies.LIKENESS, near_copies.BUCKET, given).collect()]
+    n = len(sets)
+    want = [(a, b) for a in range(n) for b in range(a + 1, n) if _likeness(sets[a], sets[b]) >= near_copies.LIKENESS]
+    assert brute.joined(range(n), found) == brute.joined(range(n), want)
+    assert likely > 5000 and len(found) == len(want) == 10

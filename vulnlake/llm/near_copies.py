@@ -4,7 +4,8 @@ Fingerprints of 64 bits within two bits find few pairs of likeness 0.8 (their ex
 32), and keys of Golay codewords for such distances are hundreds per text and hardly tell texts apart. So the groups that
 operator 9 forms are one of several kinds of buckets here; the others are bands of minima of the shingles. In every bucket a tree of
 greatest estimated likeness proposes pairs, fewer than members; each is then verified on the whole sets of shingles. Buckets
-that hold several components after that propose all other pairs between these, so no link between components rests on a tree or a part.
+that hold several components after that verify all other likely pairs between these in the tasks where they meet and hand on only the links that
+join components, so no link between components rests on a tree or a part, and rows grow with the members of a bucket and not with its pairs.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnlake.llm import golay
-from vulnlake.llm.arrays import as_bytes, by_run, runs, slices
+from vulnlake.llm.arrays import as_bytes, by_run, ragged, runs, slices
 from vulnlake.llm.components import stars
 from vulnlake.llm.tables import cut_lineage, pick
 
@@ -33,7 +34,9 @@ SLACK = 0.12
 BUCKET = 4096
 # Up to so many members, all pairs with a high estimate are proposed and not only a tree.
 SMALL = 4
-# Pairs that a task hands on at once.
+# Shingles of a part's texts, about, where pairs are verified in the task in which they meet.
+CELL = 1 << 21
+# Pairs that a task holds at once.
 PAIRS = 1 << 18
 # Bytes of a text that are split into words at once.
 PART = 1 << 20
@@ -186,23 +189,29 @@ def _pairs(keyed: DataFrame, nodes: DataFrame, likeness: float, bucket: int) ->
     return _met(rows, run, nodes)
 
 
-def _rest(keyed: DataFrame, nodes: DataFrame, joined: DataFrame, known: DataFrame, likeness: float, bucket: int) -> DataFrame:
-    """(a, b), a < b: all pairs with a high estimate that lie in two components and are not among the `known` ones.
+def _rest(
+    keyed: DataFrame, nodes: DataFrame, joined: DataFrame, known: DataFrame, likeness: float, bucket: int,
+    sets: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """(a, b), a < b: all pairs with a high estimate that lie in two components and are not among the `known` ones. With `sets`, which gives
+    the node and shingles of nodes, only links that join components: pairs are verified where they meet and never become rows.
 
     `joined` has node and root. Only buckets of several components take part, and any two parts of a large one meet in a task.
     """
     placed = nodes.select("h1", "node", "n", "sketch").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # all pairs of small buckets are known
-    bare = keyed.where(F.col("size") > SMALL).join(placed.select("h1", "root"), "h1")
-    several = bare.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    members = keyed.join(several.select("key"), "key").join(placed, "h1").withColumn("part", _part())
+    bare = keyed.where(F.col("size") > SMALL).join(placed.select("h1", "root", "n"), "h1")
+    several = bare.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum("n").alias("whole")).where("least < most")
+    parts = F.greatest("parts", F.ceil(F.col("whole") / CELL).cast("int")) if sets else F.col("parts")
+    members = keyed.join(several.select("key", "whole"), "key").join(placed, "h1").withColumn("parts", parts).withColumn("part", _part())
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     rows = members.select("key", "node", "n", "sketch", "root", "part", other).select(
         F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("cell"), "node", "n", "sketch",
         F.xxhash64("root").alias("root"),
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list, list]]:
+        """Pieces of a cell's table, and the rows of likely pairs in them."""
         for table, _ in by_run(batches, "cell", 16 * bucket):
             table = table.combine_chunks()
             bounds = runs(table.column("cell").to_numpy())
@@ -216,12 +225,68 @@ def _rest(keyed: DataFrame, nodes: DataFrame, joined: DataFrame, known: DataFram
                     right.append(others)
                     found += len(others)
                     if found >= PAIRS:
-                        yield _chosen(table, np.concatenate(left), np.concatenate(right))
+                        yield table, left, right
                         left, right, found = [], [], 0
             if found:
-                yield _chosen(table, np.concatenate(left), np.concatenate(right))
+                yield table, left, right
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, left, right in likely(batches):
+            yield _chosen(table, np.concatenate(left), np.concatenate(right))
 
-    return _met(rows, run, nodes).join(known, ["a", "b"], "left_anti")
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, left, right in likely(batches):
+            yield from table.take(pa.array(np.unique(np.concatenate(left + right)))).combine_chunks().to_batches()
+
+    def joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, _ in by_run(batches, "cell", 16 * bucket):
+            table = table.combine_chunks()
+            bounds = runs(table.column("cell").to_numpy())
+            count, root, data = table.column("n").to_numpy(), table.column("root").to_numpy(), _sketches(table)
+            left, right = [], []
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                shingles = _flat(table.column("shingles").slice(i, j - i))
+                a, b = forest(data[i:j], count[i:j], root[i:j], shingles, likeness)
+                left.append(a + i)
+                right.append(b + i)
+            yield _chosen(table, np.concatenate(left), np.concatenate(right))
+
+    if sets is None:
+        return _met(rows, pairs, nodes).join(known, ["a", "b"], "left_anti")
+    kind = nodes.schema["node"].dataType.simpleString()
+    met = rows.repartition("cell").sortWithinPartitions("cell", "node")
+    met = cut_lineage(met.mapInArrow(partners, f"cell bigint, node {kind}, n bigint, sketch binary, root bigint").distinct(), "copies-partners")
+    return _met(met.join(sets(met.select("node").distinct()), "node"), joining, nodes)
+
+
+def forest(
+    sketches: np.ndarray, sizes: np.ndarray, root: np.ndarray, shingles: np.ndarray, likeness: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links of rows, fewer than rows, that join what all links between their components join. `shingles` has the sets one after the other."""
+    a, b, root = [], [], root.copy()
+    values, of = np.unique(shingles, return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    own = np.zeros(len(values), bool)
+    for row in range(len(sizes) - 1):
+        others = np.flatnonzero(root[row + 1 :] != root[row]) + row + 1
+        others = others[_estimates(sketches, sizes, row, others, likeness) > 0]
+        mine = of[starts[row] : starts[row] + sizes[row]]
+        own[mine] = True
+        for i, j in slices(sizes[others].tolist(), CELL):
+            some = others[i:j]
+            begins = np.cumsum(sizes[some]) - sizes[some]
+            both = np.add.reduceat(own[of[ragged(starts[some], sizes[some])]], begins, dtype=np.int64)
+            for k in some[both >= likeness * (sizes[row] + sizes[some] - both)]:
+                if root[k] != root[row]:
+                    a.append(row)
+                    b.append(int(k))
+                    root[root == root[k]] = root[row]
+        own[mine] = False
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in lists.chunks])
 
 
 def _sketches(table: pa.Table) -> np.ndarray:
@@ -240,12 +305,17 @@ def _met(rows: DataFrame, run: Callable, nodes: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, likeness: float, shingle: int) -> DataFrame:
-    """The pairs whose whole sets of shingles are alike; `own` has the texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "h1", "h2", "first_id"), "node")
+def _wanted_sets(wanted: DataFrame, nodes: DataFrame, own: DataFrame, shingle: int) -> DataFrame:
+    """node, shingles of the wanted nodes; `own` has the texts."""
+    wanted = wanted.join(nodes.select("node", "h1", "h2", "first_id"), "node")
     # one row of every text, which more rows only have if they repeat an id or have none
     single = own.join(wanted, ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    sets = cut_lineage(_sets(single, shingle).dropDuplicates(["node"]), "copies-sets")
+    return cut_lineage(_sets(single, shingle).dropDuplicates(["node"]), "copies-sets")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, own: DataFrame, likeness: float, shingle: int) -> DataFrame:
+    """The pairs whose whole sets of shingles are alike; `own` has the texts."""
+    sets = _wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, own, shingle)
     sides = [sets.select(F.col("node").alias(x), F.col("shingles").alias(f"of_{x}")) for x in ("a", "b")]
     both = F.size(F.array_intersect("of_a", "of_b"))
     met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("all"))
@@ -279,9 +349,8 @@ def near_copies(
     pairs = cut_lineage(_pairs(members, some, likeness, bucket), "copies-pairs")
     links = cut_lineage(_verified(pairs, nodes, own, likeness, shingle), "copies-verified")
     joined = cut_lineage(stars(links, "copies-trees").select(F.col("a").alias("node"), F.col("b").alias("root")), "copies-joined")
-    rest = cut_lineage(_rest(members, some, joined, pairs, likeness, bucket), "copies-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_verified(rest, nodes, own, likeness, shingle))
+    rest = _rest(members, some, joined, pairs, likeness, bucket, lambda wanted: _wanted_sets(wanted, nodes, own, shingle))
+    links = links.unionByName(cut_lineage(rest, "copies-rest"))
     none = nodes.where("n = 0")
     least = none.groupBy("n").agg(F.min("node").alias("b"))
     links = links.unionByName(none.join(least, "n").select(F.col("node").alias("a"), "b").where("a <> b"))
