@@ -421,21 +421,22 @@ def observations_with_vectors(spark, sf):
 
 @query("feature_vector")
 def feature_vector(spark, sf):
-    rows = learning.fill_zero(observations_with_vectors(spark, sf), learning.CVSS_NUMERIC)
+    rows = learning.fill_zero(cut_lineage(observations_with_vectors(spark, sf), "training-input"), learning.CVSS_NUMERIC)
     model = Pipeline(stages=learning.feature_stages(learning.CVSS_CATEGORICAL, learning.CVSS_NUMERIC)).fit(rows)
-    return model.transform(rows).select("cve_id", vector_to_array("features").alias("features"))
+    keys = [*learning.CVSS_CATEGORICAL, *learning.CVSS_NUMERIC]
+    return learning.by_combination(model, rows, keys, vector_to_array("features"), "features").select("cve_id", "features")
 
 
 @query("model_a")
 def model_a(spark, sf):
-    rows = observations_with_vectors(spark, sf)
+    rows = cut_lineage(observations_with_vectors(spark, sf), "training-input")
     model = learning.train_exploit_model(rows)
     return learning.apply_exploit_model(model, rows).select("cve_id", "epss_current", "pred_epss")
 
 
 @query("model_b")
 def model_b(spark, sf):
-    rows = observations_with_vectors(spark, sf)
+    rows = cut_lineage(observations_with_vectors(spark, sf), "training-input")
     predicted = learning.apply_exploit_model(learning.train_exploit_model(rows), rows)
     model = learning.train_outcome_model(predicted)
     return learning.apply_outcome_model(model, predicted).select("cve_id", "kev_within_90_days", "pred_kev_prob")

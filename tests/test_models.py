@@ -153,3 +153,25 @@ def test_shared_folder(spark):
     assert session.shared_dir(local) == session.shared_dir(local)
     with pytest.raises(ValueError):
         session.shared_dir(_Session("spark://host:7077"))
+
+
+def test_models_are_asked_once_per_combination(spark, observations):
+    """The same predictions as over the rows, nulls and unseen values among them; no model runs over the rows themselves."""
+    cats, nums = learning.CVSS_CATEGORICAL, learning.CVSS_NUMERIC
+    odd = observations.limit(40).withColumns({
+        "cve_id": F.concat(F.lit("odd-"), "cve_id"), cats[0]: F.lit(None).cast("string"), cats[1]: F.lit("unseen"),
+        nums[0]: F.lit(None).cast(observations.schema[nums[0]].dataType), nums[1]: F.lit(float("nan")).cast(observations.schema[nums[1]].dataType),
+    })
+    rows = observations.unionByName(odd)
+    exploit = learning.train_exploit_model(observations, max_iter=3)
+    predicted = learning.apply_exploit_model(exploit, rows)
+    outcome = learning.train_outcome_model(learning.apply_exploit_model(exploit, observations), max_iter=3)
+    done = learning.apply_outcome_model(outcome, predicted)
+    assert done.columns == [*rows.columns, "pred_epss", "pred_kev_prob"]
+    clamped = learning.clamp_unit(F.col("pred_epss"))
+    plain = exploit.transform(learning.fill_zero(rows, nums)).withColumn("pred_epss", clamped).select(*rows.columns, "pred_epss")
+    plain = outcome.transform(plain).select("cve_id", "pred_epss", learning.vector_to_array("probability")[1].alias("pred_kev_prob"))
+    want = {r[0]: r[1:] for r in map(tuple, plain.collect())}
+    got = {r[0]: r[1:] for r in map(tuple, done.select("cve_id", "pred_epss", "pred_kev_prob").collect())}
+    assert len(want) == rows.count() == done.count() and got == want
+    assert "UDF" not in done._jdf.queryExecution().toString()

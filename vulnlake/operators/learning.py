@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnlake.functions.risk import clamp_unit
@@ -57,6 +59,20 @@ def collapse(df: DataFrame, features: list[str], *, label: str | None = None, ta
     return cut_lineage(grouped.hint("rebalance"), "training")
 
 
+def by_combination(model: PipelineModel, df: DataFrame, keys: list[str], value: Column, output: str) -> DataFrame:
+    """Add `output`, the value that the model gives to a row's `keys`, which must be all columns it reads.
+
+    The daily rows of one vulnerability agree on its features, so the model is asked once per distinct combination, and its answers are
+    written to the shared folder and joined to the rows; nulls and NaN are values like others. Combinations are few bytes and much
+    work, so they are dealt to all cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    distinct = model.transform(df.select(*keys).distinct().repartition(cores))
+    answers = cut_lineage(distinct.select(*(F.col(k).alias(f"_of_{k}") for k in keys), value.alias(output)), "answers")
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    return df.join(answers, same, "left").select(*df.columns, output)
+
+
 def balanced_weight(
     df: DataFrame, label: str = LABEL, weight: str = WEIGHT, rows: str | None = None
 ) -> DataFrame:
@@ -102,9 +118,8 @@ def train_exploit_model(
 
 def apply_exploit_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:
     """Add the predicted score, limited to [0, 1]."""
-    scored = model.transform(fill_zero(df, numeric))
-    helper = [c for c in scored.columns if c not in df.columns and c != PREDICTED_EPSS]
-    return scored.withColumn(PREDICTED_EPSS, clamp_unit(F.col(PREDICTED_EPSS))).drop(*helper)
+    keys = [*model.stages[0].getInputCols(), *numeric]
+    return by_combination(model, fill_zero(df, numeric), keys, clamp_unit(F.col(PREDICTED_EPSS)), PREDICTED_EPSS)
 
 
 def train_outcome_model(
@@ -131,7 +146,6 @@ def train_outcome_model(
 
 def apply_outcome_model(model: PipelineModel, df: DataFrame, numeric: list[str] = CVSS_NUMERIC) -> DataFrame:
     """Add the probability of a positive label."""
-    scored = model.transform(fill_zero(df, [*numeric, PREDICTED_EPSS]))
-    helper = [c for c in scored.columns if c not in df.columns]
-    probability = vector_to_array(F.col("probability")).getItem(1)
-    return scored.withColumn(PREDICTED_KEV, probability).drop(*helper)
+    inputs = [*numeric, PREDICTED_EPSS]
+    keys = [*model.stages[0].getInputCols(), *inputs]
+    return by_combination(model, fill_zero(df, inputs), keys, vector_to_array(F.col("probability")).getItem(1), PREDICTED_KEV)
