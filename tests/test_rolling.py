@@ -56,6 +56,30 @@ def test_files_end_at_rows_or_bytes(spark, max_records, max_bytes):
         assert all(len(f) <= max_records for f in want) and all(s < max_bytes + 400 for s in sizes)
 
 
+def test_a_row_looks_among_the_files_of_its_block(spark):
+    """A range of many small files has no list of all of them."""
+    rows = spark.range(0, 10_000, 1, 1).selectExpr("if(id < 9000, 'a', null) as g", "id as i", "1 as size")
+    placed = rolling.in_order(rows, ["g", "i"], "test").cache()
+    files = rolling.file_bounds(placed, ["g"], F.col("size"), 2, 10**9)
+    lists = rolling.block_lists(placed, files, ["g"])
+    most = (1 << rolling.BLOCK_BITS) // 2 + 1
+    assert lists.agg(F.max(F.size("_files"))).first()[0] <= most < files.where("g = 'a'").count() // 4
+    # no block that has no rows
+    blocks = placed.groupBy("g", F.shiftright(rolling.AT, rolling.BLOCK_BITS)).agg(F.count("*")).count()
+    assert lists.count() == blocks
+    got = rolling.cut_files(placed, ["g"], F.col("size"), 2, 10**9)
+    wrong = got.where("file_number <> if(g is null, i - 9000, i) div 2").count()
+    assert (got.count(), wrong) == (10_000, 0)
+
+
+def test_positions_count_rows_of_a_group_over_ranges(spark):
+    rows = spark.createDataFrame([(g, p, i) for g, n in (("a", 400), ("b", 1), (None, 90)) for p in (0, None) for i in range(n)], "g string, p int, i int")
+    placed = rolling.in_order(rows.repartition(3), ["g", "p", "i"], "test")
+    assert placed.select(F.shiftright(rolling.AT, rolling.RANGE_BITS)).distinct().count() > 1
+    got = rolling.positions(placed, ["g", "p"], "n").collect()
+    assert len(got) == 982 and all(r.n == r.i for r in got)
+
+
 def test_limits_must_be_positive_and_no_rows_give_no_files(spark):
     placed = rolling.in_order(spark.createDataFrame([], "g string, i int, size int"), ["g", "i"], "test")
     assert rolling.cut_files(placed, ["g"], F.col("size"), 5, 5).collect() == []

@@ -16,6 +16,8 @@ from vulnlake.session import cut_lineage
 
 # Rows of one range are numbered in the lower bits of `_at`.
 RANGE_BITS = 33
+# A row looks for its file among those that reach into its block of 2 to this power rows.
+BLOCK_BITS = 10
 
 AT = "_at"
 
@@ -53,6 +55,23 @@ def totals_before(placed: DataFrame, group: Sequence[str], measures: dict[str, C
     return narrow.join(ranges, same).select(*group, AT, *((F.col(m) + F.col(f"_base_{m}")).alias(m) for m in measures))
 
 
+def positions(placed: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """The rows of `in_order`, none left out, with their number (from 0) within the group, which must lead their order, as `name`.
+
+    Rows of a group lie next to each other in a range and `_at` numbers them, so the first of them and the rows of earlier ranges are
+    enough: no row is sorted or windowed again.
+    """
+    span = F.shiftright(AT, RANGE_BITS)
+    earlier = Window.partitionBy(*group).orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy(*group, span.alias("_in")).agg(F.min(AT).alias("_first"), F.count("*").alias("_rows")).select(
+        *(F.col(g).alias(f"_{g}") for g in group), "_in", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    same = span == F.col("_in")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return placed.join(firsts, same).withColumn(name, F.col(AT) + F.col("_shift")).drop("_in", "_shift", *(f"_{g}" for g in group))
+
+
 def file_bounds(placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int) -> DataFrame:
     """One row per file: the groups, file_number (from 0 within the group), first_at, last_at."""
     if max_records < 1 or max_bytes < 1:
@@ -64,22 +83,30 @@ def file_bounds(placed: DataFrame, group: Sequence[str], size: Column, max_recor
     ).agg(F.min(AT).alias("first_at"), F.max(AT).alias("last_at"))
     # files are numbered as rows are: by sums over ranges of files
     ordered = in_order(files.select(*group, "first_at", "last_at"), [*group, "first_at"], "files")
-    number = totals_before(ordered, group, {"file_number": F.lit(1)}).select(F.col(AT).alias("_file"), "file_number")
-    return ordered.join(number, F.col(AT) == F.col("_file")).select(*group, "file_number", "first_at", "last_at")
+    return positions(ordered, group, "file_number").select(*group, "file_number", "first_at", "last_at")
 
 
-def cut_files(placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int) -> DataFrame:
-    """The rows of `in_order` and their file_number. Every range gets the list of the files that reach into it."""
-    files = file_bounds(placed, group, size, max_records, max_bytes)
+def block_lists(placed: DataFrame, files: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The groups and `_block`, a block of rows, with the files that reach into it. A block has a bounded number of rows, and so of files."""
+    ends = placed.groupBy(F.shiftright(AT, RANGE_BITS).alias("_in")).agg(F.max(AT).alias("_end"))
     spans = F.sequence(F.shiftright("first_at", RANGE_BITS), F.shiftright("last_at", RANGE_BITS))
-    lists = files.select(*group, F.explode(spans).alias("_in"), F.struct("last_at", "file_number").alias("file")).groupBy(
-        *(F.col(g).alias(f"_{g}") for g in group), "_in"
+    # a file that reaches over ranges takes blocks of rows that are there, not of the numbers between two ranges
+    pieces = files.select("*", F.explode(spans).alias("_in")).join(ends, "_in")
+    first, last = F.greatest("first_at", F.shiftleft("_in", RANGE_BITS)), F.least("last_at", "_end")
+    blocks = F.sequence(F.shiftright(first, BLOCK_BITS), F.shiftright(last, BLOCK_BITS))
+    return pieces.select(*group, F.explode(blocks).alias("_block"), F.struct("last_at", "file_number").alias("file")).groupBy(
+        *(F.col(g).alias(f"_{g}") for g in group), "_block"
     ).agg(F.sort_array(F.collect_list("file")).alias("_files"))
-    same = F.shiftright(AT, RANGE_BITS) == F.col("_in")
+
+
+def cut_files(placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int) -> DataFrame:
+    """The rows of `in_order` and their file_number. Every block of rows gets the list of the files that reach into it, however many a range has."""
+    lists = block_lists(placed, file_bounds(placed, group, size, max_records, max_bytes), group)
+    same = F.shiftright(AT, BLOCK_BITS) == F.col("_block")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
     own = F.filter("_files", lambda f: f["last_at"] >= F.col(AT))[0]["file_number"]
-    return placed.join(lists, same).withColumn("file_number", own).drop("_in", "_files", *(f"_{g}" for g in group))
+    return placed.join(lists, same).withColumn("file_number", own).drop("_block", "_files", *(f"_{g}" for g in group))
 
 
 def offset_intervals(rows: DataFrame, keys: Sequence[str], offset: str) -> DataFrame:
