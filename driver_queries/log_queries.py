@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from driver_queries.inputs import query, table, text
@@ -58,19 +57,21 @@ LOG = f"""m as (select event_id as n, event_type as topic, cast(event_id % 3 as
 
 
 def _log(spark, sf):
+    """The messages, numbered by ranges of events, so that no task sees a whole partition of the log; the values are spelled after that."""
     n = F.col("event_id")
-    order = Window.partitionBy("event_type", n % 3).orderBy("event_id")
     record = F.to_json(F.struct(
         F.when(n % 13 != 0, F.concat(F.lit("e"), text(n))).alias("event_id"),
-        messages.source_of(F.col("event_type"), TOPICS).alias("source"), text(n).alias("source_record_id"),
+        messages.source_of(F.col("topic"), TOPICS).alias("source"), text(n).alias("source_record_id"),
         F.lit("source.raw_record").alias("event_type"), text(F.col("ts").cast("date")).alias("effective_date"),
         F.lit("2024-06-01T00:00:00Z").alias("fetched_at"), F.lit(RUN).alias("ingestion_run_id"),
         F.sha2("props", 256).alias("payload_sha256"), F.struct(F.col("value")).alias("payload"),
     ))
-    wanted = table(spark, sf, "events").where(F.col("event_type").isin(*TOPICS.values()))
-    return wanted.select(
-        F.col("event_type").alias("topic"), (n % 3).cast("int").alias("partition"), (F.row_number().over(order) - 1).cast("bigint").alias("offset"),
-        F.when(n % 11 == 0, F.lit("{")).otherwise(record).alias("value"),
+    wanted = table(spark, sf, "events").where(F.col("event_type").isin(*TOPICS.values())).select(
+        F.col("event_type").alias("topic"), (n % 3).cast("int").alias("partition"), n, "ts", "value", "props"
+    )
+    placed = rolling.in_order(wanted, ["topic", "partition", "event_id"], "log")
+    return rolling.positions(placed, ["topic", "partition"], "offset").select(
+        "topic", "partition", "offset", F.when(n % 11 == 0, F.lit("{")).otherwise(record).alias("value")
     ).where(f"not ({LOST.replace('offset_', 'offset')})")
 
 

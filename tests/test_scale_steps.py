@@ -16,6 +16,12 @@ def test_vectors_are_dealt_by_key(spark):
     assert "hashpartitioning(p_partkey" in _plan(inputs.vectors(spark, SF))
 
 
+def test_the_log_is_numbered_by_ranges(spark):
+    """No task orders a whole partition of the log, and no value is spelled before the numbers are there."""
+    plan = _plan(log_queries._log(spark, SF))
+    assert "row_number" not in plan and "hashpartitioning(event_type" not in plan
+
+
 def test_events_of_one_file_are_wrapped_where_they_are_written(spark):
     rows = ingest_queries.by_type(spark, SF, "view").sortWithinPartitions("ingestion_run_id")
     assert "Exchange" not in _plan(rows) and "Sort" not in _plan(rows) and "Coalesce 1" in _plan(rows)
