@@ -199,7 +199,10 @@ def epss_file_dates(spark, sf):
 
 
 def kev_catalogs(spark, sf):
-    """One catalog document per order with two entries."""
+    """One catalog document per order with two entries.
+
+    An order is few bytes and its entries are much work, so orders are dealt by key: a file of few row groups does not leave them to as few tasks.
+    """
     n = F.col("o_orderkey")
     none = F.lit(None).cast("string")
 
@@ -215,7 +218,7 @@ def kev_catalogs(spark, sf):
             F.array(F.lit(f"CWE-{i}")).alias("cwes"),
         )
 
-    return table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").repartition("o_orderkey").select(
         F.concat(F.lit("v"), text(n % 10)).alias("catalogVersion"),
         F.lit("2024-01-01T00:00:00.000Z").alias("dateReleased"),
         F.array(entry(0), entry(1)).alias("vulnerabilities"),
@@ -295,7 +298,7 @@ def ingest_envelopes(spark, sf):
 
 
 def event_envelopes(spark, sf, events=None):
-    """Score envelopes of the events (all, if none are given), some of them invalid for Silver."""
+    """Score envelopes of the events (all, dealt by key, if none are given), some of them invalid for Silver."""
     n = F.col("event_id")
     payload = F.struct(
         F.when(n % 17 == 0, F.lit("X")).otherwise(F.concat(F.lit("CVE-2024-"), text(n + 10000))).alias("cve"),
@@ -304,7 +307,7 @@ def event_envelopes(spark, sf, events=None):
         text(F.col("ts").cast("date")).alias("score_date"),
         F.col("event_type").alias("model_version"),
     )
-    rows = (table(spark, sf, "events") if events is None else events).withColumn("payload", payload)
+    rows = (table(spark, sf, "events").repartition("event_id") if events is None else events).withColumn("payload", payload)
     return hashing.wrap(
         rows, source="epss", record_id=text(n), effective_date=F.col("ts").cast("date"), payload="payload",
         run_id=RUN, fetched_at=ingest.iso_text(_fetched()),

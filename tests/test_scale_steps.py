@@ -16,6 +16,12 @@ def test_vectors_are_dealt_by_key(spark):
     assert "hashpartitioning(p_partkey" in _plan(inputs.vectors(spark, SF))
 
 
+def test_events_and_orders_are_dealt_before_they_are_wrapped(spark):
+    """Files of few row groups do not leave hashing and JSON to as few tasks."""
+    assert "hashpartitioning(event_id" in _plan(ingest_queries.event_envelopes(spark, SF))
+    assert "hashpartitioning(o_orderkey" in _plan(ingest_queries.kev_catalogs(spark, SF))
+
+
 def test_the_log_is_numbered_by_ranges(spark):
     """No task orders a whole partition of the log, and no value is spelled before the numbers are there."""
     plan = _plan(log_queries._log(spark, SF))
