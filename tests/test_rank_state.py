@@ -131,6 +131,38 @@ def test_bounds_hold_for_every_point(spark):
     assert len(bounds) == len(points) and all(b.lower <= exact[b._point] + 1e-12 and exact[b._point] <= b.upper + 1e-12 for b in bounds)
 
 
+@pytest.mark.parametrize("kind", ["continuous", "few", "rising", "wide"])
+def test_bounds_of_cells_hold_for_every_point(spark, kind):
+    rng = random.Random(6)
+
+    def row():
+        value = (lambda: rng.randrange(4) / 3) if kind == "few" else rng.random
+        a, b, c = value(), value(), value()
+        # `rising`: precision is greatest in the middle, so ties with later positives matter
+        chance = {"few": c, "rising": 0.9 if 0.4 < c < 0.6 else 0.1}.get(kind, 0.3)
+        return (10 * a if rng.random() > 0.1 else None, b * (1000 if kind == "wide" else 1), c, int(rng.random() < chance))
+
+    rows = [row() for _ in range(2000)] + [(1.0, None, 0.5, 1), (1.0, 0.5, None, 0)]
+    inputs = spark.createDataFrame(rows, "_cvss double, _exploit double, _outcome double, pos int").withColumn("n", F.lit(1))
+    points = ranking.weight_grid(0.25)
+    counts = ranking._blended(inputs, points, list(range(len(points)))).groupBy("_point", "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    exact = {r._point: r.a for r in ranking.running_totals(counts, ["_point"]).groupBy("_point").agg(ranking._pr_area().alias("a")).collect()}
+    for cells, bins in ((3, 16), (20, 2048)):
+        bounds = {r._point: r.upper for r in ranking._cell_bounds(inputs, points, cells, bins).collect()}
+        assert set(bounds) == set(exact) and all(exact[k] <= bounds[k] + 1e-12 for k in exact)
+
+
+def test_rows_are_not_multiplied_by_points_that_cells_rule_out(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(10 * rng.random(), rng.random(), 0.6 * rng.random() + 0.4 * label, label) for label in (int(rng.random() < 0.3) for _ in range(20_000))]
+    frame = spark.createDataFrame(rows, "cvss double, p1 double, p2 double, label int")
+    asked, blended = [], ranking._blended
+    monkeypatch.setattr(ranking, "_blended", lambda inputs, points, chosen: asked.append(len(chosen)) or blended(inputs, points, chosen))
+    got = ranking.best_weights_pruned(frame, "cvss", "p1", "p2", "label", step=0.1).first()
+    want = ranking.best_weights(ranking.tune_weights(frame, "cvss", "p1", "p2", "label", step=0.1)).first()
+    assert (got.w1, got.w2, got.w3) == (want.w1, want.w2, want.w3) and max(asked) <= 22
+
+
 def test_one_aggregate_gives_every_curve(spark):
     """Areas per date and pooled from the stored counts are those of the rows."""
     frame = _frame(spark, _rows(6, 800)).withColumn("other", F.col("score") * -1).withColumn("id", F.monotonically_increasing_id())

@@ -352,6 +352,10 @@ BIN_ROUNDS = (256, 8192)
 SCORE_RANGE = 10.0
 # Sums of the same terms may differ by so much.
 AREA_SLACK = 1e-9
+# Cells of every blended term, and bins of their scores, in which all points are bounded before the rows are.
+CELLS, CELL_BINS = 100, 2048
+# Blended scores of a cell lie between those of its corners, but for so much of their size.
+CORNER_SLACK = 1e-9
 
 
 def _area_bounds() -> list[Column]:
@@ -376,9 +380,10 @@ def best_weights_pruned(
 ) -> DataFrame:
     """(w1, w2, w3, pr_auc, exact_points): the row of `best_weights`, without the exact area of every grid point.
 
-    Each round bounds the areas of the points that are left by bins of the blended score: its counts are combined before the
+    First all points are bounded above from cells of the inputs, whose number does not grow with the rows (`_cell_bounds`), and the most promising one
+    from below by its rows. Then each round bounds the areas of the points that are left by bins of the blended score: its counts are combined before the
     shuffle, so at most bins times points rows travel, however many distinct scores there are. Points whose upper bound
-    is below the greatest lower bound go. What is left, `exact_points` of them, gets its exact area. Only point numbers reach the driver.
+    is below the greatest lower bound go. What is left, `exact_points` of them, gets its exact area. Only bounds of points and of terms reach the driver.
     """
     rows = df.filter(F.col(label).isNotNull())
     inputs = rows.groupBy(
@@ -386,22 +391,71 @@ def best_weights_pruned(
     ).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("n"))
     inputs = cut_lineage(inputs, "tune-inputs")
     points = weight_grid(step)
-    left = list(range(len(points)))
+    uppers = {b["_point"]: b["upper"] for b in _cell_bounds(inputs, points).collect()}
+    left, floor = list(range(len(points))), 0.0
+    if uppers:
+        hopeful = max(uppers, key=lambda k: uppers[k])
+        floor = max((b["lower"] for b in _bin_bounds(inputs, points, [hopeful], max(rounds, default=CELL_BINS))), default=0.0)
+        left = sorted(k for k, upper in uppers.items() if upper >= floor - AREA_SLACK)
     for bins in rounds:
-        blended = _blended(inputs, points, left)
-        bin_ = F.floor(F.least(F.col("threshold"), F.lit(SCORE_RANGE)) * (bins / SCORE_RANGE))
-        counted = blended.groupBy("_point", bin_.cast("double").alias("threshold")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-        bounds = running_totals(counted, ["_point"]).groupBy("_point").agg(*_area_bounds()).where("upper is not null").collect()
-        floor = max((b["lower"] for b in bounds), default=0.0)
-        left = sorted(b["_point"] for b in bounds if b["upper"] >= floor - AREA_SLACK) or left
         if len(left) == 1:
             break
+        bounds = _bin_bounds(inputs, points, left, bins)
+        floor = max([floor, *(b["lower"] for b in bounds)])
+        left = sorted(b["_point"] for b in bounds if b["upper"] >= floor - AREA_SLACK) or left
     counts = _blended(inputs, points, left).groupBy("_point", "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     exact = running_totals(counts, ["_point"]).groupBy("_point").agg(_pr_area().alias("pr_auc"))
     weights = F.get(_grid(points), F.col("_point"))
     return best_weights(exact.select(weights.alias("_w"), "pr_auc").select("_w.*", "pr_auc")).withColumn("exact_points", F.lit(len(left)))
 
 
+def _bin(score: Column, bins: int) -> Column:
+    return F.floor(F.least(score, F.lit(SCORE_RANGE)) * (bins / SCORE_RANGE)).cast("double")
+
+
+def _bin_bounds(inputs: DataFrame, points: list[tuple[float, float, float]], chosen: list[int], bins: int) -> list:
+    """(_point, lower, upper) of the chosen points that have an area, from the inputs in so many bins of their blended score."""
+    blended = _blended(inputs, points, chosen)
+    counted = blended.groupBy("_point", _bin(F.col("threshold"), bins).alias("threshold")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    return running_totals(counted, ["_point"]).groupBy("_point").agg(*_area_bounds()).where("upper is not null").collect()
+
+
+def _cell_bounds(inputs: DataFrame, points: list[tuple[float, float, float]], cells: int = CELLS, bins: int = CELL_BINS) -> DataFrame:
+    """(_point, upper): a bound of the area of every point that has one, from counts per cell of the three blended terms.
+
+    The points multiply cells, of which there are at most cells^3, and not rows. A cell's blended scores lie between those of the least and the
+    greatest values in it. Let all positives score as high and all others as low as their cells allow. The k-th positive from above then scores no less than it does in
+    truth, and no other that is above it so was not there. So its precision is at most tp / (tp + others above its bin), if it ties with none that comes
+    later, else at most that of a later one: of these the greatest counts.
+    """
+    terms = [F.least(F.coalesce("_cvss", F.lit(0.0)) / F.lit(10.0), F.lit(1.0)), F.col("_exploit"), F.col("_outcome")]
+    names = ["_1", "_2", "_3"]
+    present = inputs.where("_exploit is not null and _outcome is not null").select(*(t.alias(n) for t, n in zip(terms, names)), "pos", "n")
+    ends = present.agg(*(f(n).alias(f"{f.__name__}{n}") for n in names for f in (F.min, F.max))).first()
+    cell = []
+    for n in names:
+        low, high = ends[f"min{n}"] or 0.0, ends[f"max{n}"] or 0.0
+        cell.append(F.floor((F.col(n) - low) * (cells / (high - low))).alias(f"_cell{n}") if high > low else F.lit(0).alias(f"_cell{n}"))
+    corners = [f(n).alias(f"{f.__name__}{n}") for n in names for f in (F.min, F.max)]
+    counted = present.groupBy(*cell).agg(*corners, F.sum("pos").alias("pos"), F.sum(F.col("n") - F.col("pos")).alias("others"))
+    spread = counted.withColumn("_w", F.explode(F.array(*(
+        F.struct(F.lit(k).alias("k"), *(F.lit(w).alias(f"w{i}") for i, w in enumerate(p, 1))) for k, p in enumerate(points)
+    ))))
+    low, high = (
+        F.lit(SCORE_RANGE) * sum((F.col(f"_w.w{i}") * F.col(f"{end}_{i}") for i in (2, 3)), F.col("_w.w1") * F.col(f"{end}_1")) for end in ("min", "max")
+    )
+    slack = (F.abs("low") + F.abs("high") + 1) * CORNER_SLACK
+    ends_of = spread.select(F.col("_w.k").alias("_point"), low.alias("low"), high.alias("high"), "pos", "others").select("_point", F.inline(F.array(
+        F.struct(_bin(F.col("high") + slack, bins).alias("threshold"), F.col("pos").alias("pos"), F.col("pos").alias("n")),
+        F.struct(_bin(F.col("low") - slack, bins).alias("threshold"), F.lit(0).cast("bigint").alias("pos"), F.col("others").alias("n")),
+    )))
+    binned = ends_of.where("n > 0").groupBy("_point", "threshold").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    above = F.col("cnt") - F.col("tp") - (F.col("n") - F.col("pos"))
+    later = Window.partitionBy("_point").orderBy("threshold").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = running_totals(binned, ["_point"]).where("pos > 0").withColumn("_most", F.max(F.col("tp") / (F.col("tp") + above)).over(later))
+    return totals.groupBy("_point").agg(F.sum(F.col("pos") / F.col("total_pos") * F.col("_most")).alias("upper"))
+
+
 def _grid(points: list[tuple[float, float, float]]) -> Column:
     return F.array(*(F.struct(*(F.lit(w).alias(f"w{i}") for i, w in enumerate(p, 1))) for p in points))
 
