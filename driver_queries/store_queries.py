@@ -15,13 +15,15 @@ from vulnlake.plans import gold_refresh
 from vulnlake.session import new_dir
 from vulnlake.sources.series_store import SeriesStore
 
-BUCKETS = 8
+# A bucket is one task of every reader, so more fetches have more of them.
+BUCKETS, ROWS_PER_BUCKET = 8, 3_000_000
 
 
 def _store(spark, sf):
     rows = line_rows(spark, sf)
     name = f"series_{uuid.uuid4().hex}"
-    return SeriesStore(spark, name, new_dir(spark, "series"), rows.schema, "id", "day", "l_orderkey", tuple(LINE_TIES), BUCKETS).open()
+    buckets = max(BUCKETS, rows.count() // ROWS_PER_BUCKET)
+    return SeriesStore(spark, name, new_dir(spark, "series"), rows.schema, "id", "day", "l_orderkey", tuple(LINE_TIES), buckets).open()
 
 
 def _outcomes(rows):
@@ -35,7 +37,7 @@ def gold_bucketed(spark, sf):
     store, rows = _store(spark, sf), line_rows(spark, sf)
     store.merge(rows)
     done = gold_plan.observations(
-        gold_refresh.stored_series(store), dimension(spark, sf), _outcomes(rows), key="id", day="day",
+        gold_refresh.stored_series(store), *gold_refresh.stored_facts(dimension(spark, sf), _outcomes(rows)), key="id", day="day",
         as_of=rows.agg(F.max("day")).scalar(), **GOLD_OPTIONS,
     )
     return _printed(done)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vulnlake import schemas
 from vulnlake.operators import latest
 from vulnlake.plans import gold, gold_refresh
+from vulnlake.sources import series_store
 from vulnlake.sources.series_store import MONTH, SeriesStore
 
 D0 = date(2024, 1, 10)
@@ -87,6 +88,33 @@ def test_series_is_not_shuffled_and_months_are_pruned(spark, tmp_path):
     assert set(re.findall(r"series_month=(\d+)", " ".join(built.inputFiles()))) == {"202401", "202402", "202403"}
 
 
+def test_outcomes_with_a_shuffle_of_their_own_leave_the_series_in_its_buckets(spark, tmp_path):
+    """More shuffle partitions than buckets do not pull the series out of its buckets."""
+    store = _store(spark, tmp_path / "s")
+    store.merge(_rows(spark, [(k, d, 0.1, 1) for k in "abcd" for d in range(0, 200, 3)]))
+    found = latest.earliest_date(_outcomes(spark, {"b": 3}).repartition(3), "id", "added")
+    facts = gold_refresh.stored_facts(_dimension(spark, {"a": (0, "x")}), found)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = gold_refresh.touched_rows(store, {202403}, *facts, as_of=D0 + timedelta(days=190), **OPTIONS)
+        plan = built._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert set(re.findall(r"Exchange hashpartitioning\(\S+, (\d+)\)", plan)) == {"2"}
+
+
+def test_only_months_on_disk_are_put_in_order_again(spark, tmp_path, monkeypatch):
+    wrote, cut = [], series_store.cut_lineage
+    monkeypatch.setattr(series_store, "cut_lineage", lambda df, name: wrote.append(name) or cut(df, name))
+    store = _store(spark, tmp_path / "s")
+    assert len(store.merge(_rows(spark, [("a", 0, 0.1, 1), ("a", 40, 0.2, 1)]))) == 2 and wrote == ["series-new"]
+    # one month is there, the other is not
+    assert store.merge(_rows(spark, [("a", 0, 0.5, 2), ("b", 0, 0.6, 1), ("a", 80, 0.3, 1)])) == [D0, D0 + timedelta(days=80)]
+    assert wrote == ["series-new", "series-new", "series-merged"]
+    assert sorted((r.id, (r.day - D0).days, r.score) for r in store.read().collect()) == [("a", 0, 0.5), ("a", 40, 0.2), ("a", 80, 0.3), ("b", 0, 0.6)]
+
+
 def test_months():
     assert gold_refresh.months_needed({202403}, 30) == {202401, 202402, 202403}
     assert gold_refresh.months_needed({202401}, 30) == {202312, 202401}

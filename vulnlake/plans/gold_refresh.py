@@ -71,6 +71,11 @@ def _store_state(spark: SparkSession, gold_root: str, as_of: date | None, pendin
     frame.coalesce(1).write.mode("overwrite").parquet(f"{gold_root}/_state")
 
 
+def stored_facts(dimension: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both written once. A plan with a shuffle of its own would have the bucketed series follow its number of partitions, and hides how small it is."""
+    return cut_lineage(dimension, "gold-dimension"), cut_lineage(outcomes, "gold-outcomes")
+
+
 def stored_series(store: SeriesStore, months: set[int] | None = None) -> DataFrame:
     """The series without its month column; with `months` only those partitions."""
     return store.read(None if months is None else sorted(months)).drop(MONTH)
@@ -91,6 +96,7 @@ def refresh(
     limit = as_of - timedelta(days=horizon)
     with scratch(spark, "gold"):
         staged, days = store.stage(rows)
+        dimension, outcomes = stored_facts(dimension, outcomes)
         then, pending = _state(spark, gold_root)
         touched = pending | months_after(days, lookback)
         now = cut_lineage(_facts(dimension, outcomes, key, added), "gold-facts")

@@ -87,19 +87,23 @@ class SeriesStore:
         fetched = rows.select(*names).where(F.col(self.key).isNotNull() & F.col(self.day).isNotNull())
         newest = first_per_key(fetched, [self.key, self.day], order).withColumn(MONTH, month_of(F.col(self.day)))
         newest = cut_lineage(newest, "series-new")
-        months = sorted(r[0] for r in newest.select(MONTH).distinct().collect())
-        known = self.read([m for m in months if m in set(self.months())]).withColumn("_new", F.lit(0))
-        both = known.unionByName(newest.withColumn("_new", F.lit(1)))
-        merged = cut_lineage(first_per_key(both, [self.key, self.day], [*order, F.asc("_new")]), "series-merged")
+        months, on_disk = sorted(r[0] for r in newest.select(MONTH).distinct().collect()), set(self.months())
+        met = [m for m in months if m in on_disk]
+        marked = newest.withColumn("_new", F.lit(1))
+        merged = marked
+        if met:  # only months that are on disk are put in order again
+            both = self.read(met).withColumn("_new", F.lit(0)).unionByName(marked.where(F.col(MONTH).isin(met)))
+            merged = cut_lineage(first_per_key(both, [self.key, self.day], [*order, F.asc("_new")]), "series-merged").unionByName(
+                marked.where(~F.col(MONTH).isin(met))
+            )
         days = sorted(r[0] for r in merged.where("_new = 1").select(self.day).distinct().collect())
         changed = sorted({d.year * 100 + d.month for d in days})
         return merged.where(F.col(MONTH).isin(changed)).select(*names, MONTH), days
 
     def apply(self, staged: DataFrame) -> None:
-        """Replace the months of `staged`: a file per month and bucket, in the order of key and day."""
-        ordered = staged.repartition(self.buckets, self.key).sortWithinPartitions(MONTH, self.key, self.day)
+        """Replace the months of `staged`: a file per month and bucket, in the order of key and day, which the write itself sorts."""
         with _dynamic_overwrite(self.spark):
-            ordered.write.insertInto(f"`{self.name}`", overwrite=True)
+            staged.repartition(self.buckets, self.key).write.insertInto(f"`{self.name}`", overwrite=True)
 
     def merge(self, rows: DataFrame) -> list[date]:
         """Stage and apply; returns the days that changed."""
