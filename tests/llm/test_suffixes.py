@@ -115,6 +115,20 @@ def test_query_on_tables(spark):
     assert sum(x[1] for x in got.values()) > 0
 
 
+def test_planted_passages_of_over_50_words_go_from_400_bytes_on(spark, tmp_path):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    own = lambda: " ".join(word(6) for _ in range(40))
+    # 57 words and their spaces, the last word as long as it takes
+    passages = {size: " ".join([word(6) for _ in range(56)] + [word(size - 56 * 7)]) for size in (399, 400, 401, 440)}
+    texts = [f"{own()}{a}{p}{b}{own()}" for p in passages.values() for a, b in ("()", "[]", "{}")] + [own() for _ in range(5)]
+    spark.createDataFrame(brute.rows(texts), brute.DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op5_suffix_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == expected(texts, 400)
+    assert [r.n_removed for r in got] == [0] * 3 + [400] * 3 + [401] * 3 + [440] * 3 + [0] * 5
+    assert all(r.n_bytes == len(t.encode()) for r, t in zip(got, texts))
+
+
 def test_runs_with_few_words_stay(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7)))
