@@ -56,6 +56,46 @@ def test_files_end_at_rows_or_bytes(spark, max_records, max_bytes):
         assert all(len(f) <= max_records for f in want) and all(s < max_bytes + 400 for s in sizes)
 
 
+def _anew(sizes, max_records, max_bytes):
+    """Rows in the files of a writer that counts rows and bytes anew for every file."""
+    out, rows, total = [[]], 0, 0
+    for i, size in enumerate(sizes):
+        if rows >= max_records or total >= max_bytes:
+            out.append([])
+            rows = total = 0
+        out[-1].append(i)
+        rows, total = rows + 1, total + size
+    return out
+
+
+@pytest.mark.parametrize(("max_records", "max_bytes", "same"), [(7, 2801, True), (7, 10_000, True), (1, 1000, True), (7, 900, False), (10**9, 300, False)])
+def test_bytes_end_files_only_where_rows_do_not_suffice(spark, max_records, max_bytes, same):
+    rng = random.Random(max_bytes)
+    rows = [(g, i, rng.choice([0, 1, 40, 400])) for g, n in (("a", 500), ("b", 3), (None, 60)) for i in range(n)]
+    placed = rolling.in_order(spark.createDataFrame(rows, "g string, i int, size int").repartition(5), ["g", "i"], "test")
+    got = rolling.cut_files(placed, ["g"], F.col("size"), max_records, max_bytes, bytes_if_needed=True).collect()
+    assert len(got) == len(rows)
+    for g in ("a", "b", None):
+        sizes = [s for h, _, s in rows if h == g]
+        mine = {}
+        for r in got:
+            if r.g == g:
+                mine.setdefault(r.file_number, []).append(r.i)
+        files = [sorted(mine[k]) for k in range(len(mine))]
+        whole = [list(range(k, min(k + max_records, len(sizes)))) for k in range(0, len(sizes), max_records)]
+        cuts = {f[0] for f in _files(sizes, max_records, max_bytes)}
+        want = []
+        for part in whole:
+            for i in part:
+                if i == part[0] or (sum(sizes[j] for j in part[:-1]) >= max_bytes and i in cuts):
+                    want.append([])
+                want[-1].append(i)
+        assert files == want
+        assert all(len(f) <= max_records and sum(sizes[i] for i in f) < max_bytes + 400 for f in files)
+        if same:
+            assert files == _anew(sizes, max_records, max_bytes)
+
+
 def test_a_row_looks_among_the_files_of_its_block(spark):
     """A range of many small files has no list of all of them."""
     rows = spark.range(0, 10_000, 1, 1).selectExpr("if(id < 9000, 'a', null) as g", "id as i", "1 as size")
@@ -154,6 +194,20 @@ def test_sink_rolls_by_bytes_and_a_repeated_batch_replaces_everything(spark, tmp
     assert not list((shared / "shared0" / "vulnlake").glob("sink-*"))
 
 
+def test_sink_files_are_full_where_bytes_do_not_bind(spark, tmp_path):
+    """The bytes of all files together end none of them."""
+    root = str(tmp_path / "bronze")
+    rows = [("raw.epss", 0, i, _message(i, "epss")) for i in range(195)]
+    spark.createDataFrame(rows, LOG).write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(LOG).parquet(str(tmp_path / "log"))
+    sink.start_bronze_sink(
+        stream, TOPICS, root, f"{tmp_path}/checkpoint", "2024-06-01", max_records=20, max_bytes=8000
+    ).awaitTermination()
+    files = bronze.lines(spark, root).groupBy("path").agg(F.count("*").alias("n"), F.sum(bronze.line_bytes()).alias("b")).orderBy("path").collect()
+    assert [r.n for r in files] == [20] * 9 + [15]
+    assert max(r.b for r in files) < 8000 < sum(r.b for r in files) / 2
+
+
 def test_scratch_folders_go_with_their_job(spark):
     with session.scratch(spark, "job"):
         inner = session.new_dir(spark, "a")

@@ -3,6 +3,8 @@
 Totals before a row are the sums of the ranges before its own plus the sum inside its range, so no task sees all rows. A file ends
 where either total crosses a multiple of its limit: files hold at most the limit of rows, and less than the limit of bytes
 plus one row, and the cut of one file does not wait for the cut of the one before. A row as large as the limit has its own file at most.
+With `bytes_if_needed` a multiple of the bytes ends a file only inside a run of `max_records` rows that fills the limit of bytes before its
+last row. Without such runs files end where a writer that counts anew for every file ends them.
 """
 
 from __future__ import annotations
@@ -72,7 +74,9 @@ def positions(placed: DataFrame, group: Sequence[str], name: str) -> DataFrame:
     return placed.join(firsts, same).withColumn(name, F.col(AT) + F.col("_shift")).drop("_in", "_shift", *(f"_{g}" for g in group))
 
 
-def file_bounds(placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int) -> DataFrame:
+def file_bounds(
+    placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int, bytes_if_needed: bool = False
+) -> DataFrame:
     """One row per file: the groups, file_number (from 0 within the group), first_at, last_at."""
     if max_records < 1 or max_bytes < 1:
         raise ValueError("limits of a file must be positive")
@@ -80,7 +84,13 @@ def file_bounds(placed: DataFrame, group: Sequence[str], size: Column, max_recor
     # what is before a row says in which file it is; sizes of the rows are not needed again
     files = before.groupBy(
         *group, F.expr(f"bytes div {max_bytes}").alias("_by_bytes"), F.expr(f"records div {max_records}").alias("_by_records")
-    ).agg(F.min(AT).alias("first_at"), F.max(AT).alias("last_at"))
+    ).agg(F.min(AT).alias("first_at"), F.max(AT).alias("last_at"), F.min("bytes").alias("_from"), F.max("bytes").alias("_to"))
+    if bytes_if_needed:
+        run = Window.partitionBy(*group, "_by_records")
+        full = F.max("_to").over(run) - F.min("_from").over(run) >= max_bytes
+        files = files.withColumn("_by_bytes", F.when(full, F.col("_by_bytes"))).groupBy(*group, "_by_bytes", "_by_records").agg(
+            F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at")
+        )
     # files are numbered as rows are: by sums over ranges of files
     ordered = in_order(files.select(*group, "first_at", "last_at"), [*group, "first_at"], "files")
     return positions(ordered, group, "file_number").select(*group, "file_number", "first_at", "last_at")
@@ -99,9 +109,11 @@ def block_lists(placed: DataFrame, files: DataFrame, group: Sequence[str]) -> Da
     ).agg(F.sort_array(F.collect_list("file")).alias("_files"))
 
 
-def cut_files(placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int) -> DataFrame:
+def cut_files(
+    placed: DataFrame, group: Sequence[str], size: Column, max_records: int, max_bytes: int, bytes_if_needed: bool = False
+) -> DataFrame:
     """The rows of `in_order` and their file_number. Every block of rows gets the list of the files that reach into it, however many a range has."""
-    lists = block_lists(placed, file_bounds(placed, group, size, max_records, max_bytes), group)
+    lists = block_lists(placed, file_bounds(placed, group, size, max_records, max_bytes, bytes_if_needed), group)
     same = F.shiftright(AT, BLOCK_BITS) == F.col("_block")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))

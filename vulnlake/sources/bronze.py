@@ -58,14 +58,16 @@ def line_bytes(value: str = "value") -> Column:
 
 
 def write_rolled(
-    placed: DataFrame, root: str, ingest_date: str, run: str, *, max_records: int = MAX_RECORDS_PER_FILE, max_bytes: int = MAX_BYTES_PER_FILE
+    placed: DataFrame, root: str, ingest_date: str, run: str, *, max_records: int = MAX_RECORDS_PER_FILE, max_bytes: int = MAX_BYTES_PER_FILE,
+    bytes_if_needed: bool = False,
 ) -> DataFrame:
     """Write the lines `value` of all sources in one job, a file per source and file number; returns the rows with `file`.
 
-    `placed` is the result of `rolling.in_order` by source and the order of writing. A file ends at `max_records` lines or `max_bytes`
-    plain bytes, whichever comes first. File n of a run lies alone under run_id=<run>-<n>, which a repeated write replaces.
+    `placed` is the result of `rolling.in_order` by source and the order of writing. A file ends where the lines or the
+    plain bytes of its source cross a multiple of `max_records` or `max_bytes`, with `bytes_if_needed` at bytes only where lines alone would let
+    it grow beyond them. File n of a run lies alone under run_id=<run>-<n>, which a repeated write replaces.
     """
-    cut = rolling.cut_files(placed, ["source"], line_bytes(), max_records, max_bytes)
+    cut = rolling.cut_files(placed, ["source"], line_bytes(), max_records, max_bytes, bytes_if_needed)
     named = cut.withColumn("file", F.format_string(f"{run}-%05d", "file_number"))
     lines = named.withColumns({"ingest_date": F.lit(ingest_date), "run_id": F.col("file")})
     (

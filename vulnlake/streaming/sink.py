@@ -61,7 +61,9 @@ def batch_sink(
             routed = messages.route(batch, topics, source=source).select("topic", "partition", "offset", "value", "source")
             placed = rolling.in_order(routed, ["source", "partition", "offset"], "messages", parsed)
             found = counts.values(watch)
-            named = bronze.write_rolled(placed.where(good), bronze_root, ingest_date, run, max_records=max_records, max_bytes=max_bytes)
+            named = bronze.write_rolled(
+                placed.where(good), bronze_root, ingest_date, run, max_records=max_records, max_bytes=max_bytes, bytes_if_needed=True
+            )
             messages.dead_letters(placed, F.current_timestamp()).write.mode("overwrite").json(
                 f"{dead_letter_path(bronze_root)}/run_id={run}"
             )
